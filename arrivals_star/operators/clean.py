@@ -50,10 +50,12 @@ def dedupe_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ())
     Ordering compares nulls first, ascending. Because the ordering covers every column, the
     survivor does not depend on partitioning or file order.
 
-    Planned as ``min_by`` over structs: a partial aggregate in each scan task keeps one row per
-    key before the shuffle, so a key holding a third of the table sends one row per task, not a
-    third of the table, to the reducer. A ``row_number`` window would ship and sort every row of
-    that key in one task.
+    Planned as ``min`` over one struct of the non-key columns in ranking order: since the
+    ranking covers every column, the smallest struct is the surviving row, and the shuffle
+    carries each row once (``min_by`` would carry it twice, as value and as ordering). A partial
+    aggregate in each scan task keeps one row per key before the shuffle, so a key holding a
+    third of the table sends one row per task, not a third of the table, to its reducer; a
+    ``row_number`` window would ship and sort every row of that key in one task.
     """
     keys = list(keys)
     unknown = [c for c in [*keys, *order] if c not in df.columns]
@@ -63,7 +65,7 @@ def dedupe_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ())
     if not rest:
         return df.distinct()
     ranking = [c for c in order if c not in keys] + [c for c in rest if c not in order]
-    kept = F.min_by(F.struct(*[qcol(c) for c in rest]), F.struct(*[qcol(c) for c in ranking]))
+    kept = F.min(F.struct(*[qcol(c) for c in ranking]))
     return (df.groupBy(*[qcol(k) for k in keys]).agg(kept.alias("__kept"))
             .select(*[qcol(k) for k in keys], "__kept.*")
             .select(*[qcol(c) for c in df.columns]))

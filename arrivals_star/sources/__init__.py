@@ -8,7 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..functions import PANDAS_NA_TOKENS, null_tokens, qcol
-from ..operators.dims import drop_index_column
+
+# Name of the leading index column a pandas CSV writer leaves, as Spark's CSV reader names it.
+INDEX_COLUMN = "_c0"
+
+
+def drop_index_column(df: DataFrame) -> DataFrame:
+    """Drop the unnamed leading index column of a CSV written by pandas, if present."""
+    return df.drop(INDEX_COLUMN) if INDEX_COLUMN in df.columns else df
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
@@ -50,4 +57,4 @@ def read_small_csv(spark: SparkSession, path: str, sep: str = ",",
     return apply_null_tokens(drop_index_column(read_csv(spark, path, sep)), tokens)
 
 
-__all__ = ["read_table", "read_csv", "apply_null_tokens", "read_small_csv", "drop_index_column"]
+__all__ = ["INDEX_COLUMN", "read_table", "read_csv", "apply_null_tokens", "read_small_csv", "drop_index_column"]

@@ -8,10 +8,17 @@ from pyspark.sql import DataFrame
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Write Parquet, replacing what is there (S8). With ``partition_by`` (S9) rows are first
-    hash-partitioned by those columns, so each output folder gets one file instead of one per task."""
+    """Write Parquet, replacing what is there.
+
+    With ``partition_by`` (S9) rows are first hash-partitioned by those columns into
+    ``spark.sql.shuffle.partitions`` tasks, so each output folder gets one file instead of one
+    per task, and the folders are written by many tasks at once. The count is given explicitly:
+    left to AQE, a small table is coalesced into one task that writes every folder in turn.
+    """
     if partition_by:
-        df.repartition(*partition_by).write.partitionBy(*partition_by).mode("overwrite").parquet(path)
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        (df.repartition(n, *partition_by).write.partitionBy(*partition_by)
+         .mode("overwrite").parquet(path))
     else:
         df.write.mode("overwrite").parquet(path)
 
