@@ -217,3 +217,84 @@ def write_indexed_csv(df: DataFrame, path: str) -> None:
     """
     (df.select(F.monotonically_increasing_id().alias(""), "*")
      .write.mode("overwrite").option("header", True).csv(path))
+
+
+def raw_temperatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw monthly temperatures (all text, as read from CSV) per (segment city, nation country):
+    several orders fall on one (dt, City, Country), with different readings; some readings are
+    empty or malformed; an uncertainty column is 95 % missing."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    j = o.join(c, o.o_custkey == c.c_custkey)
+    k = F.col("o_orderkey")
+    reading = F.round((F.col("o_totalprice") % 4000) / 100 - 5, 3).cast("string")
+    return j.select(
+        F.date_format(F.trunc(F.col("o_orderdate").cast("date"), "month"), "yyyy-MM-dd").alias("dt"),
+        _case(k, 23, {0: F.lit(None).cast("string")}, _case(k, 29, {0: "n/a"}, reading)).alias("AverageTemperature"),
+        F.when(k % 20 == 0, F.lit("0.5")).alias("AverageTemperatureUncertainty"),
+        F.initcap(F.lower(F.col("c_mktsegment"))).alias("City"),
+        F.concat(F.lit("Nation_"), F.col("c_nationkey").cast("string")).alias("Country"))
+
+
+def raw_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw city demographics: one city per nation, one row per (city, segment) as 'race', counts
+    of customers; whole numbers partly written as '1234.0', gaps, and every row twice."""
+    c = table(spark, sf_dir, "customer")
+    n = table(spark, sf_dir, "nation")
+    per_city = (c.groupBy("c_nationkey")
+                .agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("c_custkey") % 2 == 0).alias("male"),
+                     F.count_if(F.col("c_acctbal") < 0).alias("veterans")))
+    per_race = c.groupBy("c_nationkey", "c_mktsegment").agg(F.count(F.lit(1)).alias("cnt"))
+    j = per_race.join(per_city, "c_nationkey").join(n, F.col("c_nationkey") == n.n_nationkey)
+    nk = F.col("c_nationkey")
+    rows = j.select(
+        F.initcap(F.lower(F.col("n_name"))).alias("City"),
+        F.concat(F.lit("Region "), F.col("n_regionkey").cast("string")).alias("State"),
+        (F.lit(30.0) + nk / 2).cast("string").alias("Median Age"),
+        F.col("male").cast("string").alias("Male Population"),
+        (F.col("total") - F.col("male")).cast("double").cast("string").alias("Female Population"),
+        F.col("total").cast("string").alias("Total Population"),
+        F.when(nk % 6 != 0, F.col("veterans").cast("string")).alias("Number of Veterans"),
+        F.concat(F.col("veterans").cast("string"), F.lit(".0")).alias("Foreign-born"),
+        F.lit("2.5").alias("Average Household Size"),
+        F.concat(F.lit("R"), F.col("n_regionkey").cast("string")).alias("State Code"),
+        F.concat(F.initcap(F.lower(F.col("c_mktsegment"))), F.lit("-Segment Members")).alias("Race"),
+        F.col("cnt").cast("string").alias("Count"))
+    return rows.unionAll(rows)
+
+
+def raw_ports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw ports: the nation port list, every row twice."""
+    p = nation_ports(spark, sf_dir)
+    return p.unionAll(p)
+
+
+def raw_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw countries: nation names in upper case, plus the regions with the literal code 'NA'."""
+    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("Code"),
+                                              F.col("n_name").alias("Country"))
+    r = table(spark, sf_dir, "region").select(F.lit("NA").alias("Code"), F.col("r_name").alias("Country"))
+    return n.unionAll(r)
+
+
+def write_raw_inputs(spark: SparkSession, sf_dir: str, out_dir: str):
+    """Write the five raw inputs of the staging job under ``out_dir``; returns their ``RawInputs``.
+
+    Arrivals as Parquet (with a 95 %-missing column), temperatures as CSV, and the three small
+    tables as pandas-style CSV with a leading index column (demographics with ';').
+    """
+    from .jobs import RawInputs
+
+    base = out_dir.rstrip("/")
+    paths = RawInputs(arrivals=f"{base}/arrivals", temperatures=f"{base}/temperatures",
+                      demographics=f"{base}/demographics", ports=f"{base}/ports",
+                      countries=f"{base}/countries")
+    arrivals = raw_arrivals(spark, sf_dir)
+    arrivals = arrivals.withColumn("visapost", F.when(F.col("cicid") % 20 == 1, F.lit("ABC")))
+    arrivals.write.mode("overwrite").parquet(paths.arrivals)
+    raw_temperatures(spark, sf_dir).write.mode("overwrite").option("header", True).csv(paths.temperatures)
+    (raw_demographics(spark, sf_dir).select(F.monotonically_increasing_id().alias(""), "*")
+     .write.mode("overwrite").option("header", True).option("sep", ";").csv(paths.demographics))
+    write_indexed_csv(raw_ports(spark, sf_dir), paths.ports)
+    write_indexed_csv(raw_countries(spark, sf_dir), paths.countries)
+    return paths
