@@ -16,12 +16,14 @@ from ..operators.aggregate import group_mean, stay_report
 from ..operators.clean import (clean, dedupe_by_key, dedupe_rows, drop_empty_rows,
                                drop_sparse_columns, require_columns)
 from ..operators.conform import cast_columns, drop_columns, rename_columns
-from ..operators.dims import (calendar_dim, pivot_sum, port_dim, temperature_dim,
+from ..operators.dims import (calendar_dim, city_demographics_dim, pivot_sum, port_dim, temperature_dim,
                               temperature_dim_sql, transport_mode_dim, visa_dim, write_calendar)
 from ..operators.fact import arrivals_fact
 from ..operators.profile import missing_profile
 from ..session import scratch_path
-from ..sources import apply_null_tokens, read_csv, read_table
+from ..sources import apply_null_tokens, read_csv, read_small_csv, read_table
+from ..sources.sinks import write_csv
+from .jobs import stage_arrivals, stage_countries, stage_demographics, stage_temperatures
 from . import demo
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -148,6 +150,30 @@ def q_star_report(spark: SparkSession, sf: str) -> DataFrame:
     return stay_report(fact, calendar_dim(fact), transport_mode_dim(fact), visa_dim(fact))
 
 
+# ---- staging and the full demographics path -------------------------------------------------
+
+def q_stage_arrivals(spark: SparkSession, sf: str) -> DataFrame:
+    return stage_arrivals(demo.sparse_arrivals(spark, sf))
+
+
+def q_stage_temperatures(spark: SparkSession, sf: str) -> DataFrame:
+    return stage_temperatures(demo.raw_temperatures(spark, sf))
+
+
+def q_stage_countries(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "countries_csv")
+    demo.write_indexed_csv(demo.raw_countries(spark, sf), path)
+    return stage_countries(read_small_csv(spark, path))
+
+
+def q_city_demographics_dim(spark: SparkSession, sf: str) -> DataFrame:
+    raw_path, staged_path = scratch_path(spark, "demographics_raw"), scratch_path(spark, "demographics_stage")
+    (demo.raw_demographics(spark, sf).select(F.monotonically_increasing_id().alias(""), "*")
+     .write.mode("overwrite").option("header", True).option("sep", ";").csv(raw_path))
+    write_csv(stage_demographics(read_small_csv(spark, raw_path, sep=";")), staged_path)
+    return city_demographics_dim(read_csv(spark, staged_path))
+
+
 QUERIES: dict[str, Query] = {
     "missing_profile": q_missing_profile,
     "drop_sparse_columns": q_drop_sparse_columns,
@@ -172,6 +198,10 @@ QUERIES: dict[str, Query] = {
     "port_dim": q_port_dim,
     "arrivals_fact": q_arrivals_fact,
     "star_report": q_star_report,
+    "stage_arrivals": q_stage_arrivals,
+    "stage_temperatures": q_stage_temperatures,
+    "stage_countries": q_stage_countries,
+    "city_demographics_dim": q_city_demographics_dim,
 }
 
 
@@ -270,8 +300,7 @@ def _sas_date(col: str) -> str:
 
 _ARRIVALS_ORDER_SQL = ", ".join(f'"{c}" NULLS FIRST' for c in demo.ARRIVALS_ORDER)
 
-_FACT = f"""
-WITH r AS (
+_RAW_ARRIVALS = """
   SELECT CAST(l_orderkey * 10 + l_linenumber AS DOUBLE) AS cicid,
          CAST(year(o_orderdate) AS DOUBLE) AS i94yr, CAST(month(o_orderdate) AS DOUBLE) AS i94mon,
          CAST(c_nationkey AS DOUBLE) AS i94cit, CAST(o_custkey % 25 AS DOUBLE) AS i94res,
@@ -285,7 +314,10 @@ WITH r AS (
          CAST(year(o_orderdate) - l_quantity AS DOUBLE) AS biryear,
          l_linestatus AS gender, c_mktsegment AS airline, l_returnflag AS visatype,
          CAST(l_orderkey AS DOUBLE) AS admnum, l_partkey, l_suppkey, l_extendedprice, l_discount, l_tax
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey),
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey"""
+
+_FACT = f"""
+WITH r AS ({_RAW_ARRIVALS}),
 d AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY cicid ORDER BY {_ARRIVALS_ORDER_SQL}) = 1),
 f AS (
   SELECT CAST(trunc(cicid) AS INTEGER) AS id, CAST(trunc(i94cit) AS INTEGER) AS birth_country_id,
@@ -298,6 +330,24 @@ f AS (
          gender, airline, visatype, l_partkey, l_suppkey, l_extendedprice, l_discount, l_tax
   FROM d)"""
 
+_CITY_DEMOGRAPHICS = (
+    """
+WITH pc AS (SELECT c_nationkey, count(*) AS total, count(*) FILTER (WHERE c_custkey % 2 = 0) AS male,
+                   count(*) FILTER (WHERE c_acctbal < 0) AS veterans
+            FROM customer GROUP BY c_nationkey),
+pr AS (SELECT c_nationkey, c_mktsegment, count(*) AS cnt FROM customer GROUP BY c_nationkey, c_mktsegment)
+SELECT n_name AS city, 'Region ' || CAST(n_regionkey AS VARCHAR) AS state,
+       CAST(30.0 + pc.c_nationkey / 2 AS FLOAT) AS median_age,
+       male AS male_population, total - male AS female_population, total AS total_population,
+       CASE WHEN pc.c_nationkey % 6 <> 0 THEN veterans END AS number_of_veterans,
+       veterans AS foreign_born, CAST(2.5 AS FLOAT) AS average_household_size,
+       'R' || CAST(n_regionkey AS VARCHAR) AS state_code, """
+    + ", ".join(f"CAST(sum(cnt) FILTER (WHERE c_mktsegment = '{seg}') AS BIGINT) AS {seg.lower()}_segment_members"
+                for seg in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"))
+    + """
+FROM pr JOIN pc ON pr.c_nationkey = pc.c_nationkey JOIN nation ON pc.c_nationkey = n_nationkey
+GROUP BY ALL""")
+
 ORACLE_SQL: dict[str, str] = {
     "missing_profile": _MISSING_PROFILE,
     "drop_sparse_columns": """
@@ -403,6 +453,28 @@ SELECT CAST(year(arrival_date) AS INTEGER) AS year, CAST(month(arrival_date) AS
        CAST(sum(stay_days) AS BIGINT) AS total_stay_days,
        sum(stay_days) / count(stay_days) AS avg_stay_days
 FROM g GROUP BY 1, 2, 3""",
+    "stage_arrivals": f"""
+WITH r AS ({_RAW_ARRIVALS})
+SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY cicid ORDER BY {_ARRIVALS_ORDER_SQL}) = 1""",
+    "stage_temperatures": """
+WITH t AS (
+  SELECT strftime(date_trunc('month', CAST(o_orderdate AS DATE)), '%Y-%m-%d') AS dt,
+         CASE WHEN o_orderkey % 23 = 0 THEN NULL WHEN o_orderkey % 29 = 0 THEN 'n/a'
+              ELSE CAST(floor((o_totalprice % 4000) / 25) / 4 - 5 AS VARCHAR) END AS AverageTemperature,
+         upper(substr(c_mktsegment, 1, 1)) || lower(substr(c_mktsegment, 2)) AS City,
+         'Nation_' || CAST(c_nationkey AS VARCHAR) AS Country
+  FROM orders JOIN customer ON o_custkey = c_custkey),
+d AS (SELECT dt, City, Country, min(AverageTemperature) AS AverageTemperature
+      FROM t WHERE AverageTemperature IS NOT NULL GROUP BY dt, City, Country)
+SELECT City, Country, avg(try_cast(AverageTemperature AS DOUBLE)) AS average_temperature
+FROM d GROUP BY City, Country""",
+    "stage_countries": f"""
+WITH c AS (SELECT CAST(n_nationkey AS VARCHAR) AS Code, n_name AS Country FROM nation
+           UNION ALL SELECT 'NA', r_name FROM region)
+SELECT DISTINCT CASE WHEN Code IN ({_sql_list(PANDAS_NA_TOKENS)}) THEN NULL ELSE Code END AS Code,
+                CASE WHEN Country IN ({_sql_list(PANDAS_NA_TOKENS)}) THEN NULL ELSE Country END AS Country
+FROM c""",
+    "city_demographics_dim": _CITY_DEMOGRAPHICS,
 }
 
 
