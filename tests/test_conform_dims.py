@@ -160,3 +160,15 @@ def test_arrivals_fact(spark):
     assert got[2].stay_days == -6 and got[2].age_in_yrs is None and got[2].gender == "FF"
     assert got[3].arrival_date is None and got[3].transport_mode_id == 9
     assert dict(f.dtypes)["visa"] == "smallint"
+
+
+def test_pivot_long_list_path_agrees(spark, monkeypatch):
+    import arrivals_star.operators.dims as dims
+    df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select(
+        (F.col("l_partkey") % 7).alias("k"), (F.col("l_suppkey") % 80).cast("string").alias("p"),
+        F.col("l_linenumber").alias("v"))
+    short = pivot_sum(df, ["k"], "p", "v")
+    monkeypatch.setattr(dims, "MAX_CONDITIONAL_PIVOT", 5)
+    long = dims.pivot_sum(df, ["k"], "p", "v")
+    assert short.columns == long.columns
+    assert sorted(map(tuple, short.collect())) == sorted(map(tuple, long.collect()))

@@ -72,3 +72,15 @@ def test_query_matches_sql(spark, duck, name):
     rel = duck.sql(oracle_sql()[name])
     assert sorted(df.columns) == sorted(rel.columns)
     assert _canon([tuple(r) for r in df.collect()], df.columns) == _canon(rel.fetchall(), rel.columns)
+
+
+@pytest.mark.parametrize("name", ["dedupe_by_key", "clean_small_table", "stage_temperatures", "arrivals_fact"])
+def test_same_result_under_1_and_8_partitions(spark, name):
+    results = []
+    for n in ("1", "8"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        try:
+            results.append(sorted(map(tuple, queries()[name](spark, SF).collect()), key=repr))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert results[0] == results[1]
