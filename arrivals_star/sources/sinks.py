@@ -5,22 +5,30 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (),
+                  files_per_folder: int = 1) -> None:
     """Write Parquet, replacing what is there.
 
     With ``partition_by`` (S9) rows are first hash-partitioned by those columns into
-    ``spark.sql.shuffle.partitions`` tasks, so each output folder gets one file instead of one
-    per task, and the folders are written by many tasks at once. The count is given explicitly:
+    ``spark.sql.shuffle.partitions`` tasks, so the folders are written by many tasks at once and
+    each gets at most ``files_per_folder`` files instead of one per task. The count is given explicitly:
     left to AQE, a small table is coalesced into one task that writes every folder in turn.
+
+    With one file per folder, a folder holding a third of the rows is written by one task; for
+    large skewed tables give ``files_per_folder > 1``: a hash of the whole row, modulo that
+    number, joins the partitioning key, so a hot folder is spread over up to that many tasks.
     """
-    if partition_by:
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        (df.repartition(n, *partition_by).write.partitionBy(*partition_by)
-         .mode("overwrite").parquet(path))
-    else:
+    if not partition_by:
         df.write.mode("overwrite").parquet(path)
+        return
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(c) for c in partition_by]
+    if files_per_folder > 1:
+        keys.append(F.pmod(F.hash(*[F.col(c) for c in df.columns]), F.lit(files_per_folder)))
+    df.repartition(n, *keys).write.partitionBy(*partition_by).mode("overwrite").parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:

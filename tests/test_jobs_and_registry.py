@@ -84,3 +84,22 @@ def test_same_result_under_1_and_8_partitions(spark, name):
         finally:
             spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert results[0] == results[1]
+
+
+def test_partitioned_write_spreads_a_hot_folder(spark, scratch):
+    from pyspark.sql import functions as F
+    from arrivals_star.sources.sinks import write_parquet
+    df = spark.range(0, 3000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 5).alias("part"),
+                                     F.col("id"))
+    one, four = scratch("one_file"), scratch("four_files")
+    write_parquet(df, one, ["part"])
+    write_parquet(df, four, ["part"], files_per_folder=4)
+
+    def files(path, folder):
+        d = os.path.join(path.replace("file:", ""), folder)
+        return [f for f in os.listdir(d) if f.endswith(".parquet")]
+    assert len(files(one, "part=0")) == 1
+    assert 2 <= len(files(four, "part=0")) <= 4  # salts can share a task by hashing
+    for p in (one, four):
+        back = spark.read.parquet(p)
+        assert sorted(r.id for r in back.collect()) == list(range(3000))
