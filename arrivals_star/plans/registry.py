@@ -23,7 +23,7 @@ from ..operators.profile import missing_profile
 from ..session import scratch_path
 from ..sources import apply_null_tokens, read_csv, read_small_csv, read_table
 from ..sources.sinks import write_csv, write_parquet
-from .jobs import stage_arrivals, stage_countries, stage_demographics, stage_temperatures
+from .jobs import stage_arrivals, stage_countries, stage_demographics, stage_ports, stage_temperatures
 from . import demo
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -174,6 +174,12 @@ def q_stage_countries(spark: SparkSession, sf: str) -> DataFrame:
     return stage_countries(read_small_csv(spark, path))
 
 
+def q_stage_ports(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "ports_raw_csv")
+    demo.write_indexed_csv(demo.raw_ports(spark, sf), path)
+    return stage_ports(read_small_csv(spark, path))
+
+
 def q_city_demographics_dim(spark: SparkSession, sf: str) -> DataFrame:
     raw_path, staged_path = scratch_path(spark, "demographics_raw"), scratch_path(spark, "demographics_stage")
     (demo.raw_demographics(spark, sf).select(F.monotonically_increasing_id().alias(""), "*")
@@ -209,6 +215,7 @@ QUERIES: dict[str, Query] = {
     "stage_arrivals": q_stage_arrivals,
     "stage_temperatures": q_stage_temperatures,
     "stage_countries": q_stage_countries,
+    "stage_ports": q_stage_ports,
     "city_demographics_dim": q_city_demographics_dim,
 }
 
@@ -482,6 +489,11 @@ WITH c AS (SELECT CAST(n_nationkey AS VARCHAR) AS Code, n_name AS Country FROM n
 SELECT DISTINCT CASE WHEN Code IN ({_sql_list(PANDAS_NA_TOKENS)}) THEN NULL ELSE Code END AS Code,
                 CASE WHEN Country IN ({_sql_list(PANDAS_NA_TOKENS)}) THEN NULL ELSE Country END AS Country
 FROM c""",
+    "stage_ports": """
+SELECT DISTINCT 'P' || CAST(n_nationkey AS VARCHAR) AS Code,
+       n_name || ', R' || CAST(n_regionkey AS VARCHAR) AS City,
+       CASE WHEN n_regionkey <> 0 THEN 'S' || CAST(n_regionkey AS VARCHAR) END AS State
+FROM nation""",
     "city_demographics_dim": _CITY_DEMOGRAPHICS,
 }
 
