@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.aggregate import group_mean
 from ..operators.clean import clean, dedupe_by_key, drop_empty_rows, drop_sparse_columns, require_columns
@@ -83,16 +84,31 @@ def _join(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{name}"
 
 
-def run_stage(spark: SparkSession, raw: RawInputs, stage_dir: str, threshold: float = 90.0) -> dict[str, str]:
-    """Staging job (T13): build and write the five staged tables; returns their paths."""
+def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+def run_stage(spark: SparkSession, raw: RawInputs, stage_dir: str, threshold: float = 90.0,
+              row_counts: dict[str, int] | None = None) -> dict[str, str]:
+    """Staging job (T13): build and write the five staged tables; returns their paths.
+
+    Each table's row count after cleaning (C3) is recorded by an ``Observation`` during its write,
+    without another scan; pass a dict as ``row_counts`` to receive them.
+    """
     out = {k: _join(stage_dir, v) for k, v in STAGED.items()}
-    write_parquet(stage_arrivals(read_table(spark, raw.arrivals, raw.arrivals_format), threshold),
-                  out["arrivals"])
-    write_csv(stage_temperatures(read_csv(spark, raw.temperatures), threshold), out["temperatures"])
-    write_csv(stage_demographics(read_small_csv(spark, raw.demographics, sep=";"), threshold),
-              out["demographics"])
-    write_csv(stage_ports(read_small_csv(spark, raw.ports), threshold), out["ports"])
-    write_csv(stage_countries(read_small_csv(spark, raw.countries), threshold), out["countries"])
+    tables = {
+        "arrivals": (stage_arrivals(read_table(spark, raw.arrivals, raw.arrivals_format), threshold), write_parquet),
+        "temperatures": (stage_temperatures(read_csv(spark, raw.temperatures), threshold), write_csv),
+        "demographics": (stage_demographics(read_small_csv(spark, raw.demographics, sep=";"), threshold), write_csv),
+        "ports": (stage_ports(read_small_csv(spark, raw.ports), threshold), write_csv),
+        "countries": (stage_countries(read_small_csv(spark, raw.countries), threshold), write_csv),
+    }
+    for name, (df, write) in tables.items():
+        observed, obs = _observed(df, f"stage_{name}")
+        write(observed, out[name])
+        if row_counts is not None:
+            row_counts[name] = obs.get["rows"]
     return out
 
 

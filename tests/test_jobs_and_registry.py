@@ -15,11 +15,13 @@ SF = "/root/testdata/sf0.001"
 def test_stage_then_final(spark, scratch):
     base = scratch("e2e")
     raw = demo.write_raw_inputs(spark, SF, base + "/raw")
-    staged = jobs.run_stage(spark, raw, base + "/stage")
+    counts = {}
+    staged = jobs.run_stage(spark, raw, base + "/stage", row_counts=counts)
     final = jobs.run_final(spark, base + "/stage", base + "/final")
     arrivals = spark.read.parquet(staged["arrivals"])
     assert "visapost" not in arrivals.columns  # 95 % missing
-    assert arrivals.count() == arrivals.select("cicid").distinct().count()
+    assert arrivals.count() == arrivals.select("cicid").distinct().count() == counts["arrivals"]
+    assert set(counts) == set(staged) and all(v > 0 for v in counts.values())
     schemas = {k: [f"{f.name}:{f.dataType.simpleString()}" for f in spark.read.parquet(p).schema.fields]
                for k, p in final.items()}
     assert schemas["fact"][:4] == ["id:int", "birth_country_id:int", "residence_country_id:int", "port_id:string"]
