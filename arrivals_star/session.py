@@ -9,12 +9,14 @@ from pyspark.sql import SparkSession
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "arrivals_star") -> SparkSession:
+                app_name: str = "arrivals_star", local_driver_memory: str = "16g") -> SparkSession:
     """Return the active session, or build one with settings suited to this job.
 
     On a cluster the caller normally owns the session; this helper is for tests, the bench and
     local runs. AQE re-plans joins and coalesces small shuffle partitions at run time, and its
-    skew-join split handles a hot key on the shuffle-join fallback paths.
+    skew-join split handles a hot key on the shuffle-join fallback paths. In local mode every
+    task runs in the driver JVM, whose heap defaults to 1 GB; ``local_driver_memory`` sizes it
+    (it takes effect only when this call starts the JVM).
     """
     builder = (SparkSession.builder.appName(app_name)
                .config("spark.ui.enabled", "false")
@@ -22,9 +24,14 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
                .config("spark.sql.adaptive.enabled", "true")
                .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
                .config("spark.sql.adaptive.skewJoin.enabled", "true")
-               .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+               .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+               # A driver that runs many different plans evicts the default 100 compiled
+               # stage classes and recompiles them on every run.
+               .config("spark.sql.codegen.cache.maxEntries", "1000"))
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            builder = builder.config("spark.driver.memory", local_driver_memory)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
@@ -38,15 +45,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     Only a local session without the setting gets a folder of its own (as in tests); a cluster
     session without it is an error, since a machine-local folder is not visible to executors.
     """
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a session without a local SparkContext (e.g. Spark Connect)
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        root = sc.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not sc.master.startswith("local"):
+    if sc is None or not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a folder shared by the cluster")
     root = tempfile.mkdtemp(prefix="arrivals-star-ckpt-")
     sc.setCheckpointDir(root)
-    return sc.getCheckpointDir() or root
+    return (sc.getCheckpointDir() or root).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
