@@ -71,7 +71,7 @@ def dedupe_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ())
             .select(*[qcol(c) for c in df.columns]))
 
 
-def clean(df: DataFrame, threshold: float = 90.0, keys: Sequence[str] = (), order: Sequence[str] = (),
+def clean(df: DataFrame, threshold: float | None = 90.0, keys: Sequence[str] = (), order: Sequence[str] = (),
           protected: Sequence[str] = (), observation: Observation | None = None) -> DataFrame:
     """The whole small-table cleaner (C9): C1, C2, then with keys C4 and a dedupe by key,
     without keys C5.
@@ -79,8 +79,10 @@ def clean(df: DataFrame, threshold: float = 90.0, keys: Sequence[str] = (), orde
     With keys, the exact-duplicate pass is skipped: the key dedupe keeps the smallest whole row
     per key, which is the row an exact dedupe followed by a key dedupe would keep, so one shuffle
     does both. An ``observation`` records the output row count without an extra scan (C3).
+    ``threshold=None`` skips the sparse-column step (for a caller that already dropped them).
     """
-    out = drop_empty_rows(drop_sparse_columns(df, threshold, protected))
+    sparse_dropped = df if threshold is None else drop_sparse_columns(df, threshold, protected)
+    out = drop_empty_rows(sparse_dropped)
     if keys:
         out = dedupe_by_key(require_columns(out, keys), keys, order)
     else:
