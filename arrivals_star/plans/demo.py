@@ -164,13 +164,14 @@ def balance_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("c_nationkey", cls.alias("class"), F.col("c_acctbal").cast("int").alias("balance"))
 
 
-def nation_ports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nation as a port list (Code, City, State): a comma inside City, no State for region 0."""
-    n = table(spark, sf_dir, "nation")
-    return n.select(F.concat(F.lit("P"), F.col("n_nationkey").cast("string")).alias("Code"),
-                    F.concat(F.col("n_name"), F.lit(", R"), F.col("n_regionkey").cast("string")).alias("City"),
-                    F.when(F.col("n_regionkey") != 0,
-                           F.concat(F.lit("S"), F.col("n_regionkey").cast("string"))).alias("State"))
+def customer_ports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer as a port list (Code, City, State): one port per customer, a comma inside City,
+    no State where the nation key is a multiple of 5."""
+    c = table(spark, sf_dir, "customer")
+    nk = F.col("c_nationkey")
+    return c.select(F.concat(F.lit("P"), F.col("c_custkey").cast("string")).alias("Code"),
+                    F.concat(F.col("c_name"), F.lit(", N"), nk.cast("string")).alias("City"),
+                    F.when(nk % 5 != 0, F.concat(F.lit("S"), nk.cast("string"))).alias("State"))
 
 
 def raw_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,17 +267,20 @@ def raw_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_ports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw ports: the nation port list, every row twice."""
-    p = nation_ports(spark, sf_dir)
+    """Raw ports: the customer port list, every row twice."""
+    p = customer_ports(spark, sf_dir)
     return p.unionAll(p)
 
 
 def raw_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw countries: nation names in upper case, plus the regions with the literal code 'NA'."""
-    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("Code"),
-                                              F.col("n_name").alias("Country"))
-    r = table(spark, sf_dir, "region").select(F.lit("NA").alias("Code"), F.col("r_name").alias("Country"))
-    return n.unionAll(r)
+    """Raw countries, one row per customer: its nation's code and upper-case name, or on one
+    customer in 50 a region name with the literal code 'NA'. Few distinct rows, many copies."""
+    c = table(spark, sf_dir, "customer")
+    nk = F.col("c_nationkey")
+    odd = F.col("c_custkey") % 50 == 0
+    return c.select(F.when(odd, F.lit("NA")).otherwise(nk.cast("string")).alias("Code"),
+                    F.when(odd, F.concat(F.lit("REGION_"), (nk % 5).cast("string")))
+                    .otherwise(F.concat(F.lit("NATION_"), nk.cast("string"))).alias("Country"))
 
 
 def write_raw_inputs(spark: SparkSession, sf_dir: str, out_dir: str):

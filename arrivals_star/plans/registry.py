@@ -129,7 +129,7 @@ def q_pivot_sum(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_port_dim(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "ports_csv")
-    demo.write_indexed_csv(demo.nation_ports(spark, sf), path)
+    demo.write_indexed_csv(demo.customer_ports(spark, sf), path)
     return port_dim(read_csv(spark, path))
 
 
@@ -453,10 +453,10 @@ SELECT c_mktsegment AS City, 'NATION_' || CAST(c_nationkey AS VARCHAR) AS Countr
 FROM customer GROUP BY 1, 2""",
     "pivot_sum": _PIVOT_SUM,
     "port_dim": """
-SELECT 'P' || CAST(n_nationkey AS VARCHAR) AS port_id,
-       n_name || ', R' || CAST(n_regionkey AS VARCHAR) AS city,
-       CASE WHEN n_regionkey <> 0 THEN 'S' || CAST(n_regionkey AS VARCHAR) END AS state
-FROM nation""",
+SELECT 'P' || CAST(c_custkey AS VARCHAR) AS port_id,
+       c_name || ', N' || CAST(c_nationkey AS VARCHAR) AS city,
+       CASE WHEN c_nationkey % 5 <> 0 THEN 'S' || CAST(c_nationkey AS VARCHAR) END AS state
+FROM customer""",
     "arrivals_fact": _FACT + """
 SELECT *, CAST(date_diff('day', arrival_date, depart_date) AS INTEGER) AS stay_days FROM f""",
     "star_report": _FACT + """,
@@ -484,16 +484,18 @@ d AS (SELECT dt, City, Country, min(AverageTemperature) AS AverageTemperature
 SELECT City, Country, avg(try_cast(AverageTemperature AS DOUBLE)) AS average_temperature
 FROM d GROUP BY City, Country""",
     "stage_countries": f"""
-WITH c AS (SELECT CAST(n_nationkey AS VARCHAR) AS Code, n_name AS Country FROM nation
-           UNION ALL SELECT 'NA', r_name FROM region)
+WITH c AS (SELECT CASE WHEN c_custkey % 50 = 0 THEN 'NA' ELSE CAST(c_nationkey AS VARCHAR) END AS Code,
+                  CASE WHEN c_custkey % 50 = 0 THEN 'REGION_' || CAST(c_nationkey % 5 AS VARCHAR)
+                       ELSE 'NATION_' || CAST(c_nationkey AS VARCHAR) END AS Country
+           FROM customer)
 SELECT DISTINCT CASE WHEN Code IN ({_sql_list(PANDAS_NA_TOKENS)}) THEN NULL ELSE Code END AS Code,
                 CASE WHEN Country IN ({_sql_list(PANDAS_NA_TOKENS)}) THEN NULL ELSE Country END AS Country
 FROM c""",
     "stage_ports": """
-SELECT DISTINCT 'P' || CAST(n_nationkey AS VARCHAR) AS Code,
-       n_name || ', R' || CAST(n_regionkey AS VARCHAR) AS City,
-       CASE WHEN n_regionkey <> 0 THEN 'S' || CAST(n_regionkey AS VARCHAR) END AS State
-FROM nation""",
+SELECT DISTINCT 'P' || CAST(c_custkey AS VARCHAR) AS Code,
+       c_name || ', N' || CAST(c_nationkey AS VARCHAR) AS City,
+       CASE WHEN c_nationkey % 5 <> 0 THEN 'S' || CAST(c_nationkey AS VARCHAR) END AS State
+FROM customer""",
     "city_demographics_dim": _CITY_DEMOGRAPHICS,
 }
 
