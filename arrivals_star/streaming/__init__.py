@@ -3,5 +3,6 @@
 The job this library rebuilds is batch only: every input is read whole and every table is
 rewritten, with no watermark, window or state. So there is no streaming operator here. The
 builders are plain ``DataFrame → DataFrame`` functions; the map-only ones (``arrivals_fact``,
-the conform and date rules) apply unchanged to a ``readStream`` frame if a caller wants that.
+the conform and date rules) apply unchanged to a ``readStream`` frame if a caller wants that
+(``tests/test_streaming.py`` runs the fact on a stream and compares it with the batch result).
 """
