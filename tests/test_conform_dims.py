@@ -97,6 +97,13 @@ def test_broadcast_guard(spark):
         big = spark.range(1000)
         assert "BroadcastHashJoin" in plan_text(big.join(broadcast_if_small(small, 10), "id"))
         assert "BroadcastHashJoin" not in plan_text(big.join(broadcast_if_small(small, 9), "id"))
+        # Few rows but long text: over the byte bound, so it is not broadcast.
+        wide = spark.createDataFrame([(i, "x" * 1000) for i in range(10)], "id long, note string")
+        assert has_at_most(wide, 10, 20_000) and not has_at_most(wide, 10, 5_000)
+        assert "BroadcastHashJoin" not in plan_text(big.join(broadcast_if_small(wide, 10, 5_000), "id"))
+        assert "BroadcastHashJoin" in plan_text(big.join(broadcast_if_small(wide, 10, 20_000), "id"))
+        # Fixed-width columns only: the size follows from the count (10 rows x 16 bytes).
+        assert has_at_most(small, 10, 160) and not has_at_most(small, 10, 159)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
