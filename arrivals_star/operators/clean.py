@@ -16,10 +16,15 @@ def drop_sparse_columns(df: DataFrame, threshold: float = 90.0, protected: Seque
     """Drop columns with at least ``threshold`` percent missing (C1); ``protected`` ones are kept.
 
     The only eager step of the cleaners: one aggregate scan, then the one-row-per-column profile
-    is collected to decide the columns.
+    is collected to decide the columns. Only unprotected columns are profiled, as the others stay
+    whatever their count, so a columnar scan reads just those (none at all when every column is
+    protected).
     """
-    prof = profile if profile is not None else missing_profile(df)
     keep = {c.lower() for c in protected}
+    candidates = [c for c in df.columns if c.lower() not in keep]
+    if not candidates:
+        return df
+    prof = profile if profile is not None else missing_profile(df, candidates)
     drop = [c for c in sparse_columns(prof, threshold) if c.lower() not in keep]
     return df.drop(*drop) if drop else df
 

@@ -42,6 +42,16 @@ def test_sparse_threshold_is_inclusive(spark):
     assert drop_sparse_columns(df, 90, protected=["NINETY"]).columns == ["k", "ninety", "eighty"]
 
 
+def test_sparse_drop_does_not_read_protected_columns(spark):
+    # Evaluating `boom` raises, so the profile must leave protected columns out of its scan.
+    df = spark.range(10).select("id", F.when(F.col("id") % 2 == 0, F.col("id")).alias("half"),
+                                F.raise_error(F.lit("protected column was read")).alias("boom"))
+    with pytest.raises(Exception, match="protected column was read"):
+        missing_profile(df).collect()
+    assert drop_sparse_columns(df, 40, protected=["boom"]).columns == ["id", "boom"]
+    assert drop_sparse_columns(df, 90, protected=["id", "half", "boom"]).columns == ["id", "half", "boom"]
+
+
 def test_drop_empty_rows_counts_nan_as_missing(spark):
     df = spark.createDataFrame([(None, None), (float("nan"), None), (1.0, None), (None, "x")], "v double, s string")
     assert drop_empty_rows(df).count() == 2
