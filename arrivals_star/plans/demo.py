@@ -7,12 +7,23 @@ with the tables. Each frame has a twin in SQL in ``registry.py`` for the DuckDB
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+
+@functools.lru_cache(maxsize=None)
+def _schema(spark: SparkSession, path: str) -> StructType:
+    return spark.read.parquet(path).schema
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One of the given test tables. Its schema is read from the file once per session and then
+    passed to the reader, so later reads run no footer-reading job (the files are read-only)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
 
 
 def _case(key: Column, n: int, cases: dict[int, Column | object], default: Column) -> Column:
