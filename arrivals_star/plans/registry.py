@@ -7,6 +7,7 @@ twin computes the same rows from the same parquet tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +25,8 @@ from ..session import scratch_path
 from ..sources import apply_null_tokens, read_csv, read_small_csv, read_table
 from ..sources.sinks import write_csv, write_parquet
 from . import demo
-from .jobs import stage_arrivals, stage_countries, stage_demographics, stage_ports, stage_temperatures
+from .jobs import (run_final, run_stage, stage_arrivals, stage_countries, stage_demographics, stage_ports,
+                   stage_temperatures)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -188,6 +190,26 @@ def q_city_demographics_dim(spark: SparkSession, sf: str) -> DataFrame:
     return city_demographics_dim(read_csv(spark, staged_path))
 
 
+# Staged tables that run_stage writes as CSV; the others are Parquet.
+_CSV_STAGED = {"temperatures", "demographics", "ports", "countries"}
+
+
+def q_star_schema(spark: SparkSession, sf: str) -> DataFrame:
+    # Both jobs end to end (T13, T14): raw inputs derived from the given tables are written, the
+    # staging job writes the five staged tables, the final job the fact and six dimensions; the
+    # result is each written table's row count, counted by Spark from the files.
+    base = scratch_path(spark, "star_schema")
+    raw = demo.write_raw_inputs(spark, sf, f"{base}/raw")
+    staged = run_stage(spark, raw, f"{base}/stage")
+    final = run_final(spark, f"{base}/stage", f"{base}/final")
+    tables = [(f"stage_{k}", read_csv(spark, p) if k in _CSV_STAGED else read_table(spark, p))
+              for k, p in staged.items()]
+    tables += [(f"final_{k}", read_table(spark, p)) for k, p in final.items()]
+    counts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+              for name, df in tables]
+    return reduce(DataFrame.unionByName, counts)
+
+
 QUERIES: dict[str, Query] = {
     "missing_profile": q_missing_profile,
     "drop_sparse_columns": q_drop_sparse_columns,
@@ -217,6 +239,7 @@ QUERIES: dict[str, Query] = {
     "stage_countries": q_stage_countries,
     "stage_ports": q_stage_ports,
     "city_demographics_dim": q_city_demographics_dim,
+    "star_schema": q_star_schema,
 }
 
 
@@ -499,5 +522,25 @@ FROM customer""",
     "city_demographics_dim": _CITY_DEMOGRAPHICS,
 }
 
+ORACLE_SQL["star_schema"] = f"""
+WITH fact AS ({ORACLE_SQL["arrivals_fact"]}),
+temps AS ({ORACLE_SQL["stage_temperatures"]}),
+countries AS ({ORACLE_SQL["stage_countries"]}),
+ports AS ({ORACLE_SQL["stage_ports"]}),
+cities AS ({_CITY_DEMOGRAPHICS})
+SELECT 'stage_arrivals' AS table_name, count(*) AS row_count FROM fact
+UNION ALL SELECT 'stage_temperatures', count(*) FROM temps
+UNION ALL SELECT 'stage_demographics', count(*)
+          FROM (SELECT DISTINCT c_nationkey, c_mktsegment FROM customer JOIN nation ON c_nationkey = n_nationkey)
+UNION ALL SELECT 'stage_ports', count(*) FROM ports
+UNION ALL SELECT 'stage_countries', count(*) FROM countries
+UNION ALL SELECT 'final_fact', count(*) FROM fact
+UNION ALL SELECT 'final_calendar', count(*) FROM (SELECT arrival_date FROM fact UNION SELECT depart_date FROM fact)
+UNION ALL SELECT 'final_visa', count(*) FROM (SELECT DISTINCT visa, visatype FROM fact)
+UNION ALL SELECT 'final_mode', count(*) FROM (SELECT DISTINCT transport_mode_id FROM fact)
+UNION ALL SELECT 'final_temperature', count(*) FROM temps t JOIN countries c ON lower(t.Country) = lower(c.Country)
+UNION ALL SELECT 'final_demographics', count(*) FROM cities
+UNION ALL SELECT 'final_port', count(*) FROM ports"""
+
 
 __all__ = ["QUERIES", "ORACLE_SQL", "Query"]
