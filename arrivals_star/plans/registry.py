@@ -193,11 +193,28 @@ def q_city_demographics_dim(spark: SparkSession, sf: str) -> DataFrame:
 # Staged tables that run_stage writes as CSV; the others are Parquet.
 _CSV_STAGED = {"temperatures", "demographics", "ports", "countries"}
 
+# An integer checksum of each written table, so that values are compared and not only counts
+# (integer sums and text lengths: exact in both engines, whatever the summing order).
+_CHECKSUMS = {
+    "stage_arrivals": lambda: F.sum("cicid").cast("bigint"),
+    "stage_temperatures": lambda: F.sum(F.length("City") + F.length("Country")),
+    "stage_demographics": lambda: F.sum(F.col("Count").try_cast("bigint")),
+    "stage_ports": lambda: F.sum(F.length("Code")),
+    "stage_countries": lambda: F.sum(F.length("Country")),
+    "final_fact": lambda: F.sum("id") + F.sum("stay_days"),
+    "final_calendar": lambda: F.sum("id"),
+    "final_visa": lambda: F.sum("visa_cat_id"),
+    "final_mode": lambda: F.sum("id"),
+    "final_temperature": lambda: F.sum(F.col("country_id").try_cast("int")),
+    "final_demographics": lambda: F.sum("total_population"),
+    "final_port": lambda: F.sum(F.length("port_id")),
+}
+
 
 def q_star_schema(spark: SparkSession, sf: str) -> DataFrame:
     # Both jobs end to end (T13, T14): raw inputs derived from the given tables are written, the
     # staging job writes the five staged tables, the final job the fact and six dimensions; the
-    # result is each written table's row count, counted by Spark from the files.
+    # result is each written table's row count and checksum, computed by Spark from the files.
     base = scratch_path(spark, "star_schema")
     raw = demo.write_raw_inputs(spark, sf, f"{base}/raw")
     staged = run_stage(spark, raw, f"{base}/stage")
@@ -205,7 +222,8 @@ def q_star_schema(spark: SparkSession, sf: str) -> DataFrame:
     tables = [(f"stage_{k}", read_csv(spark, p) if k in _CSV_STAGED else read_table(spark, p))
               for k, p in staged.items()]
     tables += [(f"final_{k}", read_table(spark, p)) for k, p in final.items()]
-    counts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+    counts = [df.agg(F.count(F.lit(1)).alias("row_count"), _CHECKSUMS[name]().cast("bigint").alias("checksum"))
+              .select(F.lit(name).alias("table_name"), "row_count", "checksum")
               for name, df in tables]
     return reduce(DataFrame.unionByName, counts)
 
@@ -527,20 +545,26 @@ WITH fact AS ({ORACLE_SQL["arrivals_fact"]}),
 temps AS ({ORACLE_SQL["stage_temperatures"]}),
 countries AS ({ORACLE_SQL["stage_countries"]}),
 ports AS ({ORACLE_SQL["stage_ports"]}),
-cities AS ({_CITY_DEMOGRAPHICS})
-SELECT 'stage_arrivals' AS table_name, count(*) AS row_count FROM fact
-UNION ALL SELECT 'stage_temperatures', count(*) FROM temps
-UNION ALL SELECT 'stage_demographics', count(*)
-          FROM (SELECT DISTINCT c_nationkey, c_mktsegment FROM customer JOIN nation ON c_nationkey = n_nationkey)
-UNION ALL SELECT 'stage_ports', count(*) FROM ports
-UNION ALL SELECT 'stage_countries', count(*) FROM countries
-UNION ALL SELECT 'final_fact', count(*) FROM fact
-UNION ALL SELECT 'final_calendar', count(*) FROM (SELECT arrival_date FROM fact UNION SELECT depart_date FROM fact)
-UNION ALL SELECT 'final_visa', count(*) FROM (SELECT DISTINCT visa, visatype FROM fact)
-UNION ALL SELECT 'final_mode', count(*) FROM (SELECT DISTINCT transport_mode_id FROM fact)
-UNION ALL SELECT 'final_temperature', count(*) FROM temps t JOIN countries c ON lower(t.Country) = lower(c.Country)
-UNION ALL SELECT 'final_demographics', count(*) FROM cities
-UNION ALL SELECT 'final_port', count(*) FROM ports"""
+cities AS ({_CITY_DEMOGRAPHICS}),
+dates AS (SELECT arrival_date AS d FROM fact UNION SELECT depart_date FROM fact),
+temperature AS (SELECT c.Code FROM temps t JOIN countries c ON lower(t.Country) = lower(c.Country))
+SELECT 'stage_arrivals' AS table_name, count(*) AS row_count, CAST(sum(id) AS BIGINT) AS checksum FROM fact
+UNION ALL SELECT 'stage_temperatures', count(*), CAST(sum(length(City) + length(Country)) AS BIGINT) FROM temps
+UNION ALL SELECT 'stage_demographics',
+          (SELECT count(*) FROM (SELECT DISTINCT c_nationkey, c_mktsegment
+                                 FROM customer JOIN nation ON c_nationkey = n_nationkey)),
+          (SELECT count(*) FROM customer JOIN nation ON c_nationkey = n_nationkey)
+UNION ALL SELECT 'stage_ports', count(*), CAST(sum(length(Code)) AS BIGINT) FROM ports
+UNION ALL SELECT 'stage_countries', count(*), CAST(sum(length(Country)) AS BIGINT) FROM countries
+UNION ALL SELECT 'final_fact', count(*), CAST(sum(id) + sum(stay_days) AS BIGINT) FROM fact
+UNION ALL SELECT 'final_calendar', count(*),
+          CAST(sum(coalesce(year(d) * 10000 + month(d) * 100 + dayofmonth(d), -1)) AS BIGINT) FROM dates
+UNION ALL SELECT 'final_visa', count(*), CAST(sum(visa) AS BIGINT) FROM (SELECT DISTINCT visa, visatype FROM fact)
+UNION ALL SELECT 'final_mode', count(*), CAST(sum(transport_mode_id) AS BIGINT)
+          FROM (SELECT DISTINCT transport_mode_id FROM fact)
+UNION ALL SELECT 'final_temperature', count(*), CAST(sum(CAST(Code AS INTEGER)) AS BIGINT) FROM temperature
+UNION ALL SELECT 'final_demographics', count(*), CAST(sum(total_population) AS BIGINT) FROM cities
+UNION ALL SELECT 'final_port', count(*), CAST(sum(length(Code)) AS BIGINT) FROM ports"""
 
 
 __all__ = ["QUERIES", "ORACLE_SQL", "Query"]
