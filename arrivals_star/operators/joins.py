@@ -26,10 +26,14 @@ def qcol_name(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def _fixed_row_bytes(df: DataFrame) -> int:
+    return 8 + 8 * len(df.columns)
+
+
 def row_bytes(df: DataFrame) -> Column:
     """Bytes of each row as a broadcast hash table holds it, near enough: a null-bit word and 8
     bytes per field, plus the bytes of text and binary values (nested values by their JSON text)."""
-    parts = [F.lit(8 + 8 * len(df.columns))]
+    parts = [F.lit(_fixed_row_bytes(df))]
     for f in df.schema.fields:
         if isinstance(f.dataType, _VARIABLE_WIDTH):
             parts.append(F.coalesce(F.octet_length(qcol(f.name)), F.lit(0)))
@@ -52,7 +56,7 @@ def has_at_most(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> b
     if max_bytes is None:
         return True
     if not any(isinstance(f.dataType, (*_VARIABLE_WIDTH, *_NESTED)) for f in df.schema.fields):
-        return rows * (8 + 8 * len(df.columns)) <= max_bytes
+        return rows * _fixed_row_bytes(df) <= max_bytes
     size = df.agg(F.sum(row_bytes(df))).first()[0]
     return (size or 0) <= max_bytes
 
