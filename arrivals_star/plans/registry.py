@@ -214,17 +214,21 @@ _CHECKSUMS = {
 def q_star_schema(spark: SparkSession, sf: str) -> DataFrame:
     # Both jobs end to end (T13, T14): raw inputs derived from the given tables are written, the
     # staging job writes the five staged tables, the final job the fact and six dimensions; the
-    # result is each written table's row count and checksum, computed by Spark from the files.
+    # result is each written table's row count and checksum, computed by Spark from the files,
+    # and for staged tables the row count observed during the write.
     base = scratch_path(spark, "star_schema")
     raw = demo.write_raw_inputs(spark, sf, f"{base}/raw")
-    staged = run_stage(spark, raw, f"{base}/stage")
+    observed: dict[str, int] = {}
+    staged = run_stage(spark, raw, f"{base}/stage", row_counts=observed)
     final = run_final(spark, f"{base}/stage", f"{base}/final")
-    tables = [(f"stage_{k}", read_csv(spark, p) if k in _CSV_STAGED else read_table(spark, p))
+    tables = [(f"stage_{k}", read_csv(spark, p) if k in _CSV_STAGED else read_table(spark, p), observed[k])
               for k, p in staged.items()]
-    tables += [(f"final_{k}", read_table(spark, p)) for k, p in final.items()]
+    tables += [(f"final_{k}", read_table(spark, p), None) for k, p in final.items()]
+    # observed_rows: the staging job's row count after cleaning (C3), recorded while it wrote.
     counts = [df.agg(F.count(F.lit(1)).alias("row_count"), _CHECKSUMS[name]().cast("bigint").alias("checksum"))
-              .select(F.lit(name).alias("table_name"), "row_count", "checksum")
-              for name, df in tables]
+              .select(F.lit(name).alias("table_name"), "row_count", "checksum",
+                      F.lit(seen).cast("bigint").alias("observed_rows"))
+              for name, df, seen in tables]
     return reduce(DataFrame.unionByName, counts)
 
 
@@ -548,23 +552,25 @@ ports AS ({ORACLE_SQL["stage_ports"]}),
 cities AS ({_CITY_DEMOGRAPHICS}),
 dates AS (SELECT arrival_date AS d FROM fact UNION SELECT depart_date FROM fact),
 temperature AS (SELECT c.Code FROM temps t JOIN countries c ON lower(t.Country) = lower(c.Country))
-SELECT 'stage_arrivals' AS table_name, count(*) AS row_count, CAST(sum(id) AS BIGINT) AS checksum FROM fact
-UNION ALL SELECT 'stage_temperatures', count(*), CAST(sum(length(City) + length(Country)) AS BIGINT) FROM temps
-UNION ALL SELECT 'stage_demographics',
-          (SELECT count(*) FROM (SELECT DISTINCT c_nationkey, c_mktsegment
-                                 FROM customer JOIN nation ON c_nationkey = n_nationkey)),
-          (SELECT count(*) FROM customer JOIN nation ON c_nationkey = n_nationkey)
-UNION ALL SELECT 'stage_ports', count(*), CAST(sum(length(Code)) AS BIGINT) FROM ports
-UNION ALL SELECT 'stage_countries', count(*), CAST(sum(length(Country)) AS BIGINT) FROM countries
-UNION ALL SELECT 'final_fact', count(*), CAST(sum(id) + sum(stay_days) AS BIGINT) FROM fact
+SELECT 'stage_arrivals' AS table_name, count(*) AS row_count, CAST(sum(id) AS BIGINT) AS checksum,
+       count(*) AS observed_rows FROM fact
+UNION ALL SELECT 'stage_temperatures', count(*), CAST(sum(length(City) + length(Country)) AS BIGINT), count(*)
+          FROM temps
+UNION ALL SELECT 'stage_demographics', count(*), (SELECT count(*) FROM customer JOIN nation ON c_nationkey = n_nationkey),
+          count(*)
+          FROM (SELECT DISTINCT c_nationkey, c_mktsegment FROM customer JOIN nation ON c_nationkey = n_nationkey)
+UNION ALL SELECT 'stage_ports', count(*), CAST(sum(length(Code)) AS BIGINT), count(*) FROM ports
+UNION ALL SELECT 'stage_countries', count(*), CAST(sum(length(Country)) AS BIGINT), count(*) FROM countries
+UNION ALL SELECT 'final_fact', count(*), CAST(sum(id) + sum(stay_days) AS BIGINT), NULL FROM fact
 UNION ALL SELECT 'final_calendar', count(*),
-          CAST(sum(coalesce(year(d) * 10000 + month(d) * 100 + dayofmonth(d), -1)) AS BIGINT) FROM dates
-UNION ALL SELECT 'final_visa', count(*), CAST(sum(visa) AS BIGINT) FROM (SELECT DISTINCT visa, visatype FROM fact)
-UNION ALL SELECT 'final_mode', count(*), CAST(sum(transport_mode_id) AS BIGINT)
+          CAST(sum(coalesce(year(d) * 10000 + month(d) * 100 + dayofmonth(d), -1)) AS BIGINT), NULL FROM dates
+UNION ALL SELECT 'final_visa', count(*), CAST(sum(visa) AS BIGINT), NULL
+          FROM (SELECT DISTINCT visa, visatype FROM fact)
+UNION ALL SELECT 'final_mode', count(*), CAST(sum(transport_mode_id) AS BIGINT), NULL
           FROM (SELECT DISTINCT transport_mode_id FROM fact)
-UNION ALL SELECT 'final_temperature', count(*), CAST(sum(CAST(Code AS INTEGER)) AS BIGINT) FROM temperature
-UNION ALL SELECT 'final_demographics', count(*), CAST(sum(total_population) AS BIGINT) FROM cities
-UNION ALL SELECT 'final_port', count(*), CAST(sum(length(Code)) AS BIGINT) FROM ports"""
+UNION ALL SELECT 'final_temperature', count(*), CAST(sum(CAST(Code AS INTEGER)) AS BIGINT), NULL FROM temperature
+UNION ALL SELECT 'final_demographics', count(*), CAST(sum(total_population) AS BIGINT), NULL FROM cities
+UNION ALL SELECT 'final_port', count(*), CAST(sum(length(Code)) AS BIGINT), NULL FROM ports"""
 
 
 __all__ = ["QUERIES", "ORACLE_SQL", "Query"]
