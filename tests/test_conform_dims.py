@@ -104,6 +104,10 @@ def test_broadcast_guard(spark):
         assert "BroadcastHashJoin" in plan_text(big.join(broadcast_if_small(wide, 10, 20_000), "id"))
         # Fixed-width columns only: the size follows from the count (10 rows x 16 bytes).
         assert has_at_most(small, 10, 160) and not has_at_most(small, 10, 159)
+        # Nested values count by their JSON text: 8 + 8*4 fixed, then [1,2,3], {"k":1}, {"a":"xy"}.
+        nested = spark.sql("SELECT 1 AS id, array(1, 2, 3) AS a, map('k', 1) AS m, named_struct('a', 'xy') AS s")
+        row = 8 + 8 * 4 + len("[1,2,3]") + len('{"k":1}') + len('{"a":"xy"}')
+        assert has_at_most(nested, 1, row) and not has_at_most(nested, 1, row - 1)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
