@@ -50,6 +50,13 @@ def _sparse_drop(nan_count_df: DataFrame, df: DataFrame, missing_range: float) -
     return df.drop(*names)
 
 
+def _written_csv(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` as CSV and return the written table, read with ``df``'s schema: a caller using
+    the result reads the files instead of re-running the staging plan."""
+    write_csv(df, path)
+    return read_csv(df.sparkSession, path, schema=df.schema)
+
+
 # ---- staging --------------------------------------------------------------------------------
 
 def missing_values_spark_data_frame(df: DataFrame) -> DataFrame:
@@ -75,36 +82,28 @@ def clean_pandas_df(nan_count_df: DataFrame, df: DataFrame, missing_range: float
 
 def create_immigration_stage_table(file_path: str, spark: SparkSession, final_output_path: str,
                                    fmt: str = "parquet") -> DataFrame:
-    """Staged arrivals from ``file_path`` (any installed reader format), written as Parquet."""
-    df = stage_arrivals(read_table(spark, file_path, fmt))
-    write_parquet(df, final_output_path)
-    return df
+    """Staged arrivals from ``file_path`` (any installed reader format), written as Parquet and
+    returned read back, so using the result does not re-run the profile and dedupe."""
+    write_parquet(stage_arrivals(read_table(spark, file_path, fmt)), final_output_path)
+    return read_table(spark, final_output_path)
 
 
 def create_temperature_stage_table(file_path: str, spark: SparkSession, final_output_path: str) -> DataFrame:
     """Mean temperature per city and country, written as CSV."""
-    df = stage_temperatures(read_csv(spark, file_path))
-    write_csv(df, final_output_path)
-    return df
+    return _written_csv(stage_temperatures(read_csv(spark, file_path)), final_output_path)
 
 
 def create_us_cities_demographics_stage_table(input_file_path: str, output_file_path: str) -> DataFrame:
-    df = clean(read_small_csv(_session(), input_file_path, sep=";"), keys=DEMOGRAPHICS_KEYS,
-               protected=DEMOGRAPHICS_KEYS)
-    write_csv(df, output_file_path)
-    return df
+    return _written_csv(clean(read_small_csv(_session(), input_file_path, sep=";"), keys=DEMOGRAPHICS_KEYS,
+                              protected=DEMOGRAPHICS_KEYS), output_file_path)
 
 
 def create_ports_stage_table(input_file_path: str, output_file_path: str) -> DataFrame:
-    df = clean(read_small_csv(_session(), input_file_path))
-    write_csv(df, output_file_path)
-    return df
+    return _written_csv(clean(read_small_csv(_session(), input_file_path)), output_file_path)
 
 
 def create_country_stage_table(input_file_path: str, output_file_path: str) -> DataFrame:
-    df = clean(read_small_csv(_session(), input_file_path))
-    write_csv(df, output_file_path)
-    return df
+    return _written_csv(clean(read_small_csv(_session(), input_file_path)), output_file_path)
 
 
 # ---- final ----------------------------------------------------------------------------------
