@@ -116,3 +116,30 @@ def test_clean_chain_and_observation(spark):
     assert obs.get["rows"] == 2
     no_keys = clean(df, 80)
     assert "note" not in no_keys.columns and no_keys.count() == 4
+
+
+def test_aggregating_operators_reduce_before_the_shuffle(spark):
+    """Each aggregating operator plans a partial aggregate below its exchange, so a key holding a
+    third of the rows sends one row per task across the network, not a third of the table."""
+    import contextlib
+    import io
+
+    from arrivals_star.operators.aggregate import group_mean
+    from arrivals_star.operators.dims import calendar_dim, pivot_sum
+
+    df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").cast("string").alias("v"),
+                                  F.col("id").alias("n"), F.current_date().alias("d"))
+    plans = {
+        "dedupe_by_key": (dedupe_by_key(df, ["k"], ["n"]), "partial_min"),
+        "dedupe_rows": (dedupe_rows(df.select("k", "v")), "HashAggregate"),
+        "group_mean": (group_mean(df, ["k"], "v", "m"), "partial_avg"),
+        "pivot_sum": (pivot_sum(df, ["k"], "v", "n", values=["1", "2"]), "partial_sum"),
+        "calendar_dim": (calendar_dim(df, ["d"]), "HashAggregate"),
+    }
+    for name, (out, partial) in plans.items():
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            out.explain()
+        plan = buf.getvalue()
+        below_exchange = plan[plan.index("Exchange hashpartitioning"):]
+        assert partial in below_exchange, name
