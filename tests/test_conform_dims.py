@@ -183,3 +183,13 @@ def test_pivot_long_list_path_agrees(spark, monkeypatch):
     long = dims.pivot_sum(df, ["k"], "p", "v")
     assert short.columns == long.columns
     assert sorted(map(tuple, short.collect())) == sorted(map(tuple, long.collect()))
+
+
+def test_fact_is_one_map_stage(spark, scratch):
+    """The fact builder is one projection over the staged table: no shuffle, no Python evaluation."""
+    from arrivals_star.plans import demo
+    path = scratch("staged_for_plan")
+    demo.raw_arrivals(spark, "/root/testdata/sf0.001").write.mode("overwrite").parquet(path)
+    plan = plan_text(arrivals_fact(spark.read.parquet(path)))
+    assert "Exchange" not in plan
+    assert not any(node in plan for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF"))
