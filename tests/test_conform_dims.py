@@ -193,3 +193,20 @@ def test_fact_is_one_map_stage(spark, scratch):
     plan = plan_text(arrivals_fact(spark.read.parquet(path)))
     assert "Exchange" not in plan
     assert not any(node in plan for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF"))
+
+
+def test_report_aggregates_the_fact_before_joining(spark):
+    """stay_report joins the dimensions to the fact reduced to (date, mode, visa) grain."""
+    from arrivals_star.operators.aggregate import stay_report
+    fact = spark.createDataFrame([(dt.date(2016, 4, 1), 1, 1, "B1", 3), (dt.date(2016, 4, 1), 1, 1, "B1", 5)],
+                                 "arrival_date date, transport_mode_id smallint, visa smallint, visatype string, "
+                                 "stay_days int")
+    cal = calendar_dim(fact.withColumn("depart_date", F.col("arrival_date")))
+    plan = plan_text(stay_report(fact, cal, transport_mode_dim(fact), visa_dim(fact)))
+    tree = plan.split("== Physical Plan ==")[-1]
+    first_join = tree.index("Join")
+    pre_aggregate = tree.index("keys=[arrival_date")
+    assert first_join < pre_aggregate  # the joins sit above (after) the fact's aggregate
+    got = stay_report(fact, cal, transport_mode_dim(fact), visa_dim(fact)).collect()
+    assert [(r.year, r.month, r.mode, r.arrivals, r.business_arrivals, r.total_stay_days) for r in got] == \
+        [(2016, 4, "Air", 2, 2, 8)]
