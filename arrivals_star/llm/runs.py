@@ -13,6 +13,7 @@ The documents are shuffled once; Spark reuses that exchange wherever the plan ne
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 RUN_BYTES = 8 << 20
@@ -36,3 +37,14 @@ def documents_in_runs(df: DataFrame, id_col: str, text_col: str, run_bytes: int
     key = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
     run = F.pmod(key, F.lit(n)).cast("int")
     return picked.select(run.alias("run"), "doc_id", "text"), n
+
+
+ARROW = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary(),
+         "string": pa.string(), "boolean": pa.bool_()}
+
+
+def arrow_rows(rows: list[tuple], ddl: str) -> pa.Table:
+    """Arrow table of Python rows, with the types of a Spark schema text."""
+    fields = [x.split() for x in ddl.split(", ")]
+    cols = list(zip(*rows)) if rows else [[] for _ in fields]
+    return pa.table([pa.array(c, ARROW[t]) for c, (_, t) in zip(cols, fields)], names=[n for n, _ in fields])
