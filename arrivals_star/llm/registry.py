@@ -7,16 +7,21 @@ from arrivals_star.llm.minhash_dedup import op5_minhash_dedup
 from arrivals_star.llm.secrets import op8_secret_scan, oracle_sql as op8_sql
 from arrivals_star.llm.substring_dedup import op3_substring_dedup
 from arrivals_star.llm.suffix_dedup import op2_suffix_dedup
+from arrivals_star.llm.url_filter import op10_url_filter
+from arrivals_star.llm.vector_topk import OP7_SQL, op7_exact_topk
 
 QUERIES = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_substring_dedup": op3_substring_dedup,
     "op5_minhash_dedup": op5_minhash_dedup,
+    "op7_exact_topk": op7_exact_topk,
     "op8_secret_scan": op8_secret_scan,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_url_filter": op10_url_filter,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op7_exact_topk": OP7_SQL,
     "op8_secret_scan": op8_sql(),
     "op9_exact_dedup": OP9_SQL,
 }
