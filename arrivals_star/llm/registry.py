@@ -6,6 +6,7 @@ from arrivals_star.llm.exact_dedup import OP9_SQL, op9_exact_dedup
 from arrivals_star.llm.minhash_dedup import op5_minhash_dedup
 from arrivals_star.llm.packing import op6_packing
 from arrivals_star.llm.secrets import op8_secret_scan, oracle_sql as op8_sql
+from arrivals_star.llm.sentence_pieces import op4_sentencepiece
 from arrivals_star.llm.substring_dedup import op3_substring_dedup
 from arrivals_star.llm.suffix_dedup import op2_suffix_dedup
 from arrivals_star.llm.url_filter import op10_url_filter
@@ -14,6 +15,7 @@ from arrivals_star.llm.vector_topk import OP7_SQL, op7_exact_topk
 QUERIES = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op6_packing": op6_packing,
     "op7_exact_topk": op7_exact_topk,
