@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from arrivals_star.llm.exact_dedup import OP9_SQL, op9_exact_dedup
 from arrivals_star.llm.minhash_dedup import op5_minhash_dedup
 from arrivals_star.llm.packing import op6_packing
+from arrivals_star.llm.quality import op1_quality
 from arrivals_star.llm.secrets import op8_secret_scan, oracle_sql as op8_sql
 from arrivals_star.llm.sentence_pieces import op4_sentencepiece
 from arrivals_star.llm.substring_dedup import op3_substring_dedup
@@ -13,6 +15,7 @@ from arrivals_star.llm.url_filter import op10_url_filter
 from arrivals_star.llm.vector_topk import OP7_SQL, op7_exact_topk
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_sentencepiece": op4_sentencepiece,
@@ -22,6 +25,7 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_url_filter": op10_url_filter,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL: dict[str, str] = {

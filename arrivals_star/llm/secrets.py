@@ -163,17 +163,29 @@ def secret_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     class adds its high-entropy spans. Null text is empty and has none. Null ids stay null; repeated
     rows each give a row; other columns are ignored; an empty table gives an empty result.
     """
-    base = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    return _found(rows, ["doc_id"], classes).select(
+        "doc_id", "text", _base().alias("base_spans"),
+        F.concat(F.array().cast(SPANS), *_added(classes, allow)).alias("added_spans"))
+
+
+def _found(rows: DataFrame, keys: list[str], classes: tuple[CharClass, ...]) -> DataFrame:
+    """The placed matches of every pattern, one column per kind."""
     t = F.col("text")
-    found = base.select("doc_id", "text", placed(t, ASSIGN).alias("assign"), placed(t, f"AKIA[A-Z0-9]{{{LEAST['access'] - 4},}}").alias("access"),
-                        placed(t, f"[0-9a-f]{{{LEAST['hex']},}}").alias("hex"),
-                        *[placed(t, c.pattern).alias(f"class_{k}") for k, c in enumerate(classes)])
+    return rows.select(*keys, "text", placed(t, ASSIGN).alias("assign"),
+                       placed(t, f"AKIA[A-Z0-9]{{{LEAST['access'] - 4},}}").alias("access"),
+                       placed(t, f"[0-9a-f]{{{LEAST['hex']},}}").alias("hex"),
+                       *[placed(t, c.pattern).alias(f"class_{k}") for k, c in enumerate(classes)])
+
+
+def _base() -> Column:
     # an assignment whose value is too short still uses up its text, so it is dropped only here
     assign = F.filter("assign", lambda x: F.char_length(F.regexp_extract(x["s"], ASSIGN, 2)) >= LEAST["assign"])
-    added = [entropy_spans(F.col(f"class_{k}"), c, 3 + k, allow) for k, c in enumerate(classes)]
-    return found.select("doc_id", "text", F.concat(as_spans(assign, "assign", 0), as_spans(F.col("access"), "access", 1),
-                                                   as_spans(F.col("hex"), "hex", 2)).alias("base_spans"),
-                        (F.concat(*added) if added else F.array().cast(SPANS)).alias("added_spans"))
+    return F.concat(as_spans(assign, "assign", 0), as_spans(F.col("access"), "access", 1), as_spans(F.col("hex"), "hex", 2))
+
+
+def _added(classes: tuple[CharClass, ...], allow: tuple[str, ...]) -> list[Column]:
+    return [entropy_spans(F.col(f"class_{k}"), c, 3 + k, allow) for k, c in enumerate(classes)]
 
 
 def secret_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -186,6 +198,43 @@ def secret_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         _joined(F.concat("base_spans", "added_spans")).alias("spans"))
 
 
+def redact_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str = "n_chars",
+                   mark: str = "[SECRET]", classes: tuple[CharClass, ...] = CLASSES,
+                   allow: tuple[str, ...] = ALLOW) -> DataFrame:
+    """The rows with every span replaced by ``mark`` (overlapping spans by one), and new sizes.
+
+    Rows without spans stay as they are, null text included. ``size_col`` is set where it exists.
+    """
+    rows = df.select(F.struct(*[F.col(c) for c in df.columns]).alias("row"), F.col(id_col).alias("id"),
+                     F.col(text_col).alias("text"))
+    t = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    found = _found(rows.select("row", t.alias("text")), ["row"], classes)
+    spans = found.select("row", "text", F.array_sort(F.concat(_base(), *_added(classes, allow))).alias("spans"))
+    one = "array<struct<start:int,end:int>>"
+
+    def join_span(acc: Column, x: Column) -> Column:
+        """Sorted spans into disjoint ones, the last one first."""
+        meets = (F.size(acc) > 0) & (x["start"] <= F.get(acc, F.lit(0))["end"])
+        whole = F.struct(F.get(acc, F.lit(0))["start"].alias("start"), F.greatest(F.get(acc, F.lit(0))["end"], x["end"]).alias("end"))
+        return F.when(meets, F.concat(F.array(whole), F.slice(acc, F.lit(2), F.greatest(F.size(acc) - 1, F.lit(0))))).otherwise(
+            F.concat(F.array(F.struct(x["start"].alias("start"), x["end"].alias("end"))), acc))
+
+    cuts = F.aggregate("spans", F.array().cast(one), join_span, lambda acc: F.reverse(acc))
+    gaps = F.transform(F.col("cuts"), lambda x, i: F.struct(
+        F.when(i == 0, 0).otherwise(F.get(F.col("cuts"), i - 1)["end"]).alias("start"), x["start"].alias("end")))
+    head = F.array_join(F.transform(gaps, lambda g: F.concat(
+        F.substr("text", g["start"] + 1, g["end"] - g["start"]), F.lit(mark))), "")
+    tail = F.substr("text", F.element_at("cuts", -1)["end"] + 1, F.char_length("text"))
+    marked = spans.select("row", "text", cuts.alias("cuts")).select(
+        "row", F.when(F.size("cuts") > 0, F.concat(head, tail)).alias("clean"))
+    new = {text_col: F.coalesce(F.col("clean"), F.col("row")[text_col])}
+    if size_col in df.columns:
+        kind = df.schema[size_col].dataType
+        new[size_col] = F.when(F.col("clean").isNotNull(), F.char_length("clean")).cast(kind)
+        new[size_col] = F.coalesce(new[size_col], F.col("row")[size_col])
+    return marked.select(*[new.get(c, F.col("row")[c]).alias(c) for c in df.columns])
+
+
 def op8_secret_scan(spark, sf_dir: str) -> DataFrame:
     return secret_scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
@@ -238,4 +287,4 @@ FROM t LEFT JOIN b USING (doc_id) LEFT JOIN e USING (doc_id)
 """
 
 
-__all__ = ["CharClass", "CLASSES", "ALLOW", "secret_spans", "secret_scan", "op8_secret_scan", "oracle_sql"]
+__all__ = ["redact_secrets", "CharClass", "CLASSES", "ALLOW", "secret_spans", "secret_scan", "op8_secret_scan", "oracle_sql"]
