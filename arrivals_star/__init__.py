@@ -13,7 +13,7 @@ from .operators.conform import (cast_columns, drop_columns, normalise_names, ren
 from .operators.dims import (calendar_dim, city_demographics_dim, pivot_sum, port_dim,
                              temperature_dim, temperature_dim_sql, transport_mode_dim, visa_dim)
 from .operators.fact import arrivals_fact
-from .operators.joins import broadcast_if_small, join_ignore_case
+from .operators.joins import join_ignore_case
 from .operators.profile import missing_profile, sparse_columns
 from .plans.jobs import RawInputs, run_final, run_stage
 
@@ -22,5 +22,5 @@ __all__ = ["group_mean", "stay_report", "clean", "dedupe_by_key", "dedupe_rows",
            "normalise_names", "rename_columns", "sas_dates_to_dates", "text_to_date_column",
            "with_day_span", "calendar_dim", "city_demographics_dim", "pivot_sum", "port_dim",
            "temperature_dim", "temperature_dim_sql", "transport_mode_dim", "visa_dim",
-           "arrivals_fact", "broadcast_if_small", "join_ignore_case", "missing_profile",
+           "arrivals_fact", "join_ignore_case", "missing_profile",
            "sparse_columns", "RawInputs", "run_final", "run_stage"]

@@ -19,7 +19,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators.clean import clean, drop_empty_rows
+from .operators.clean import clean, drop_empty_rows, drop_sparse_columns
 from .operators.conform import cast_columns, drop_columns as _drop_columns
 from .operators.conform import rename_columns as _rename_columns
 from .operators.conform import sas_dates_to_dates, text_to_date_column
@@ -27,7 +27,7 @@ from .operators.dims import (calendar_dim, city_demographics_dim, port_dim, temp
                              transport_mode_dim, visa_dim, write_calendar)
 from .operators.fact import arrivals_fact
 from .operators.profile import missing_profile
-from .plans.jobs import DEMOGRAPHICS_KEYS, stage_arrivals, stage_temperatures
+from .plans.jobs import stage_arrivals, stage_countries, stage_demographics, stage_ports, stage_temperatures
 from .sources import read_csv, read_small_csv, read_table
 from .sources.sinks import write_csv, write_parquet
 
@@ -45,16 +45,17 @@ def _profile(df: DataFrame) -> DataFrame:
 
 
 def _sparse_drop(nan_count_df: DataFrame, df: DataFrame, missing_range: float) -> DataFrame:
-    names = [r[0] for r in nan_count_df.filter(F.col("`% missing values`") >= float(missing_range))
-             .select("cols").collect()]
-    return df.drop(*names)
+    """Drop by a profile the caller made: only its rows for columns of ``df`` are read."""
+    profile = nan_count_df.where(F.col("cols").isin(df.columns)).select(
+        F.col("cols").alias("column_name"), F.col("% missing values").alias("pct_missing")).distinct()
+    return drop_sparse_columns(df, float(missing_range), profile=profile)
 
 
 def _written_csv(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` as CSV and return the written table, read with ``df``'s schema: a caller using
     the result reads the files instead of re-running the staging plan."""
     write_csv(df, path)
-    return read_csv(df.sparkSession, path, schema=df.schema)
+    return read_csv(df.sparkSession, path, schema=df.schema, multi_line=True)
 
 
 # ---- staging --------------------------------------------------------------------------------
@@ -81,29 +82,29 @@ def clean_pandas_df(nan_count_df: DataFrame, df: DataFrame, missing_range: float
 
 
 def create_immigration_stage_table(file_path: str, spark: SparkSession, final_output_path: str,
-                                   fmt: str = "parquet") -> DataFrame:
+                                   fmt: str = "parquet", dedupe: bool = True) -> DataFrame:
     """Staged arrivals from ``file_path`` (any installed reader format), written as Parquet and
-    returned read back, so using the result does not re-run the profile and dedupe."""
-    write_parquet(stage_arrivals(read_table(spark, file_path, fmt)), final_output_path)
+    returned read back, so using the result does not re-run the profile and dedupe.
+    ``dedupe=False`` keeps rows that repeat an id."""
+    write_parquet(stage_arrivals(read_table(spark, file_path, fmt), dedupe=dedupe), final_output_path)
     return read_table(spark, final_output_path)
 
 
 def create_temperature_stage_table(file_path: str, spark: SparkSession, final_output_path: str) -> DataFrame:
     """Mean temperature per city and country, written as CSV."""
-    return _written_csv(stage_temperatures(read_csv(spark, file_path)), final_output_path)
+    return _written_csv(stage_temperatures(read_csv(spark, file_path, escape="\\")), final_output_path)
 
 
 def create_us_cities_demographics_stage_table(input_file_path: str, output_file_path: str) -> DataFrame:
-    return _written_csv(clean(read_small_csv(_session(), input_file_path, sep=";"), keys=DEMOGRAPHICS_KEYS,
-                              protected=DEMOGRAPHICS_KEYS), output_file_path)
+    return _written_csv(stage_demographics(read_small_csv(_session(), input_file_path, sep=";")), output_file_path)
 
 
 def create_ports_stage_table(input_file_path: str, output_file_path: str) -> DataFrame:
-    return _written_csv(clean(read_small_csv(_session(), input_file_path)), output_file_path)
+    return _written_csv(stage_ports(read_small_csv(_session(), input_file_path)), output_file_path)
 
 
 def create_country_stage_table(input_file_path: str, output_file_path: str) -> DataFrame:
-    return _written_csv(clean(read_small_csv(_session(), input_file_path)), output_file_path)
+    return _written_csv(stage_countries(read_small_csv(_session(), input_file_path)), output_file_path)
 
 
 # ---- final ----------------------------------------------------------------------------------
@@ -147,20 +148,20 @@ def create_transport_mode_dim(df: DataFrame, output_path: str) -> DataFrame:
 
 
 def create_port_dim(input_path: str, spark: SparkSession, output_path: str) -> DataFrame:
-    out = port_dim(read_csv(spark, input_path))
+    out = port_dim(read_csv(spark, input_path, multi_line=True))
     write_parquet(out, output_path + "port_dim")
     return out
 
 
 def create_global_temp_dim(input_path_temp: str, input_path_country: str, spark: SparkSession,
                            output_path: str) -> DataFrame:
-    out = temperature_dim(read_csv(spark, input_path_temp), read_csv(spark, input_path_country))
+    out = temperature_dim(read_csv(spark, input_path_temp), read_csv(spark, input_path_country, multi_line=True))
     write_parquet(out, output_path + "temperature_dim")
     return out
 
 
 def create_us_cities_demographics_dim(spark: SparkSession, input_path: str, output_path: str) -> DataFrame:
-    out = city_demographics_dim(read_csv(spark, input_path))
+    out = city_demographics_dim(read_csv(spark, input_path, multi_line=True))
     write_parquet(out, output_path + "us_city_demographics_dim")
     return out
 

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import lenient_cast, qcol
-from .joins import broadcast_if_small
 
 
 def group_mean(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
@@ -28,14 +27,14 @@ def stay_report(fact: DataFrame, calendar: DataFrame, modes: DataFrame, visas: D
 
     The fact is first reduced to the grain of the join keys (date, mode, visa pair), which is
     bounded by days x modes x visa pairs however many arrivals there are; only that small table
-    meets the dimensions, each broadcast behind a row-count check.
+    meets the dimensions.
     """
     pre = (fact.groupBy("arrival_date", "transport_mode_id", "visa", "visatype")
            .agg(F.count(F.lit(1)).alias("n"), F.sum("stay_days").alias("stay_sum"),
                 F.count("stay_days").alias("stay_n")))
-    cal = broadcast_if_small(calendar.select(F.col("date"), "year", "month"))
-    mode = broadcast_if_small(modes.select(F.col("id"), "mode"))
-    visa = broadcast_if_small(visas.select(F.col("visa_cat_id"), F.col("visatype").alias("v_type"), "visa_cat"))
+    cal = calendar.select(F.col("date"), "year", "month")
+    mode = modes.select(F.col("id"), "mode")
+    visa = visas.select(F.col("visa_cat_id"), F.col("visatype").alias("v_type"), "visa_cat")
     joined = (pre.join(cal, pre.arrival_date == cal.date, "left")
               .join(mode, pre.transport_mode_id == mode.id, "left")
               .join(visa, (pre.visa == visa.visa_cat_id) & (pre.visatype == visa.v_type), "left"))

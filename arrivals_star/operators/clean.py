@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..functions import qcol
+from ..functions import qcol, resolve_names
 from .profile import missing_profile, sparse_columns
 
 
@@ -37,11 +37,11 @@ def drop_empty_rows(df: DataFrame) -> DataFrame:
 
 
 def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Drop rows in which any of ``columns`` is null, or NaN in a floating column (C4)."""
-    missing = [c for c in columns if c not in df.columns]
-    if missing:
-        raise ValueError(f"unknown columns {missing}")
-    return df.dropna(how="any", subset=list(columns))
+    """Drop rows in which any of ``columns`` is null, or NaN in a floating column (C4).
+
+    Names ignore case; an unknown one raises.
+    """
+    return df.dropna(how="any", subset=resolve_names(df.columns, columns))
 
 
 def dedupe_rows(df: DataFrame) -> DataFrame:
@@ -62,10 +62,7 @@ def dedupe_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ())
     third of the table sends one row per task, not a third of the table, to its reducer; a
     ``row_number`` window would ship and sort every row of that key in one task.
     """
-    keys = list(keys)
-    unknown = [c for c in [*keys, *order] if c not in df.columns]
-    if unknown:
-        raise ValueError(f"unknown columns {unknown}")
+    keys, order = resolve_names(df.columns, keys), resolve_names(df.columns, order)
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()

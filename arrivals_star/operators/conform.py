@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import lenient_cast, qcol, sas_days_to_date, text_to_date
+from ..functions import lenient_cast, qcol, resolve_names, sas_days_to_date, text_to_date
 
 
 def drop_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -32,9 +32,7 @@ def cast_columns(df: DataFrame, types: Mapping[str, str | T.DataType]) -> DataFr
     A name not in the table raises. Values that do not fit give null (see ``lenient_cast``).
     """
     fields = {f.name.lower(): f for f in df.schema.fields}
-    unknown = [k for k in types if k.lower() not in fields]
-    if unknown:
-        raise ValueError(f"cannot cast unknown columns {unknown}")
+    resolve_names(fields, types)
     wanted = {k.lower(): v for k, v in types.items()}
     return df.select(*[
         lenient_cast(qcol(f.name), wanted[f.name.lower()], f.dataType).alias(f.name)
@@ -43,15 +41,16 @@ def cast_columns(df: DataFrame, types: Mapping[str, str | T.DataType]) -> DataFr
 
 
 def sas_dates_to_dates(df: DataFrame, columns: Sequence[str], zero_is_null: bool = True) -> DataFrame:
-    """Replace SAS day-count columns with dates, in place."""
-    wanted = set(columns)
+    """Replace SAS day-count columns with dates, in place (X1). Names ignore case; unknown ones raise."""
+    wanted = set(resolve_names(df.columns, columns))
     return df.select(*[sas_days_to_date(qcol(c), zero_is_null).alias(c) if c in wanted else qcol(c)
                        for c in df.columns])
 
 
-def text_to_date_column(df: DataFrame, column: str, strftime_format: str) -> DataFrame:
-    """Replace a text column holding dates in a strftime format with a date column."""
-    return df.withColumn(column, text_to_date(qcol(column), strftime_format))
+def text_to_date_column(df: DataFrame, column: str, strptime_format: str) -> DataFrame:
+    """Replace a text column holding dates in a strptime format with a date column."""
+    (name,) = resolve_names(df.columns, [column])
+    return df.withColumn(name, text_to_date(qcol(name), strptime_format))
 
 
 def with_day_span(df: DataFrame, name: str, end: str, start: str) -> DataFrame:

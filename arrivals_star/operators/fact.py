@@ -7,14 +7,15 @@ from pyspark.sql import DataFrame
 from .conform import cast_columns, drop_columns, rename_columns, sas_dates_to_dates, with_day_span
 
 # ---------------------------------------------------------------------------------------------
-# The data model of the fact table.
+# The data model of the fact table. (The id is a bigint: at the volumes this is made
+# for, ids pass 2,147,483,647, and an int would turn them into nulls.)
 ARRIVALS_DROPPED = ("i94yr", "i94mon", "visapost", "entdepa", "entdepd", "matflag", "admnum",
                     "fltno", "dtadfile", "dtaddto")
 ARRIVALS_NAMES = {"cicid": "id", "i94cit": "birth_country_id", "i94res": "residence_country_id",
                   "i94port": "port_id", "arrdate": "arrival_date", "i94mode": "transport_mode_id",
                   "i94addr": "arrival_state", "depdate": "depart_date", "i94bir": "age_in_yrs",
                   "i94visa": "visa", "biryear": "birth_year"}
-ARRIVALS_TYPES = {"id": "int", "birth_country_id": "int", "residence_country_id": "int",
+ARRIVALS_TYPES = {"id": "bigint", "birth_country_id": "int", "residence_country_id": "int",
                   "port_id": "string", "transport_mode_id": "smallint", "arrival_state": "varchar(2)",
                   "age_in_yrs": "int", "visa": "smallint", "count": "int", "birth_year": "int",
                   "gender": "varchar(1)", "airline": "string", "visatype": "string"}

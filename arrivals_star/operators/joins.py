@@ -1,86 +1,24 @@
-"""Joins (JN1) and the size check that guards every broadcast."""
+"""Joins (JN1)."""
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from ..functions import qcol
-
-# Largest side that is broadcast to every executor: in rows, and in bytes as Spark holds the rows
-# (see ``row_bytes``). Dimension and code tables stay far below both; anything above either
-# joins by shuffle, which AQE may still turn into a broadcast from the measured shuffle size.
-MAX_BROADCAST_ROWS = 1_000_000
-MAX_BROADCAST_BYTES = 256 * 1024 * 1024
-
-_VARIABLE_WIDTH = (T.StringType, T.BinaryType)
-_NESTED = (T.ArrayType, T.MapType, T.StructType)
 
 
-def qcol_name(name: str) -> str:
-    """Quoted name for ``df[...]`` lookups of names with spaces or dots."""
+def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _fixed_row_bytes(df: DataFrame) -> int:
-    return 8 + 8 * len(df.columns)
-
-
-def row_bytes(df: DataFrame) -> Column:
-    """Bytes of each row as a broadcast hash table holds it, near enough: a null-bit word and 8
-    bytes per field, plus the bytes of text and binary values (nested values by their JSON text)."""
-    parts = [F.lit(_fixed_row_bytes(df))]
-    for f in df.schema.fields:
-        if isinstance(f.dataType, _VARIABLE_WIDTH):
-            parts.append(F.coalesce(F.octet_length(qcol(f.name)), F.lit(0)))
-        elif isinstance(f.dataType, _NESTED):
-            parts.append(F.coalesce(F.octet_length(F.to_json(qcol(f.name))), F.lit(0)))
-    return reduce(add, parts)
-
-
-def has_at_most(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows and, given ``max_bytes``, at most that many
-    bytes by ``row_bytes``.
-
-    The row count reads at most ``max_rows + 1`` rows and no columns. Only a side proven that
-    short is measured in bytes, by one more aggregate over those rows; a side with only
-    fixed-width columns needs no second pass, as its size follows from the count.
-    """
-    rows = df.limit(max_rows + 1).count()
-    if rows > max_rows:
-        return False
-    if max_bytes is None:
-        return True
-    if not any(isinstance(f.dataType, (*_VARIABLE_WIDTH, *_NESTED)) for f in df.schema.fields):
-        return rows * _fixed_row_bytes(df) <= max_bytes
-    size = df.agg(F.sum(row_bytes(df))).first()[0]
-    return (size or 0) <= max_bytes
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                       max_bytes: int | None = MAX_BROADCAST_BYTES) -> DataFrame:
-    """``broadcast(df)`` when it is proven to have at most ``max_rows`` rows and ``max_bytes``
-    bytes, else ``df``."""
-    return F.broadcast(df) if has_at_most(df, max_rows, max_bytes) else df
-
-
 def join_ignore_case(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                     how: str = "inner", max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-                     max_broadcast_bytes: int | None = MAX_BROADCAST_BYTES) -> DataFrame:
+                     how: str = "inner") -> DataFrame:
     """Equi-join on lower-cased text keys (JN1).
 
-    Nulls never match and values are not trimmed; duplicate keys on the right fan out. The right
-    side (the lookup table) is broadcast after its size is checked, so the large left side is
-    never shuffled and a hot key on it costs nothing extra; a right side over the limit falls back
-    to a shuffle join, where AQE's skew split covers hot keys.
+    Nulls never match and values are not trimmed; duplicate keys on the right fan out. No hint is
+    given: a lookup table whose measured size is under the session's broadcast threshold is
+    broadcast by AQE, and a larger one is joined by shuffle, where AQE splits a hot key.
     """
-    r = broadcast_if_small(right, max_broadcast_rows, max_broadcast_bytes)
-    return left.join(r, F.lower(left[qcol_name(left_key)]) == F.lower(r[qcol_name(right_key)]), how)
+    return left.join(right, F.lower(left[_quoted(left_key)]) == F.lower(right[_quoted(right_key)]), how)
 
 
-__all__ = ["MAX_BROADCAST_ROWS", "MAX_BROADCAST_BYTES", "row_bytes", "has_at_most",
-           "broadcast_if_small", "join_ignore_case"]
+__all__ = ["join_ignore_case"]

@@ -7,23 +7,13 @@ with the tables. Each frame has a twin in SQL in ``registry.py`` for the DuckDB
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-
-
-@functools.lru_cache(maxsize=None)
-def _schema(spark: SparkSession, path: str) -> StructType:
-    return spark.read.parquet(path).schema
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given test tables. Its schema is read from the file once per session and then
-    passed to the reader, so later reads run no footer-reading job (the files are read-only)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return spark.read.schema(_schema(spark, path)).parquet(path)
+    """One of the given test tables."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _case(key: Column, n: int, cases: dict[int, Column | object], default: Column) -> Column:
@@ -35,19 +25,6 @@ def _case(key: Column, n: int, cases: dict[int, Column | object], default: Colum
     return expr.otherwise(default)
 
 
-def scale_join(left: DataFrame, right: DataFrame, on: Column) -> DataFrame:
-    """Inner join of two tables that both grow with the scale factor, as a sort-merge join.
-
-    That is the plan Spark picks for them at any real size, where neither side can be broadcast.
-    At the test sizes Spark would broadcast the smaller side instead, and since each test table is
-    one Parquet row group (one scan task), the join, the projection and the partial aggregates
-    after it would all run on that one thread; the shuffle spreads them over the partitions.
-    Used where heavy work follows the join (the key dedupes of staging); a derivation with only a
-    light projection after its join (``stays``) is cheaper with Spark's own choice at these sizes.
-    """
-    return left.join(right.hint("merge"), on)
-
-
 def _sas_days(ts: Column) -> Column:
     return F.datediff(ts.cast("date"), F.lit("1960-01-01").cast("date")).cast("double")
 
@@ -117,11 +94,16 @@ def sas_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """orders with the order date as MMddyyyy text, and 'D/S', '' and null."""
+    """orders with the order date as MMddyyyy text (and 'D/S', '', null), as month/day/year without
+    leading zeros, and, 40 years on for odd keys, as ddMMyy (years 92-98 and 32-38)."""
     o = table(spark, sf_dir, "orders")
-    k = F.col("o_orderkey")
-    return o.select("o_orderkey", _case(k, 9, {0: "D/S", 1: "", 2: F.lit(None).cast("string")},
-                                        F.date_format(F.col("o_orderdate"), "MMddyyyy")).alias("order_text"))
+    k, d = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
+    later = F.when(k % 2 == 1, F.add_months(d, 480)).otherwise(d)
+    return o.select("o_orderkey",
+                    _case(k, 9, {0: "D/S", 1: "", 2: F.lit(None).cast("string")},
+                          F.date_format(d, "MMddyyyy")).alias("order_text"),
+                    F.concat_ws("/", F.month(d), F.dayofmonth(d), F.year(d)).alias("slash_text"),
+                    F.date_format(later, "ddMMyy").alias("short_text"))
 
 
 def stays(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,46 +170,63 @@ def balance_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("c_nationkey", cls.alias("class"), F.col("c_acctbal").cast("int").alias("balance"))
 
 
+def order_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem quantities by return flag and one of 80 shares, a double."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select("l_returnflag", (F.col("l_orderkey") % 80 + F.lit(0.5)).alias("share"),
+                     F.col("l_quantity").cast("bigint").alias("quantity"))
+
+
 def customer_ports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """customer as a port list (Code, City, State): one port per customer, a comma inside City,
-    no State where the nation key is a multiple of 5."""
+    """customer as a port list (Code, City, State): one port per customer, a comma inside City, or
+    quotes or a line break or outer blanks, no State where the nation key is a multiple of 5."""
     c = table(spark, sf_dir, "customer")
     nk = F.col("c_nationkey")
-    return c.select(F.concat(F.lit("P"), F.col("c_custkey").cast("string")).alias("Code"),
-                    F.concat(F.col("c_name"), F.lit(", N"), nk.cast("string")).alias("City"),
+    plain = F.concat(F.col("c_name"), F.lit(", N"), nk.cast("string"))
+    city = _case(F.col("c_custkey"), 6, {
+        1: F.concat(F.lit('O"Hare, '), plain), 2: F.concat(F.lit("two\nlines, "), plain),
+        3: F.concat(F.lit(" "), plain, F.lit(" ")), 4: F.concat(F.lit('"'), plain, F.lit('"'))}, plain)
+    return c.select(F.concat(F.lit("P"), F.col("c_custkey").cast("string")).alias("Code"), city.alias("City"),
                     F.when(nk % 5 != 0, F.concat(F.lit("S"), nk.cast("string"))).alias("State"))
 
 
 def raw_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw arrivals in the SAS layout (numbers as double, dates as day counts): one row per line
-    item with its order and customer. (l_orderkey, l_linenumber) repeats in the data, so ids repeat."""
+    item with its order and customer. (l_orderkey, l_linenumber) repeats in the data, so ids repeat.
+
+    Some rows have no id, a null, zero, NaN or fractional day count, a departure before the
+    arrival, an unknown visa code, or nothing at all.
+    """
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
                                               "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    j = scale_join(li, o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey)
-    ln = F.col("l_linenumber")
-    mode = ln % 5
-    return j.select(
-        (F.col("l_orderkey") * 10 + ln).cast("double").alias("cicid"),
+    j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey)
+    k, ln = F.col("l_orderkey"), F.col("l_linenumber")
+    mode, arrived = ln % 5, _sas_days(F.col("o_orderdate"))
+    rows = j.select(
+        F.when(k % 97 != 5, k * 10 + ln).cast("double").alias("cicid"),
         F.year("o_orderdate").cast("double").alias("i94yr"),
         F.month("o_orderdate").cast("double").alias("i94mon"),
         F.col("c_nationkey").cast("double").alias("i94cit"),
         (F.col("o_custkey") % 25).cast("double").alias("i94res"),
         F.col("o_orderpriority").alias("i94port"),
-        _sas_days(F.col("o_orderdate")).alias("arrdate"),
+        _case(k, 101, {1: F.lit(0.0), 2: F.lit(None).cast("double"), 3: F.lit(float("nan")), 4: arrived + 0.5},
+              arrived).alias("arrdate"),
         F.when(mode == 4, F.lit(9)).when(mode != 0, mode).cast("double").alias("i94mode"),
         F.col("o_orderstatus").alias("i94addr"),
-        F.when(ln != 7, _sas_days(F.col("l_shipdate"))).alias("depdate"),
+        F.when(k % 103 == 1, arrived - 3).when(ln != 7, _sas_days(F.col("l_shipdate"))).alias("depdate"),
         F.col("l_quantity").alias("i94bir"),
-        (1 + ln % 3).cast("double").alias("i94visa"),
+        F.when(k % 50 == 0, 7).otherwise(1 + ln % 3).cast("double").alias("i94visa"),
         F.lit(1.0).alias("count"),
         (F.year("o_orderdate") - F.col("l_quantity")).cast("double").alias("biryear"),
         F.col("l_linestatus").alias("gender"),
         F.col("c_mktsegment").alias("airline"),
         F.col("l_returnflag").alias("visatype"),
         F.col("l_orderkey").cast("double").alias("admnum"),
-        "l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_tax")
+        "l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_tax",
+        ((k % 89 == 7) & (ln == 1)).alias("nothing"))
+    return rows.select(*[F.when(~F.col("nothing"), F.col(c)).alias(c) for c in rows.columns if c != "nothing"])
 
 
 # Dedupe order for raw arrivals: every column but the id, then the tie-break columns.
@@ -241,8 +240,18 @@ def write_indexed_csv(df: DataFrame, path: str) -> None:
 
     The index is ``monotonically_increasing_id``: unique without a shuffle or a single-task sort.
     """
-    (df.select(F.monotonically_increasing_id().alias(""), "*")
-     .write.mode("overwrite").option("header", True).csv(path))
+    _pandas_csv(df).csv(path)
+
+
+def _pandas_csv(df: DataFrame, sep: str = ","):
+    return (df.select(F.monotonically_increasing_id().alias(""), "*").write.mode("overwrite")
+            .option("header", True).option("sep", sep).option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+
+
+def write_raw_demographics(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The raw city demographics as pandas-style CSV with ';' and a leading index column."""
+    _pandas_csv(raw_demographics(spark, sf_dir), ";").csv(path)
 
 
 def raw_temperatures(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,7 +260,7 @@ def raw_temperatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     empty or malformed; an uncertainty column is 95 % missing."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    j = scale_join(o, c, o.o_custkey == c.c_custkey)
+    j = o.join(c, o.o_custkey == c.c_custkey)
     k = F.col("o_orderkey")
     # Quarter degrees from -5 to 35: sums of quarters are exact, so means do not depend on order.
     reading = (F.floor((F.col("o_totalprice") % 4000) / 25) / 4 - 5).cast("string")
@@ -265,7 +274,8 @@ def raw_temperatures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw city demographics: one city per nation, one row per (city, segment) as 'race', counts
-    of customers; whole numbers partly written as '1234.0', gaps, and every row twice."""
+    of customers; whole numbers partly written as '1234.0', gaps, every row twice, in one nation
+    of four once more with a larger count, and in one of seven once more without a race."""
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     per_city = (c.groupBy("c_nationkey")
@@ -275,7 +285,7 @@ def raw_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = per_race.join(per_city, "c_nationkey").join(n, F.col("c_nationkey") == n.n_nationkey)
     nk = F.col("c_nationkey")
     rows = j.select(
-        F.col("n_name").alias("City"),
+        F.col("c_nationkey"), F.col("n_name").alias("City"),
         F.concat(F.lit("Region "), F.col("n_regionkey").cast("string")).alias("State"),
         (F.lit(30.0) + nk / 2).cast("string").alias("Median Age"),
         F.col("male").cast("string").alias("Male Population"),
@@ -287,7 +297,9 @@ def raw_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("R"), F.col("n_regionkey").cast("string")).alias("State Code"),
         F.concat(F.initcap(F.lower(F.col("c_mktsegment"))), F.lit("-Segment Members")).alias("Race"),
         F.col("cnt").cast("string").alias("Count"))
-    return rows.unionAll(rows)
+    more = rows.where(nk % 4 == 0).withColumn("Count", (F.col("Count").cast("bigint") + 1).cast("string"))
+    no_race = rows.where(nk % 7 == 0).withColumn("Race", F.lit(None).cast("string"))
+    return rows.unionAll(rows).unionAll(more).unionAll(no_race).drop("c_nationkey")
 
 
 def raw_ports(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -297,14 +309,24 @@ def raw_ports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw countries, one row per customer: its nation's code and upper-case name, or on one
-    customer in 50 a region name with the literal code 'NA'. Few distinct rows, many copies."""
+    """Raw countries, one row per customer: its nation's code and upper-case name; on some customers
+    a region name with the literal code 'NA', the name in another case under another code (which
+    fans out in the join), the name with a trailing blank (which does not match), or no name."""
     c = table(spark, sf_dir, "customer")
-    nk = F.col("c_nationkey")
-    odd = F.col("c_custkey") % 50 == 0
-    return c.select(F.when(odd, F.lit("NA")).otherwise(nk.cast("string")).alias("Code"),
-                    F.when(odd, F.concat(F.lit("REGION_"), (nk % 5).cast("string")))
-                    .otherwise(F.concat(F.lit("NATION_"), nk.cast("string"))).alias("Country"))
+    nk, odd = F.col("c_nationkey"), F.col("c_custkey") % 50
+    name = F.concat(F.lit("NATION_"), nk.cast("string"))
+    return c.select(
+        F.when(odd == 0, F.lit("NA")).when(odd == 1, F.concat(F.lit("9"), nk.cast("string")))
+        .otherwise(nk.cast("string")).alias("Code"),
+        F.when(odd == 0, F.concat(F.lit("REGION_"), (nk % 5).cast("string")))
+        .when(odd == 1, F.initcap(F.lower(name))).when(odd == 2, F.concat(name, F.lit(" ")))
+        .when(odd != 3, name).alias("Country"))
+
+
+def empty_ports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The port list with a City on one port in 20 only (95 % missing)."""
+    p = customer_ports(spark, sf_dir)
+    return p.withColumn("City", F.when(F.substring("Code", 2, 20).cast("bigint") % 20 == 0, F.col("City")))
 
 
 def write_raw_inputs(spark: SparkSession, sf_dir: str, out_dir: str):
@@ -321,8 +343,7 @@ def write_raw_inputs(spark: SparkSession, sf_dir: str, out_dir: str):
                       countries=f"{base}/countries")
     sparse_arrivals(spark, sf_dir).write.mode("overwrite").parquet(paths.arrivals)
     raw_temperatures(spark, sf_dir).write.mode("overwrite").option("header", True).csv(paths.temperatures)
-    (raw_demographics(spark, sf_dir).select(F.monotonically_increasing_id().alias(""), "*")
-     .write.mode("overwrite").option("header", True).option("sep", ";").csv(paths.demographics))
+    write_raw_demographics(spark, sf_dir, paths.demographics)
     write_indexed_csv(raw_ports(spark, sf_dir), paths.ports)
     write_indexed_csv(raw_countries(spark, sf_dir), paths.countries)
     return paths

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from ..operators.aggregate import group_mean
 from ..operators.clean import clean, dedupe_by_key, drop_empty_rows, drop_sparse_columns, require_columns
-from ..operators.dims import (calendar_dim, city_demographics_dim, port_dim, temperature_dim,
-                              transport_mode_dim, visa_dim, write_calendar)
+from ..operators.dims import (DEMOGRAPHICS_NAMES, PORT_NAMES, calendar_dim, city_demographics_dim, port_dim,
+                              temperature_dim, transport_mode_dim, visa_dim, write_calendar)
 from ..operators.fact import ARRIVALS_REQUIRED, arrivals_fact
 from ..sources import read_csv, read_small_csv, read_table
 from ..sources.sinks import write_csv, write_parquet
@@ -26,6 +26,21 @@ STAGED = {"arrivals": "sas_data", "temperatures": "global_temperatures",
 FINAL = {"fact": "immigration_fact", "calendar": "time_dim", "visa": "visa_dim",
          "mode": "transport_mode_dim", "temperature": "temperature_dim",
          "demographics": "us_city_demographics_dim", "port": "port_dim"}
+# The declared columns of the final tables. The fact and the ports may carry more columns from the
+# raw tables, and the demographics have one bigint column per race.
+FINAL_SCHEMAS = {
+    "fact": "id bigint, birth_country_id int, residence_country_id int, port_id string, arrival_date date, "
+            "transport_mode_id smallint, arrival_state string, depart_date date, age_in_yrs int, visa smallint, "
+            "count int, birth_year int, gender string, airline string, visatype string, stay_days int",
+    "calendar": "date date, day int, week int, month int, year int, weekday int, id bigint",
+    "visa": "visa_cat_id smallint, visatype string, visa_cat string",
+    "mode": "id smallint, mode string",
+    "temperature": "city string, country_id string, country string, avg_temperature double",
+    "demographics": "city string, state string, state_code string, median_age float, male_population bigint, "
+                    "female_population bigint, total_population bigint, number_of_veterans bigint, "
+                    "foreign_born bigint, average_household_size float",
+    "port": "port_id string, city string, state string"}
+OPEN_SCHEMAS = ("fact", "demographics", "port")
 # ---------------------------------------------------------------------------------------------
 
 
@@ -34,10 +49,14 @@ def stage_arrivals(raw: DataFrame, threshold: float = 90.0, dedupe: bool = True,
     """Staged arrivals (T1): sparse columns and empty rows dropped, one row per ``cicid``.
 
     Columns the fact needs are protected from the sparse drop, as the fact's cast would fail on
-    them. ``dedupe=False`` keeps duplicate ids, as the reference's discarded dedupe did.
+    them. Rows without an id are different arrivals and all stay. ``dedupe=False`` keeps
+    duplicate ids as well.
     """
     df = drop_empty_rows(drop_sparse_columns(raw, threshold, protected))
-    return dedupe_by_key(df, ["cicid"], order) if dedupe else df
+    if not dedupe:
+        return df
+    known = dedupe_by_key(df.where(F.col("cicid").isNotNull()), ["cicid"], order)
+    return known.unionByName(df.where(F.col("cicid").isNull()))
 
 
 def stage_temperatures(raw: DataFrame, threshold: float = 90.0,
@@ -54,19 +73,25 @@ def stage_temperatures(raw: DataFrame, threshold: float = 90.0,
     return group_mean(df, TEMPERATURE_GROUP, "AverageTemperature", "average_temperature")
 
 
-def stage_demographics(raw: DataFrame, threshold: float = 90.0) -> DataFrame:
-    """Staged city demographics (T3): the small-table cleaner keyed by city, state and race."""
-    return clean(raw, threshold, keys=DEMOGRAPHICS_KEYS, protected=DEMOGRAPHICS_KEYS)
+def stage_demographics(raw: DataFrame, threshold: float = 90.0,
+                       protected: Sequence[str] = tuple(DEMOGRAPHICS_NAMES)) -> DataFrame:
+    """Staged city demographics (T3): the small-table cleaner keyed by city, state and race.
+
+    The columns of the final table are protected from the sparse drop, here and for the other
+    small tables, so the final schema does not depend on how full they are.
+    """
+    return clean(raw, threshold, keys=DEMOGRAPHICS_KEYS, protected=protected)
 
 
-def stage_ports(raw: DataFrame, threshold: float = 90.0) -> DataFrame:
+def stage_ports(raw: DataFrame, threshold: float = 90.0, protected: Sequence[str] = tuple(PORT_NAMES)) -> DataFrame:
     """Staged ports (T4): the small-table cleaner without keys."""
-    return clean(raw, threshold)
+    return clean(raw, threshold, protected=protected)
 
 
-def stage_countries(raw: DataFrame, threshold: float = 90.0) -> DataFrame:
+def stage_countries(raw: DataFrame, threshold: float = 90.0,
+                    protected: Sequence[str] = ("Code", "Country")) -> DataFrame:
     """Staged countries (T5): the small-table cleaner without keys."""
-    return clean(raw, threshold)
+    return clean(raw, threshold, protected=protected)
 
 
 @dataclass(frozen=True)
@@ -89,6 +114,20 @@ def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+def check_schema(df: DataFrame, name: str) -> DataFrame:
+    """``df`` itself if it has the declared columns and types of a final table; else an error.
+
+    Only the tables in ``OPEN_SCHEMAS`` may have other columns besides.
+    """
+    declared = dict(c.rsplit(" ", 1) for c in FINAL_SCHEMAS[name].split(", "))
+    actual = dict(df.dtypes)
+    wrong = {c: (t, actual.get(c)) for c, t in declared.items() if actual.get(c) != t}
+    more = [] if name in OPEN_SCHEMAS else [c for c in actual if c not in declared]
+    if wrong or more:
+        raise ValueError(f"{name}: columns (declared, found) {wrong}, columns not declared {more}")
+    return df
+
+
 def run_stage(spark: SparkSession, raw: RawInputs, stage_dir: str, threshold: float = 90.0,
               row_counts: dict[str, int] | None = None) -> dict[str, str]:
     """Staging job (T13): build and write the five staged tables; returns their paths.
@@ -99,7 +138,7 @@ def run_stage(spark: SparkSession, raw: RawInputs, stage_dir: str, threshold: fl
     out = {k: _join(stage_dir, v) for k, v in STAGED.items()}
     tables = {
         "arrivals": (stage_arrivals(read_table(spark, raw.arrivals, raw.arrivals_format), threshold), write_parquet),
-        "temperatures": (stage_temperatures(read_csv(spark, raw.temperatures), threshold), write_csv),
+        "temperatures": (stage_temperatures(read_csv(spark, raw.temperatures, escape="\\"), threshold), write_csv),
         "demographics": (stage_demographics(read_small_csv(spark, raw.demographics, sep=";"), threshold), write_csv),
         "ports": (stage_ports(read_small_csv(spark, raw.ports), threshold), write_csv),
         "countries": (stage_countries(read_small_csv(spark, raw.countries), threshold), write_csv),
@@ -118,23 +157,26 @@ def run_final(spark: SparkSession, stage_dir: str, final_dir: str,
 
     The fact plan runs once: the dimensions read the written fact back, which both cuts the
     lineage (a lost executor re-reads files instead of redoing the dedupe) and lets each
-    dimension read only the columns it needs.
+    dimension read only the columns it needs. Every table is checked against its declared schema
+    before it is written.
     """
     staged = {k: _join(stage_dir, v) for k, v in STAGED.items()}
     out = {k: _join(final_dir, v) for k, v in FINAL.items()}
-    write_parquet(arrivals_fact(read_table(spark, staged["arrivals"])), out["fact"])
+    # the staged files are in the dialect of write_csv; only the small tables can hold line breaks
+    small = {k: read_csv(spark, staged[k], multi_line=True) for k in ("demographics", "ports", "countries")}
+    write_parquet(check_schema(arrivals_fact(read_table(spark, staged["arrivals"])), "fact"), out["fact"])
     fact = read_table(spark, out["fact"])
-    write_calendar(calendar_dim(fact), out["calendar"])
-    write_parquet(visa_dim(fact), out["visa"])
-    write_parquet(transport_mode_dim(fact), out["mode"])
-    write_parquet(temperature_dim(read_csv(spark, staged["temperatures"]),
-                                  read_csv(spark, staged["countries"])), out["temperature"])
-    write_parquet(city_demographics_dim(read_csv(spark, staged["demographics"]), races),
-                  out["demographics"])
-    write_parquet(port_dim(read_csv(spark, staged["ports"])), out["port"])
+    write_calendar(check_schema(calendar_dim(fact), "calendar"), out["calendar"])
+    write_parquet(check_schema(visa_dim(fact), "visa"), out["visa"])
+    write_parquet(check_schema(transport_mode_dim(fact), "mode"), out["mode"])
+    temperatures = temperature_dim(read_csv(spark, staged["temperatures"]), small["countries"])
+    write_parquet(check_schema(temperatures, "temperature"), out["temperature"])
+    write_parquet(check_schema(city_demographics_dim(small["demographics"], races), "demographics"), out["demographics"])
+    write_parquet(check_schema(port_dim(small["ports"]), "port"), out["port"])
     return out
 
 
-__all__ = ["TEMPERATURE_KEYS", "DEMOGRAPHICS_KEYS", "STAGED", "FINAL", "stage_arrivals",
+__all__ = ["TEMPERATURE_KEYS", "DEMOGRAPHICS_KEYS", "STAGED", "FINAL", "FINAL_SCHEMAS",
+           "check_schema", "stage_arrivals",
            "stage_temperatures", "stage_demographics", "stage_ports", "stage_countries", "RawInputs",
            "run_stage", "run_final"]

@@ -25,7 +25,7 @@ from ..session import scratch_path
 from ..sources import apply_null_tokens, read_csv, read_small_csv, read_table
 from ..sources.sinks import write_csv, write_parquet
 from . import demo
-from .jobs import (run_final, run_stage, stage_arrivals, stage_countries, stage_demographics, stage_ports,
+from .jobs import (check_schema, run_final, run_stage, stage_arrivals, stage_countries, stage_demographics, stage_ports,
                    stage_temperatures)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,7 +83,9 @@ def q_epoch_days(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_parse_date(spark: SparkSession, sf: str) -> DataFrame:
     d = demo.dated_orders(spark, sf)
-    return d.select("o_orderkey", "order_text", text_to_date(F.col("order_text"), "%m%d%Y").alias("order_date"))
+    return d.select("o_orderkey", "order_text", text_to_date(F.col("order_text"), "%m%d%Y").alias("order_date"),
+                    text_to_date(F.col("slash_text"), "%m/%d/%Y").alias("slash_date"),
+                    text_to_date(F.col("short_text"), "%d%m%y").alias("short_date"))
 
 
 def q_date_diff(spark: SparkSession, sf: str) -> DataFrame:
@@ -129,16 +131,27 @@ def q_pivot_sum(spark: SparkSession, sf: str) -> DataFrame:
     return pivot_sum(demo.balance_classes(spark, sf), ["c_nationkey"], "class", "balance")
 
 
+def q_pivot_sum_many(spark: SparkSession, sf: str) -> DataFrame:
+    return pivot_sum(demo.order_shares(spark, sf), ["l_returnflag"], "share", "quantity")
+
+
 def q_port_dim(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "ports_csv")
     demo.write_indexed_csv(demo.customer_ports(spark, sf), path)
-    return port_dim(read_csv(spark, path))
+    return port_dim(read_csv(spark, path, multi_line=True))
+
+
+def q_port_dim_sparse(spark: SparkSession, sf: str) -> DataFrame:
+    # A needed column that is 95 % missing stays: the final table has its declared columns.
+    path = scratch_path(spark, "ports_sparse")
+    write_csv(stage_ports(demo.empty_ports(spark, sf)), path)
+    return check_schema(port_dim(read_csv(spark, path, multi_line=True)), "port")
 
 
 # ---- fact and report ------------------------------------------------------------------------
 
 def _fact(spark: SparkSession, sf: str) -> DataFrame:
-    return arrivals_fact(dedupe_by_key(demo.raw_arrivals(spark, sf), ["cicid"], demo.ARRIVALS_ORDER))
+    return arrivals_fact(stage_arrivals(demo.raw_arrivals(spark, sf), order=demo.ARRIVALS_ORDER))
 
 
 def q_arrivals_fact(spark: SparkSession, sf: str) -> DataFrame:
@@ -147,9 +160,9 @@ def q_arrivals_fact(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_star_report(spark: SparkSession, sf: str) -> DataFrame:
     # As the final job does it: the fact is written once, each dimension is built from the
-    # written fact and written, and the report reads the written tables. The fact plan runs
-    # once, and the size check behind each broadcast reads a small dimension file. (The
-    # calendar's partitioned layout is exercised by calendar_roundtrip; here it is one folder.)
+    # written fact and written, and the report reads the written tables, so the fact plan runs
+    # once. (The calendar's partitioned layout is exercised by calendar_roundtrip; here it is one
+    # folder.)
     base = scratch_path(spark, "star")
     write_parquet(_fact(spark, sf), f"{base}/fact")
     fact = read_table(spark, f"{base}/fact")
@@ -166,6 +179,10 @@ def q_stage_arrivals(spark: SparkSession, sf: str) -> DataFrame:
     return stage_arrivals(demo.sparse_arrivals(spark, sf))
 
 
+def q_stage_arrivals_all(spark: SparkSession, sf: str) -> DataFrame:
+    return stage_arrivals(demo.sparse_arrivals(spark, sf), dedupe=False)
+
+
 def q_stage_temperatures(spark: SparkSession, sf: str) -> DataFrame:
     return stage_temperatures(demo.raw_temperatures(spark, sf))
 
@@ -182,54 +199,60 @@ def q_stage_ports(spark: SparkSession, sf: str) -> DataFrame:
     return stage_ports(read_small_csv(spark, path))
 
 
+def _staged_demographics(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "demographics_raw")
+    demo.write_raw_demographics(spark, sf, path)
+    return stage_demographics(read_small_csv(spark, path, sep=";"))
+
+
+def q_stage_demographics(spark: SparkSession, sf: str) -> DataFrame:
+    return _staged_demographics(spark, sf)
+
+
 def q_city_demographics_dim(spark: SparkSession, sf: str) -> DataFrame:
-    raw_path, staged_path = scratch_path(spark, "demographics_raw"), scratch_path(spark, "demographics_stage")
-    (demo.raw_demographics(spark, sf).select(F.monotonically_increasing_id().alias(""), "*")
-     .write.mode("overwrite").option("header", True).option("sep", ";").csv(raw_path))
-    write_csv(stage_demographics(read_small_csv(spark, raw_path, sep=";")), staged_path)
-    return city_demographics_dim(read_csv(spark, staged_path))
+    path = scratch_path(spark, "demographics_stage")
+    write_csv(_staged_demographics(spark, sf), path)
+    return city_demographics_dim(read_csv(spark, path, multi_line=True))
 
 
 # Staged tables that run_stage writes as CSV; the others are Parquet.
 _CSV_STAGED = {"temperatures", "demographics", "ports", "countries"}
-
-# An integer checksum of each written table, so that values are compared and not only counts
-# (integer sums and text lengths: exact in both engines, whatever the summing order).
-_CHECKSUMS = {
-    "stage_arrivals": lambda: F.sum("cicid").cast("bigint"),
-    "stage_temperatures": lambda: F.sum(F.length("City") + F.length("Country")),
-    "stage_demographics": lambda: F.sum(F.col("Count").try_cast("bigint")),
-    "stage_ports": lambda: F.sum(F.length("Code")),
-    "stage_countries": lambda: F.sum(F.length("Country")),
-    "final_fact": lambda: F.sum("id") + F.sum("stay_days"),
-    "final_calendar": lambda: F.sum("id"),
-    "final_visa": lambda: F.sum("visa_cat_id"),
-    "final_mode": lambda: F.sum("id"),
-    "final_temperature": lambda: F.sum(F.col("country_id").try_cast("int")),
-    "final_demographics": lambda: F.sum("total_population"),
-    "final_port": lambda: F.sum(F.length("port_id")),
-}
+# Columns compared as numbers (times 1000, rounded) whose text differs between engines.
+_AS_NUMBER = {"average_temperature", "avg_temperature", "median_age", "average_household_size", "Median Age",
+              "Female Population", "l_extendedprice", "l_discount", "l_tax", "cicid", "i94cit", "i94res", "arrdate",
+              "i94mode", "depdate", "i94bir", "i94visa", "count", "biryear", "i94yr", "i94mon", "admnum"}
+
+
+def _column_sums(df: DataFrame, table_name: str, observed: int | None) -> DataFrame:
+    """One row per column: rows, values that are not null, and a sum over hashes of their texts."""
+    sums = []
+    for i, c in enumerate(df.columns):
+        v = F.col(f"`{c}`")
+        text = (F.round(v.try_cast("double") * 1000).try_cast("bigint") if c in _AS_NUMBER else v).cast("string")
+        part = F.conv(F.substring(F.md5(F.encode(text, "utf-8")), 1, 8), 16, 10).cast("bigint")
+        sums += [F.count(text).alias(f"n{i}"), F.sum(part).alias(f"s{i}")]
+    wide = df.agg(F.count(F.lit(1)).alias("row_count"), *sums)
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("present"), F.col(f"s{i}").alias("checksum"))
+                     for i, c in enumerate(df.columns)])
+    # observed_rows: the staging job's row count after cleaning (C3), recorded while it wrote.
+    return (wide.select("row_count", F.inline(rows))
+            .select(F.lit(table_name).alias("table_name"), "column_name", "row_count", "present", "checksum",
+                    F.lit(observed).cast("bigint").alias("observed_rows")))
 
 
 def q_star_schema(spark: SparkSession, sf: str) -> DataFrame:
     # Both jobs end to end (T13, T14): raw inputs derived from the given tables are written, the
     # staging job writes the five staged tables, the final job the fact and six dimensions; the
-    # result is each written table's row count and checksum, computed by Spark from the files,
-    # and for staged tables the row count observed during the write.
+    # result has each column of each written table, summed up by Spark from the files.
     base = scratch_path(spark, "star_schema")
     raw = demo.write_raw_inputs(spark, sf, f"{base}/raw")
     observed: dict[str, int] = {}
     staged = run_stage(spark, raw, f"{base}/stage", row_counts=observed)
     final = run_final(spark, f"{base}/stage", f"{base}/final")
-    tables = [(f"stage_{k}", read_csv(spark, p) if k in _CSV_STAGED else read_table(spark, p), observed[k])
-              for k, p in staged.items()]
+    tables = [(f"stage_{k}", read_csv(spark, p, multi_line=True) if k in _CSV_STAGED else read_table(spark, p),
+               observed[k]) for k, p in staged.items()]
     tables += [(f"final_{k}", read_table(spark, p), None) for k, p in final.items()]
-    # observed_rows: the staging job's row count after cleaning (C3), recorded while it wrote.
-    counts = [df.agg(F.count(F.lit(1)).alias("row_count"), _CHECKSUMS[name]().cast("bigint").alias("checksum"))
-              .select(F.lit(name).alias("table_name"), "row_count", "checksum",
-                      F.lit(seen).cast("bigint").alias("observed_rows"))
-              for name, df, seen in tables]
-    return reduce(DataFrame.unionByName, counts)
+    return reduce(DataFrame.unionByName, [_column_sums(df, name, seen) for name, df, seen in tables])
 
 
 QUERIES: dict[str, Query] = {
@@ -253,10 +276,14 @@ QUERIES: dict[str, Query] = {
     "ci_join_sql": q_ci_join_sql,
     "group_mean": q_group_mean,
     "pivot_sum": q_pivot_sum,
+    "pivot_sum_many": q_pivot_sum_many,
     "port_dim": q_port_dim,
+    "port_dim_sparse": q_port_dim_sparse,
     "arrivals_fact": q_arrivals_fact,
     "star_report": q_star_report,
     "stage_arrivals": q_stage_arrivals,
+    "stage_arrivals_all": q_stage_arrivals_all,
+    "stage_demographics": q_stage_demographics,
     "stage_temperatures": q_stage_temperatures,
     "stage_countries": q_stage_countries,
     "stage_ports": q_stage_ports,
@@ -360,27 +387,33 @@ def _sas_date(col: str) -> str:
 
 _ARRIVALS_ORDER_SQL = ", ".join(f'"{c}" NULLS FIRST' for c in demo.ARRIVALS_ORDER)
 
-_RAW_ARRIVALS = """
-  SELECT CAST(l_orderkey * 10 + l_linenumber AS DOUBLE) AS cicid,
-         CAST(year(o_orderdate) AS DOUBLE) AS i94yr, CAST(month(o_orderdate) AS DOUBLE) AS i94mon,
-         CAST(c_nationkey AS DOUBLE) AS i94cit, CAST(o_custkey % 25 AS DOUBLE) AS i94res,
-         o_orderpriority AS i94port,
-         CAST(date_diff('day', DATE '1960-01-01', CAST(o_orderdate AS DATE)) AS DOUBLE) AS arrdate,
-         CAST(CASE WHEN l_linenumber % 5 = 4 THEN 9 WHEN l_linenumber % 5 <> 0 THEN l_linenumber % 5 END AS DOUBLE) AS i94mode,
-         o_orderstatus AS i94addr,
-         CASE WHEN l_linenumber <> 7
-              THEN CAST(date_diff('day', DATE '1960-01-01', CAST(l_shipdate AS DATE)) AS DOUBLE) END AS depdate,
-         l_quantity AS i94bir, CAST(1 + l_linenumber % 3 AS DOUBLE) AS i94visa, 1.0::DOUBLE AS "count",
-         CAST(year(o_orderdate) - l_quantity AS DOUBLE) AS biryear,
-         l_linestatus AS gender, c_mktsegment AS airline, l_returnflag AS visatype,
-         CAST(l_orderkey AS DOUBLE) AS admnum, l_partkey, l_suppkey, l_extendedprice, l_discount, l_tax
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey"""
+_ARRIVED = "CAST(date_diff('day', DATE '1960-01-01', CAST(o_orderdate AS DATE)) AS DOUBLE)"
+_RAW_COLUMNS = {
+    "cicid": "CAST(CASE WHEN l_orderkey % 97 <> 5 THEN l_orderkey * 10 + l_linenumber END AS DOUBLE)",
+    "i94yr": "CAST(year(o_orderdate) AS DOUBLE)", "i94mon": "CAST(month(o_orderdate) AS DOUBLE)",
+    "i94cit": "CAST(c_nationkey AS DOUBLE)", "i94res": "CAST(o_custkey % 25 AS DOUBLE)", "i94port": "o_orderpriority",
+    "arrdate": f"CASE l_orderkey % 101 WHEN 1 THEN 0.0::DOUBLE WHEN 2 THEN NULL WHEN 3 THEN 'NaN'::DOUBLE "
+               f"WHEN 4 THEN {_ARRIVED} + 0.5 ELSE {_ARRIVED} END",
+    "i94mode": "CAST(CASE WHEN l_linenumber % 5 = 4 THEN 9 WHEN l_linenumber % 5 <> 0 THEN l_linenumber % 5 END AS DOUBLE)",
+    "i94addr": "o_orderstatus",
+    "depdate": f"CASE WHEN l_orderkey % 103 = 1 THEN {_ARRIVED} - 3 WHEN l_linenumber <> 7 "
+               "THEN CAST(date_diff('day', DATE '1960-01-01', CAST(l_shipdate AS DATE)) AS DOUBLE) END",
+    "i94bir": "l_quantity", "i94visa": "CAST(CASE WHEN l_orderkey % 50 = 0 THEN 7 ELSE 1 + l_linenumber % 3 END AS DOUBLE)",
+    "count": "1.0::DOUBLE", "biryear": "CAST(year(o_orderdate) - l_quantity AS DOUBLE)", "gender": "l_linestatus",
+    "airline": "c_mktsegment", "visatype": "l_returnflag", "admnum": "CAST(l_orderkey AS DOUBLE)",
+    **{c: c for c in ("l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_tax")}}
+_NOTHING = "(l_orderkey % 89 = 7 AND l_linenumber = 1)"
+# The raw arrivals without the rows that hold nothing: staging drops those.
+_RAW_ARRIVALS = ("SELECT " + ", ".join(f'{e} AS "{c}"' for c, e in _RAW_COLUMNS.items())
+                 + " FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey"
+                 + f" WHERE NOT {_NOTHING}")
+_STAGED_ARRIVALS = f"""SELECT * FROM ({_RAW_ARRIVALS})
+QUALIFY cicid IS NULL OR row_number() OVER (PARTITION BY cicid ORDER BY {_ARRIVALS_ORDER_SQL}) = 1"""
 
 _FACT = f"""
-WITH r AS ({_RAW_ARRIVALS}),
-d AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY cicid ORDER BY {_ARRIVALS_ORDER_SQL}) = 1),
+WITH d AS ({_STAGED_ARRIVALS}),
 f AS (
-  SELECT CAST(trunc(cicid) AS INTEGER) AS id, CAST(trunc(i94cit) AS INTEGER) AS birth_country_id,
+  SELECT CAST(trunc(cicid) AS BIGINT) AS id, CAST(trunc(i94cit) AS INTEGER) AS birth_country_id,
          CAST(trunc(i94res) AS INTEGER) AS residence_country_id, i94port AS port_id,
          {_sas_date('arrdate')} AS arrival_date,
          CAST(trunc(i94mode) AS SMALLINT) AS transport_mode_id, i94addr AS arrival_state,
@@ -390,23 +423,42 @@ f AS (
          gender, airline, visatype, l_partkey, l_suppkey, l_extendedprice, l_discount, l_tax
   FROM d)"""
 
-_CITY_DEMOGRAPHICS = (
-    """
+_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+# Rows with a larger count lose to the smaller text of the two; rows without a race are dropped.
+_STAGED_DEMOGRAPHICS = """
 WITH pc AS (SELECT c_nationkey, count(*) AS total, count(*) FILTER (WHERE c_custkey % 2 = 0) AS male,
                    count(*) FILTER (WHERE c_acctbal < 0) AS veterans
             FROM customer GROUP BY c_nationkey),
 pr AS (SELECT c_nationkey, c_mktsegment, count(*) AS cnt FROM customer GROUP BY c_nationkey, c_mktsegment)
-SELECT n_name AS city, 'Region ' || CAST(n_regionkey AS VARCHAR) AS state,
-       CAST(30.0 + pc.c_nationkey / 2 AS FLOAT) AS median_age,
-       male AS male_population, total - male AS female_population, total AS total_population,
-       CASE WHEN pc.c_nationkey % 6 <> 0 THEN veterans END AS number_of_veterans,
-       veterans AS foreign_born, CAST(2.5 AS FLOAT) AS average_household_size,
-       'R' || CAST(n_regionkey AS VARCHAR) AS state_code, """
-    + ", ".join(f"CAST(sum(cnt) FILTER (WHERE c_mktsegment = '{seg}') AS BIGINT) AS {seg.lower()}_segment_members"
-                for seg in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"))
+SELECT n_name AS "City", 'Region ' || CAST(n_regionkey AS VARCHAR) AS "State",
+       CAST(CAST(30 + pc.c_nationkey / 2 AS DOUBLE) AS VARCHAR) AS "Median Age",
+       CAST(male AS VARCHAR) AS "Male Population", CAST(total - male AS VARCHAR) || '.0' AS "Female Population",
+       CAST(total AS VARCHAR) AS "Total Population",
+       CASE WHEN pc.c_nationkey % 6 <> 0 THEN CAST(veterans AS VARCHAR) END AS "Number of Veterans",
+       CAST(veterans AS VARCHAR) || '.0' AS "Foreign-born", '2.5' AS "Average Household Size",
+       'R' || CAST(n_regionkey AS VARCHAR) AS "State Code",
+       upper(c_mktsegment[1]) || lower(c_mktsegment[2:]) || '-Segment Members' AS "Race",
+       least(CAST(cnt AS VARCHAR), CASE WHEN pr.c_nationkey % 4 = 0 THEN CAST(cnt + 1 AS VARCHAR) END) AS "Count"
+FROM pr JOIN pc ON pr.c_nationkey = pc.c_nationkey JOIN nation ON pc.c_nationkey = n_nationkey"""
+_CITY_DEMOGRAPHICS = (
+    f"""
+WITH sd AS ({_STAGED_DEMOGRAPHICS})
+SELECT "City" AS city, "State" AS state, CAST("Median Age" AS FLOAT) AS median_age,
+       CAST("Male Population" AS BIGINT) AS male_population,
+       CAST(CAST("Female Population" AS DOUBLE) AS BIGINT) AS female_population,
+       CAST("Total Population" AS BIGINT) AS total_population,
+       CAST("Number of Veterans" AS BIGINT) AS number_of_veterans,
+       CAST(CAST("Foreign-born" AS DOUBLE) AS BIGINT) AS foreign_born,
+       CAST("Average Household Size" AS FLOAT) AS average_household_size, "State Code" AS state_code, """
+    + ", ".join(f"""CAST(sum(CAST("Count" AS INTEGER)) FILTER (WHERE upper("Race") = '{seg}-SEGMENT MEMBERS') AS BIGINT)"""
+                f" AS {seg.lower()}_segment_members" for seg in _SEGMENTS)
     + """
-FROM pr JOIN pc ON pr.c_nationkey = pc.c_nationkey JOIN nation ON pc.c_nationkey = n_nationkey
-GROUP BY ALL""")
+FROM sd GROUP BY ALL""")
+_CITY = """CASE c_custkey % 6 WHEN 1 THEN 'O"Hare, ' || c WHEN 2 THEN 'two' || chr(10) || 'lines, ' || c
+            WHEN 3 THEN ' ' || c || ' ' WHEN 4 THEN '"' || c || '"' ELSE c END"""
+_PORTS = f"""SELECT 'P' || CAST(c_custkey AS VARCHAR) AS code, {_CITY} AS city,
+       CASE WHEN c_nationkey % 5 <> 0 THEN 'S' || CAST(c_nationkey AS VARCHAR) END AS state, c_custkey
+FROM (SELECT *, c_name || ', N' || CAST(c_nationkey AS VARCHAR) AS c FROM customer)"""
 
 ORACLE_SQL: dict[str, str] = {
     "missing_profile": _MISSING_PROFILE,
@@ -466,11 +518,13 @@ WITH s AS (
 SELECT o_orderkey, day_count, {_sas_date('day_count')} AS arrival_date FROM s""",
     "parse_date": """
 WITH d AS (
-  SELECT o_orderkey,
+  SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day,
          CASE o_orderkey % 9 WHEN 0 THEN 'D/S' WHEN 1 THEN '' WHEN 2 THEN NULL
               ELSE strftime(o_orderdate, '%m%d%Y') END AS order_text
   FROM orders)
-SELECT o_orderkey, order_text, CAST(try_strptime(order_text, '%m%d%Y') AS DATE) AS order_date FROM d""",
+SELECT o_orderkey, order_text, CASE WHEN o_orderkey % 9 > 2 THEN day END AS order_date, day AS slash_date,
+       CAST(CASE WHEN o_orderkey % 2 = 1 THEN day + INTERVAL 40 YEAR ELSE day END AS DATE) AS short_date
+FROM d""",
     "date_diff": f"""
 WITH s AS ({_STAYS})
 SELECT l_orderkey, l_linenumber, CAST(date_diff('day', arrival_date, depart_date) AS INTEGER) AS stay_days
@@ -497,11 +551,12 @@ SELECT c_mktsegment AS City, 'NATION_' || CAST(c_nationkey AS VARCHAR) AS Countr
        avg(CASE WHEN c_custkey % 17 IN (0, 1, 2) THEN NULL ELSE floor(c_acctbal * 4) / 4 END) AS average_temperature
 FROM customer GROUP BY 1, 2""",
     "pivot_sum": _PIVOT_SUM,
-    "port_dim": """
-SELECT 'P' || CAST(c_custkey AS VARCHAR) AS port_id,
-       c_name || ', N' || CAST(c_nationkey AS VARCHAR) AS city,
-       CASE WHEN c_nationkey % 5 <> 0 THEN 'S' || CAST(c_nationkey AS VARCHAR) END AS state
-FROM customer""",
+    "pivot_sum_many": "SELECT l_returnflag, " + ", ".join(
+        f'CAST(sum(CAST(l_quantity AS BIGINT)) FILTER (WHERE l_orderkey % 80 = {k}) AS BIGINT) AS "{k}.5"'
+        for k in range(80)) + " FROM lineitem GROUP BY l_returnflag",
+    "port_dim": f"SELECT code AS port_id, city, state FROM ({_PORTS})",
+    "port_dim_sparse": f"""
+SELECT code AS port_id, CASE WHEN c_custkey % 20 = 0 THEN city END AS city, state FROM ({_PORTS})""",
     "arrivals_fact": _FACT + """
 SELECT *, CAST(date_diff('day', arrival_date, depart_date) AS INTEGER) AS stay_days FROM f""",
     "star_report": _FACT + """,
@@ -513,9 +568,9 @@ SELECT CAST(year(arrival_date) AS INTEGER) AS year, CAST(month(arrival_date) AS
        CAST(sum(stay_days) AS BIGINT) AS total_stay_days,
        sum(stay_days) / count(stay_days) AS avg_stay_days
 FROM g GROUP BY 1, 2, 3""",
-    "stage_arrivals": f"""
-WITH r AS ({_RAW_ARRIVALS})
-SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY cicid ORDER BY {_ARRIVALS_ORDER_SQL}) = 1""",
+    "stage_arrivals": _STAGED_ARRIVALS,
+    "stage_arrivals_all": _RAW_ARRIVALS,
+    "stage_demographics": _STAGED_DEMOGRAPHICS,
     "stage_temperatures": """
 WITH t AS (
   SELECT strftime(date_trunc('month', CAST(o_orderdate AS DATE)), '%Y-%m-%d') AS dt,
@@ -528,49 +583,71 @@ d AS (SELECT dt, City, Country, min(AverageTemperature) AS AverageTemperature
       FROM t WHERE AverageTemperature IS NOT NULL GROUP BY dt, City, Country)
 SELECT City, Country, avg(try_cast(AverageTemperature AS DOUBLE)) AS average_temperature
 FROM d GROUP BY City, Country""",
-    "stage_countries": f"""
-WITH c AS (SELECT CASE WHEN c_custkey % 50 = 0 THEN 'NA' ELSE CAST(c_nationkey AS VARCHAR) END AS Code,
-                  CASE WHEN c_custkey % 50 = 0 THEN 'REGION_' || CAST(c_nationkey % 5 AS VARCHAR)
-                       ELSE 'NATION_' || CAST(c_nationkey AS VARCHAR) END AS Country
-           FROM customer)
-SELECT DISTINCT CASE WHEN Code IN ({_sql_list(PANDAS_NA_TOKENS)}) THEN NULL ELSE Code END AS Code,
-                CASE WHEN Country IN ({_sql_list(PANDAS_NA_TOKENS)}) THEN NULL ELSE Country END AS Country
-FROM c""",
-    "stage_ports": """
-SELECT DISTINCT 'P' || CAST(c_custkey AS VARCHAR) AS Code,
-       c_name || ', N' || CAST(c_nationkey AS VARCHAR) AS City,
-       CASE WHEN c_nationkey % 5 <> 0 THEN 'S' || CAST(c_nationkey AS VARCHAR) END AS State
+    "stage_countries": """
+SELECT DISTINCT
+       CASE c_custkey % 50 WHEN 0 THEN NULL WHEN 1 THEN '9' || CAST(c_nationkey AS VARCHAR)
+            ELSE CAST(c_nationkey AS VARCHAR) END AS Code,
+       CASE c_custkey % 50 WHEN 0 THEN 'REGION_' || CAST(c_nationkey % 5 AS VARCHAR)
+            WHEN 1 THEN 'Nation_' || CAST(c_nationkey AS VARCHAR) WHEN 2 THEN 'NATION_' || CAST(c_nationkey AS VARCHAR) || ' '
+            WHEN 3 THEN NULL ELSE 'NATION_' || CAST(c_nationkey AS VARCHAR) END AS Country
 FROM customer""",
+    "stage_ports": f'SELECT DISTINCT code AS "Code", city AS "City", state AS "State" FROM ({_PORTS})',
     "city_demographics_dim": _CITY_DEMOGRAPHICS,
 }
 
+_LABELS = "CASE {0} WHEN 1 THEN 'Business' WHEN 2 THEN 'Pleasure' WHEN 3 THEN 'Student' END"
+_MODES = "CASE {0} WHEN 1 THEN 'Air' WHEN 2 THEN 'Sea' WHEN 3 THEN 'Land' WHEN 9 THEN 'Other' END"
+_FACT_COLUMNS = ("id birth_country_id residence_country_id port_id arrival_date transport_mode_id arrival_state "
+                 "depart_date age_in_yrs visa count birth_year gender airline visatype l_partkey l_suppkey "
+                 "l_extendedprice l_discount l_tax stay_days").split()
+# Each written table of the two jobs: its rows as SQL over the CTEs below, and its columns.
+_WRITTEN = {
+    "stage_arrivals": ("SELECT * FROM sa", tuple(_RAW_COLUMNS)),
+    "stage_temperatures": ("SELECT * FROM st", ("City", "Country", "average_temperature")),
+    "stage_demographics": ("SELECT * FROM sd", ("City", "State", "Median Age", "Male Population", "Female Population",
+                                                "Total Population", "Number of Veterans", "Foreign-born",
+                                                "Average Household Size", "State Code", "Race", "Count")),
+    "stage_ports": ("SELECT * FROM sp", ("Code", "City", "State")),
+    "stage_countries": ("SELECT * FROM sc", ("Code", "Country")),
+    "final_fact": ("SELECT * FROM fact", tuple(_FACT_COLUMNS)),
+    "final_calendar": ("SELECT * FROM calendar", ("date", "day", "weekday", "id", "year", "month", "week")),
+    "final_visa": (f"SELECT DISTINCT visa AS visa_cat_id, visatype, {_LABELS.format('visa')} AS visa_cat FROM fact",
+                   ("visa_cat_id", "visatype", "visa_cat")),
+    "final_mode": (f"SELECT DISTINCT transport_mode_id AS id, {_MODES.format('transport_mode_id')} AS mode FROM fact",
+                   ("id", "mode")),
+    "final_temperature": ("SELECT st.City AS city, sc.Code AS country_id, st.Country AS country, "
+                          "average_temperature AS avg_temperature FROM st JOIN sc ON lower(st.Country) = lower(sc.Country)",
+                          ("city", "country_id", "country", "avg_temperature")),
+    "final_demographics": ("SELECT * FROM cities", (
+        "city", "state", "median_age", "male_population", "female_population", "total_population",
+        "number_of_veterans", "foreign_born", "average_household_size", "state_code",
+        *(f"{seg.lower()}_segment_members" for seg in _SEGMENTS))),
+    "final_port": ('SELECT "Code" AS port_id, "City" AS city, "State" AS state FROM sp', ("port_id", "city", "state")),
+}
+
+
+def _sql_column_sums(name: str, rows: str, columns: tuple[str, ...]) -> str:
+    parts = []
+    for c in columns:
+        # NaN has no whole number and counts as absent
+        text = f'CAST(try_cast(round(try_cast(t."{c}" AS DOUBLE) * 1000) AS BIGINT) AS VARCHAR)' if c in _AS_NUMBER else f't."{c}"::VARCHAR'
+        parts.append(f"SELECT '{name}' AS table_name, '{c}' AS column_name, count(*) AS row_count, count({text}) AS present, "
+                     f"CAST(sum(('0x' || md5({text})[1:8])::BIGINT) AS BIGINT) AS checksum, "
+                     f"{'count(*)' if name.startswith('stage') else 'NULL'} AS observed_rows FROM ({rows}) t")
+    return "\nUNION ALL ".join(parts)
+
+
 ORACLE_SQL["star_schema"] = f"""
-WITH fact AS ({ORACLE_SQL["arrivals_fact"]}),
-temps AS ({ORACLE_SQL["stage_temperatures"]}),
-countries AS ({ORACLE_SQL["stage_countries"]}),
-ports AS ({ORACLE_SQL["stage_ports"]}),
-cities AS ({_CITY_DEMOGRAPHICS}),
-dates AS (SELECT arrival_date AS d FROM fact UNION SELECT depart_date FROM fact),
-temperature AS (SELECT c.Code FROM temps t JOIN countries c ON lower(t.Country) = lower(c.Country))
-SELECT 'stage_arrivals' AS table_name, count(*) AS row_count, CAST(sum(id) AS BIGINT) AS checksum,
-       count(*) AS observed_rows FROM fact
-UNION ALL SELECT 'stage_temperatures', count(*), CAST(sum(length(City) + length(Country)) AS BIGINT), count(*)
-          FROM temps
-UNION ALL SELECT 'stage_demographics', count(*), (SELECT count(*) FROM customer JOIN nation ON c_nationkey = n_nationkey),
-          count(*)
-          FROM (SELECT DISTINCT c_nationkey, c_mktsegment FROM customer JOIN nation ON c_nationkey = n_nationkey)
-UNION ALL SELECT 'stage_ports', count(*), CAST(sum(length(Code)) AS BIGINT), count(*) FROM ports
-UNION ALL SELECT 'stage_countries', count(*), CAST(sum(length(Country)) AS BIGINT), count(*) FROM countries
-UNION ALL SELECT 'final_fact', count(*), CAST(sum(id) + sum(stay_days) AS BIGINT), NULL FROM fact
-UNION ALL SELECT 'final_calendar', count(*),
-          CAST(sum(coalesce(year(d) * 10000 + month(d) * 100 + dayofmonth(d), -1)) AS BIGINT), NULL FROM dates
-UNION ALL SELECT 'final_visa', count(*), CAST(sum(visa) AS BIGINT), NULL
-          FROM (SELECT DISTINCT visa, visatype FROM fact)
-UNION ALL SELECT 'final_mode', count(*), CAST(sum(transport_mode_id) AS BIGINT), NULL
-          FROM (SELECT DISTINCT transport_mode_id FROM fact)
-UNION ALL SELECT 'final_temperature', count(*), CAST(sum(CAST(Code AS INTEGER)) AS BIGINT), NULL FROM temperature
-UNION ALL SELECT 'final_demographics', count(*), CAST(sum(total_population) AS BIGINT), NULL FROM cities
-UNION ALL SELECT 'final_port', count(*), CAST(sum(length(Code)) AS BIGINT), NULL FROM ports"""
+WITH sa AS MATERIALIZED ({_STAGED_ARRIVALS}),
+fact AS MATERIALIZED ({ORACLE_SQL["arrivals_fact"]}),
+st AS MATERIALIZED ({ORACLE_SQL["stage_temperatures"]}),
+sc AS MATERIALIZED ({ORACLE_SQL["stage_countries"]}),
+sp AS MATERIALIZED ({ORACLE_SQL["stage_ports"]}),
+sd AS MATERIALIZED ({_STAGED_DEMOGRAPHICS}),
+cities AS MATERIALIZED ({_CITY_DEMOGRAPHICS}),
+dates AS (SELECT arrival_date AS date FROM fact UNION SELECT depart_date FROM fact),
+calendar AS (SELECT {_CALENDAR.split("SELECT", 4)[-1].split("FROM d")[0]} FROM dates)
+""" + "\nUNION ALL ".join(_sql_column_sums(n, rows, cols) for n, (rows, cols) in _WRITTEN.items())
 
 
 __all__ = ["QUERIES", "ORACLE_SQL", "Query"]

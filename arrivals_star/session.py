@@ -62,8 +62,28 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the checkpoint root, unique per call, for a table written and read back."""
-    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh folder under the checkpoint root, unique per call, for a table written and read back.
+
+    Frames that read the folder are lazy, so it stays while the session runs; the driver deletes
+    it when it ends (or earlier through ``drop_scratch``).
+    """
+    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+    folder, fs = _folder(spark, path)
+    fs.deleteOnExit(folder)
+    return path
+
+
+def drop_scratch(spark: SparkSession, *paths: str) -> None:
+    """Delete scratch folders that no frame reads any more."""
+    for path in paths:
+        folder, fs = _folder(spark, path)
+        fs.delete(folder, True)
+
+
+def _folder(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-__all__ = ["get_session", "checkpoint_root", "scratch_path"]
+__all__ = ["get_session", "checkpoint_root", "scratch_path", "drop_scratch"]

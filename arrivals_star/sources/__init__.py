@@ -21,17 +21,23 @@ def drop_index_column(df: DataFrame) -> DataFrame:
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
     """Scan a table in any installed format (S1, S6); e.g. ``fmt='parquet'`` for staged arrivals.
 
-    The reference reads SAS files through an external reader; pass its format name here when it
-    is on the classpath.
+    For SAS files pass the format name of an external reader that is on the classpath.
     """
     return spark.read.format(fmt).options(**options).load(path)
 
 
 def read_csv(spark: SparkSession, path: str, sep: str = ",", header: bool = True,
-             schema: T.StructType | str | None = None) -> DataFrame:
+             schema: T.StructType | str | None = None, escape: str = '"',
+             multi_line: bool = False) -> DataFrame:
     """Scan CSV with a header (S2-S4). Without ``schema`` every column is text, so no inference
-    pass runs over the data; only the empty field reads as null."""
-    reader = spark.read.option("sep", sep).option("header", header)
+    pass runs over the data; only the empty field reads as null.
+
+    A quote inside a quoted value is doubled, as most writers do (``escape="\\\\"``: after a
+    backslash). ``multi_line`` lets quoted values hold line breaks; a file is then read by one
+    task, so it is for small tables only.
+    """
+    reader = (spark.read.option("sep", sep).option("header", header).option("escape", escape)
+              .option("multiLine", multi_line))
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(path)
@@ -53,8 +59,9 @@ def apply_null_tokens(df: DataFrame, tokens: Iterable[str] = PANDAS_NA_TOKENS,
 def read_small_csv(spark: SparkSession, path: str, sep: str = ",",
                    tokens: Iterable[str] = PANDAS_NA_TOKENS) -> DataFrame:
     """Scan one of the small CSV inputs the way the staging job expects them (S3-S5, S7):
-    text columns, missing-value tokens as null, a leading index column dropped."""
-    return apply_null_tokens(drop_index_column(read_csv(spark, path, sep)), tokens)
+    text columns, doubled quotes and quoted line breaks, missing-value tokens as null, a leading
+    index column dropped."""
+    return apply_null_tokens(drop_index_column(read_csv(spark, path, sep, multi_line=True)), tokens)
 
 
 __all__ = ["INDEX_COLUMN", "read_table", "read_csv", "apply_null_tokens", "read_small_csv", "drop_index_column"]

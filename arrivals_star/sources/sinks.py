@@ -8,33 +8,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-                  files_per_folder: int = 1) -> None:
+def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), tasks: int | None = None) -> None:
     """Write Parquet, replacing what is there.
 
-    With ``partition_by`` (S9) rows are first hash-partitioned by those columns into
-    ``spark.sql.shuffle.partitions`` tasks, so the folders are written by many tasks at once and
-    each gets at most ``files_per_folder`` files instead of one per task. The count is given explicitly:
-    left to AQE, a small table is coalesced into one task that writes every folder in turn.
-
-    With one file per folder, a folder holding a third of the rows is written by one task; for
-    large skewed tables give ``files_per_folder > 1``: a hash of the whole row, modulo that
-    number, joins the partitioning key, so a hot folder is spread over up to that many tasks.
+    With ``partition_by`` (S9) rows are first brought together by those columns, so a folder gets
+    one file and not one per task. By default Spark rebalances: AQE merges small shuffle
+    partitions and splits those a hot folder makes large, from measured sizes, however many
+    shuffle partitions the session has. For a table of a known small bound whose folders hold a
+    few rows each, ``tasks`` gives the number of writing tasks instead, as rebalancing by size
+    would leave all its files to one task.
     """
     if not partition_by:
         df.write.mode("overwrite").parquet(path)
         return
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c) for c in partition_by]
-    if files_per_folder > 1:
-        keys.append(F.pmod(F.hash(*[F.col(c) for c in df.columns]), F.lit(files_per_folder)))
-    df.repartition(n, *keys).write.partitionBy(*partition_by).mode("overwrite").parquet(path)
+    dealt = df.repartition(tasks, *keys) if tasks else df.hint("rebalance", *keys)
+    dealt.write.partitionBy(*partition_by).mode("overwrite").parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
     """Write CSV with a header, replacing what is there (S10); no index column, written by the
-    executors in parallel rather than through a driver-side frame."""
-    df.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
+    executors in parallel rather than through a driver-side frame.
+
+    Values are kept as they are, outer blanks included; quotes are doubled. A value with a line
+    break is quoted, so a table that may hold one is read back with ``read_csv(multi_line=True)``.
+    """
+    (df.write.mode("overwrite").option("header", True).option("sep", sep).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 __all__ = ["write_parquet", "write_csv"]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arrivals_star.functions import (PANDAS_NA_TOKENS, code_label, is_missing, lenient_cast,
-                                     null_tokens, sas_days_to_date, strftime_to_spark, text_to_date)
+                                     null_tokens, sas_days_to_date, strptime_pattern, text_to_date)
 
 
 def one_col(spark, values, type_name):
@@ -63,13 +63,42 @@ def test_sas_days_edges(spark):
     assert df.select(sas_days_to_date(F.col("x"), zero_is_null=False)).collect()[1][0] == dt.date(1960, 1, 1)
 
 
-def test_strftime_to_spark():
-    assert strftime_to_spark("%m%d%Y") == "MMddyyyy"
-    assert strftime_to_spark("%Y-%m-%d") == "yyyy-MM-dd"
-    assert strftime_to_spark("%Y-%m-%dT%H:%M:%S") == "yyyy-MM-dd'T'HH:mm:ss"
-    assert strftime_to_spark("%d/%m/%y") == "dd/MM/yy"
+def test_sas_days_outside_the_calendar_are_null(spark):
+    df = one_col(spark, [-2147483648.0, 2147483647.0, -715510.0, 2936549.0, 2936550.0], "double")
+    got = [r[0] for r in df.select(sas_days_to_date(F.col("x")).cast("string")).collect()]
+    assert got[0] is got[1] is got[4] is None and got[3] == "9999-12-31"
+
+
+@pytest.mark.parametrize("fmt", ["%Q", "%U %Y", "%z", "%Y %Y", "%"])
+def test_unsupported_directives_raise_early(fmt):
     with pytest.raises(ValueError):
-        strftime_to_spark("%Q")
+        strptime_pattern(fmt)
+
+
+def python_date(text, fmt):
+    try:
+        return dt.datetime.strptime(text, fmt).date() if text else None
+    except ValueError:
+        return None
+
+
+@pytest.mark.parametrize("fmt,texts", [
+    ("%d%m%y", ["050199", "050168", "050169", "311200", "300200", "05019"]),
+    ("%m/%d/%Y", ["1/5/2016", "01/05/2016", "13/1/2016", "2/30/2016", "1/5/16", " 1/5/2016", "1/5/2016 "]),
+    ("%m%d%Y", ["1152016", "01152016", "D/S", "", "152016", "1312016"]),
+    ("%a %d %b %Y", ["Tue 05 Jan 2016", "tue 5 JAN 2016", "Mon 5 Jan 2016", "Xyz 5 Jan 2016", "Tue  5 Jan  2016"]),
+    ("%A, %B %d, %y", ["Tuesday, January 5, 16", "Monday, february 29, 00"]),
+    ("%Y-%m-%dT%H:%M:%S.%f", ["2016-01-05T23:59:59.123", "2016-01-05T24:00:00.0", "2016-1-5T1:2:3.4"]),
+    ("%I %p %d %m %Y", ["12 AM 1 2 2016", "13 AM 1 2 2016"]),
+    ("%Y %j", ["2016 366", "2015 366", "2016 1", "2016 060"]),
+    ("%d.%m", ["29.02", "28.02"]),
+    ("%Y", ["2016", "216", "20160"]),
+    ("100%% %d %m %Y", ["100% 5 1 2016", "100%% 5 1 2016"]),
+])
+def test_text_to_date_reads_as_strptime(spark, fmt, texts):
+    df = one_col(spark, texts + [None], "string")
+    got = [r[0] for r in df.select(text_to_date(F.col("x"), fmt)).collect()]
+    assert got == [python_date(t, fmt) for t in texts] + [None]
 
 
 def test_text_to_date(spark):

@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 from arrivals_star.functions import lenient_cast, sas_days_to_date
 from arrivals_star.operators.clean import dedupe_by_key
 from arrivals_star.operators.dims import pivot_sum
-from arrivals_star.operators.joins import has_at_most
 from arrivals_star.operators.profile import missing_profile
 
 SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -101,14 +100,3 @@ def test_pivot_equals_grouped_sums(spark, data):
         for v in values:
             cells = [o for kk, o, vv in data if kk == k and vv == v and o is not None]
             assert out[k]["null" if v is None else v] == (sum(cells) if cells else None)
-
-
-@SETTINGS
-@given(st.lists(st.tuples(st.integers(-5, 5), st.one_of(st.none(), st.text(max_size=6))), max_size=12),
-       st.integers(0, 12), st.integers(0, 400))
-def test_size_check_equals_rows_and_bytes(spark, rows, max_rows, max_bytes):
-    df = spark.createDataFrame(rows, "a long, s string")
-    # A row: 8 bytes of null bits and 8 per field, then the text's UTF-8 bytes.
-    size = sum(8 + 16 + len((s or "").encode()) for _, s in rows)
-    assert has_at_most(df, max_rows) == (len(rows) <= max_rows)
-    assert has_at_most(df, max_rows, max_bytes) == (len(rows) <= max_rows and size <= max_bytes)

@@ -1,4 +1,4 @@
-"""The map-only builders run unchanged on a streaming frame (the claim in ``streaming/``)."""
+"""The map-only builders run unchanged on a streaming frame."""
 
 from conftest import SF001
 
