@@ -25,6 +25,7 @@ from arrivals_star.llm.units import UnitStore, slices
 U64 = np.uint64
 SPACE_PIECE = "▁"
 NO_EDGE = 1 << 30
+INDEXED = 1 << 18  # bytes of new units that one suffix array holds; more are encoded in parts
 LONG_UNIT = 256  # longer units are merged by a heap instead of in step with the others
 IDS = "doc_id long, ids array<int>"
 TEXT = "doc_id long, ids array<int>, text string"
@@ -243,7 +244,14 @@ class PieceModel:
         def spell(at: np.ndarray):
             units = [whole[i:j].replace(b" ", mark.tobytes()) + b"\0" for i, j in zip(starts[at].tolist(), ends[at].tolist())]
             bounds = np.concatenate([[0], np.cumsum([len(u) for u in units])])
-            return self.encode_units(np.frombuffer(b"".join(units), np.uint8), bounds)
+            flat, counts, k = [np.zeros(0, np.uint16)], [np.zeros(0, np.int64)], 0
+            while k < len(units):
+                e = max(k + 1, int(np.searchsorted(bounds, bounds[k] + INDEXED, "right")) - 1)
+                got = self.encode_units(np.frombuffer(b"".join(units[k:e]), np.uint8), bounds[k:e + 1] - bounds[k])
+                flat.append(got[0])
+                counts.append(got[1])
+                k = e
+            return np.concatenate(flat), np.concatenate(counts)
 
         ids, lengths = self.store.ids(buf, starts, ends, spell)
         totals = np.concatenate([[0], np.cumsum(lengths)])
@@ -262,11 +270,21 @@ class PieceModel:
         return raw[keep], kept[ends]
 
 
-def encode_batches(path: str):
+class _Model:
+    """The model of a file, loaded at its first use in a task."""
+
+    def __init__(self, path: str):
+        self.path, self.model = path, None
+
+    def __call__(self) -> PieceModel:
+        self.model = self.model or PieceModel(self.path)
+        return self.model
+
+
+def encode_batches(load: _Model):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = None
         for batch in batches:
-            model = model or PieceModel(path)
+            model = load()
             buf, offsets = spans.run_buffer(batch["text"])
             held: list[np.ndarray] = []
 
@@ -287,11 +305,10 @@ def encode_batches(path: str):
     return work
 
 
-def decode_batches(path: str):
+def decode_batches(load: _Model):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = None
         for batch in batches:
-            model = model or PieceModel(path)
+            model = load()
             col = batch["ids"].fill_null([]) if batch["ids"].null_count else batch["ids"]
             bounds = col.offsets.to_numpy().astype(np.int64)
             raw, ends = model.decode(col.values.to_numpy()[bounds[0]:bounds[-1]].astype(np.int64), bounds - bounds[0])
@@ -304,15 +321,19 @@ def decode_batches(path: str):
     return work
 
 
+def _documents(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
+    return df.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
+
+
 def encode_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
     """doc_id and the ids of every text, equal to the sentencepiece library's on the same model.
 
     Null and empty texts have no ids. Null ids of documents stay null; repeated rows each give a
     row; other columns are ignored; an empty table gives an empty result.
     """
-    text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
-    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-    return docs.mapInArrow(encode_batches(path or model_path()), IDS)
+    docs = _documents(df, id_col, text_col)
+    return docs.mapInArrow(encode_batches(_Model(path or model_path())), IDS)
 
 
 def decode_documents(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", path: str | None = None) -> DataFrame:
@@ -321,15 +342,24 @@ def decode_documents(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids"
     Exact for the ids of any text, but that the model's own mark comes back as a blank.
     """
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(ids_col), F.array().cast("array<int>")).alias("ids"))
-    return rows.mapInArrow(decode_batches(path or model_path()), TEXT)
+    return rows.mapInArrow(decode_batches(_Model(path or model_path())), TEXT)
+
+
+def round_trip(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
+    """doc_id, ids and decoded text of every document: both steps in one task, with one model."""
+    load = _Model(path or model_path())
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return decode_batches(load)(encode_batches(load)(batches))
+
+    return _documents(df, id_col, text_col).mapInArrow(work, TEXT)
 
 
 def op4_sentencepiece(spark, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_hash (xxhash64 of the id array), decoded_sha256 of every document."""
-    encoded = encode_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return decode_documents(encoded).select(
+    return round_trip(spark.read.parquet(f"{sf_dir}/documents.parquet")).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.xxhash64("ids").alias("ids_hash"),
         F.sha2("text", 256).alias("decoded_sha256"))
 
 
-__all__ = ["PieceModel", "encode_documents", "decode_documents", "op4_sentencepiece"]
+__all__ = ["PieceModel", "encode_documents", "decode_documents", "round_trip", "op4_sentencepiece"]
