@@ -5,8 +5,9 @@ the smallest hash of its bucket in 16 bits: its leading-zero count and its next
 
 1. Texts with the same set of shingles are one class; everything below is about one document of
    each class (its smallest id).
-2. Bands of four compressed registers are hashed to band groups. A pair with Jaccard 0.85 shares
-   no band with a probability of about 5e-11 (0.478 ** 32).
+2. Bands of six compressed registers are hashed to band groups; an empty register borrows the next
+   one that is not, so that small sets are told apart as well as large ones. A pair with Jaccard
+   0.85 shares no band with a probability of about 2e-9 (0.623 ** 42).
 3. In every band group each document is paired with the smallest one. Pairs whose
    collision-corrected Jaccard estimate lies six standard errors under the threshold go; the
    others are confirmed on their full sets of shingles. Links give components.
@@ -24,25 +25,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from arrivals_star.llm import spans
 from arrivals_star.llm.components import components
 from arrivals_star.llm.runs import arrow_rows
-from arrivals_star.session import scratch_path
+from arrivals_star.session import drop_scratch, scratch_path
 
 U64 = np.uint64
-BUCKET_BITS, MANTISSA = 7, 10
+BUCKET_BITS, MANTISSA = 8, 10
 BUCKETS = 1 << BUCKET_BITS
-BAND_ROWS = 4  # four 16-bit registers are one 64-bit band key, without loss
-BANDS = BUCKETS // BAND_ROWS
+BAND_ROWS, BANDS = 6, 42  # band k holds the registers k, k + 42, ..., k + 210
 TILE = 256
 SLICE = 1 << 21
 FOLD = np.arange(256)
 FOLD[65:91] += 32
 SKETCH = "doc_id long, n_shingles long, set_hash binary, registers binary"
 SETS = "doc_id long, shingles binary"
-BAND = "band int, key long, doc_id long"
+BAND = "key long, doc_id long"
 
 
 def document_sets(col: pa.Array, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -155,15 +155,22 @@ def full_sets(width: int):
 
 
 def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per document and band that holds a register."""
+    """One row per document and band: a hash of the band's number and registers."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        regs = np.frombuffer(b"".join(batch["registers"].to_pylist()), np.int64).reshape(-1, BANDS)
-        doc, band = np.nonzero(regs)
-        ids = batch["doc_id"].to_numpy(zero_copy_only=False)
-        yield pa.RecordBatch.from_arrays([pa.array(band.astype(np.int32)), pa.array(regs[doc, band]), pa.array(ids[doc])],
-                                         names=["band", "key", "doc_id"])
+        regs = _registers(batch["registers"])
+        # place of the next register that is not empty, going round at the end
+        twice = np.concatenate([regs, regs], axis=1) > 0
+        place = np.where(twice, np.arange(2 * BUCKETS), 2 * BUCKETS)
+        place = np.minimum.accumulate(place[:, ::-1], axis=1)[:, ::-1][:, :BUCKETS] % BUCKETS
+        dense = np.take_along_axis(regs, place, axis=1).astype(U64)
+        key = np.broadcast_to(np.arange(BANDS, dtype=U64), (len(regs), BANDS)).copy()
+        with np.errstate(over="ignore"):
+            for k in range(BAND_ROWS):
+                key = spans.mix(key * U64(0x9E3779B97F4A7C15) + dense[:, k * BANDS:(k + 1) * BANDS])
+        ids = np.repeat(batch["doc_id"].to_numpy(zero_copy_only=False), BANDS)
+        yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)), pa.array(ids)], names=["key", "doc_id"])
 
 
 def _registers(col: pa.Array) -> np.ndarray:
@@ -223,11 +230,34 @@ def tile_links(per_cent: int):
     return work
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back, so that nothing above it runs again."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: Spark deletes a finished query's shuffle files while this is set.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+class Tables:
+    """Tables written to the shared folder and read back, so that nothing above them runs again.
+
+    A written table does not need the shuffle files of its plan any more: they go at once, so the
+    disk in use is that of one step and not the sum of all. ``drop`` deletes the tables.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def store(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        before = self.spark.conf.get(CLEAN_UP, None)
+        self.spark.conf.set(CLEAN_UP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.unset(CLEAN_UP) if before is None else self.spark.conf.set(CLEAN_UP, before)
+        self.paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, keep: int) -> None:
+        """Delete all tables but the last ``keep``."""
+        drop_scratch(self.spark, *self.paths[:-keep])
 
 
 def near_dup_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3,
@@ -243,21 +273,22 @@ def near_dup_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     picked = df.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"))
-    sketches = _stored(picked.mapInArrow(sketch(width), SKETCH), "sketches")
+    tables = Tables(df.sparkSession)
+    sketches = tables.store(picked.mapInArrow(sketch(width), SKETCH), "sketches")
     used = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = used.groupBy("set_hash", "n_shingles").agg(F.min("doc_id").alias("first"))
     # one sketch per class: equal sets have equal registers
-    firsts = _stored(used.groupBy("set_hash", "n_shingles")
+    firsts = tables.store(used.groupBy("set_hash", "n_shingles")
                      .agg(F.min("doc_id").alias("doc_id"), F.first("registers").alias("registers"))
                      .select("doc_id", "n_shingles", "registers"), "classes")
 
     rows = firsts.mapInArrow(bands, BAND)
-    shared = rows.groupBy("band", "key").agg(F.min("doc_id").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = _stored(rows.join(shared.select("band", "key", "hub"), ["band", "key"]), "bands")
+    shared = rows.groupBy("key").agg(F.min("doc_id").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = tables.store(rows.join(shared.select("key", "hub"), "key"), "bands")
     pairs = met.where("doc_id <> hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
     side = lambda c: firsts.select(F.col("doc_id").alias(c), F.col("registers").alias(f"r{c}"),
                                    F.col("n_shingles").alias(f"n{c}"))
-    pairs = _stored(pairs.join(side("a"), "a").join(side("b"), "b")
+    pairs = tables.store(pairs.join(side("a"), "a").join(side("b"), "b")
                     .mapInArrow(plausible(per_cent / 100), "a long, b long"), "pairs")
 
     def sets_of(ids: DataFrame) -> DataFrame:
@@ -266,37 +297,39 @@ def near_dup_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "
         return texts.groupBy("doc_id").agg(F.max("shingles").alias("shingles"))
 
     ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = _stored(sets_of(ends), "sets")
-    links = _stored(pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a")
+    sets = tables.store(sets_of(ends), "sets")
+    links = tables.store(pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a")
                     .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")), "b")
                     .mapInArrow(confirm(per_cent), "a long, b long"), "links")
     component = components(links)
 
-    more = _hidden_links(met, component, firsts, sets_of, per_cent)
+    more = _hidden_links(tables, met, component, firsts, sets_of, per_cent)
     if more is not None:
         component = components(links.unionByName(more))
 
     label = component.withColumnRenamed("node", "first")
     result = (sketches.join(classes, ["set_hash", "n_shingles"], "left").join(label, "first", "left")
               .select("doc_id", "n_shingles", F.coalesce("component", "first", "doc_id").alias("component_id")))
-    return result.select("doc_id", "n_shingles", "component_id",
-                         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    result = tables.store(result.select("doc_id", "n_shingles", "component_id",
+                                        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")), "near-copies")
+    tables.drop(keep=1)
+    return result
 
 
-def _hidden_links(met: DataFrame, component: DataFrame, firsts: DataFrame, sets_of, per_cent: int) -> DataFrame | None:
+def _hidden_links(tables: Tables, met: DataFrame, component: DataFrame, firsts: DataFrame, sets_of, per_cent: int) -> DataFrame | None:
     """Links between components that meet in a band group; None where no two do."""
     label = component.select(F.col("node").alias("doc_id"), "component")
-    own = _stored(met.join(label, "doc_id", "left")
-                  .select("band", "key", "doc_id", F.coalesce("component", "doc_id").alias("component")), "labels")
-    open_groups = (own.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-                   .where("low < high").select("band", "key", "low"))
-    meets = (own.join(open_groups, ["band", "key"]).where("component > low")
+    own = tables.store(met.join(label, "doc_id", "left")
+                  .select("key", "doc_id", F.coalesce("component", "doc_id").alias("component")), "labels")
+    open_groups = (own.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+                   .where("low < high").select("key", "low"))
+    meets = (own.join(open_groups, "key").where("component > low")
              .select(F.col("component").alias("a"), F.col("low").alias("b")).distinct())
-    clusters = _stored(components(meets).select(F.col("node").alias("component"), F.col("component").alias("cluster")),
+    clusters = tables.store(components(meets).select(F.col("node").alias("component"), F.col("component").alias("cluster")),
                        "clusters")
     if clusters.isEmpty():
         return None
-    docs = _stored(firsts.join(label, "doc_id", "left")
+    docs = tables.store(firsts.join(label, "doc_id", "left")
                    .select("doc_id", "n_shingles", "registers", F.coalesce("component", "doc_id").alias("component"))
                    .join(clusters, "component"), "open")
     sizes = docs.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("n"))
@@ -309,7 +342,7 @@ def _hidden_links(met: DataFrame, component: DataFrame, firsts: DataFrame, sets_
     askers = docs.where("component <> largest").select(
         "cluster", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"),
         F.lit(True).alias("asks"), "doc_id", "component", "n_shingles", "registers", "shingles")
-    return _stored(members.unionByName(askers).groupBy("cluster", "tile")
+    return tables.store(members.unionByName(askers).groupBy("cluster", "tile")
                    .applyInArrow(tile_links(per_cent), "a long, b long"), "hidden")
 
 
