@@ -233,4 +233,18 @@ def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:
     return substring_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
-__all__ = ["substring_dedup", "op3_substring_dedup"]
+OP3_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i + 1:i + 20], ' ') AS k
+        FROM (SELECT doc_id, w, unnest(range(len(w) - 19)) AS i FROM d WHERE len(w) >= 20)),
+ordered AS (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS nth FROM win),
+gone AS (SELECT DISTINCT doc_id, i + j AS p FROM (SELECT doc_id, i, unnest(range(20)) AS j FROM ordered WHERE nth > 1)),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS p FROM d),
+k AS (SELECT doc_id, count(gone.p) AS n, string_agg(word, ' ' ORDER BY p) FILTER (gone.p IS NULL) AS kept
+      FROM words LEFT JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
+__all__ = ["substring_dedup", "op3_substring_dedup", "OP3_SQL"]
