@@ -31,7 +31,6 @@ DIM = 1 << DIM_BITS
 PRIOR_VOTES, PRIOR_SHARE = ((0.3, 0.4, 0.3), (0.01, 0.4, 0.59)), 0.05
 SAMPLE = 6000  # documents the scorer is fitted to, at most about; chosen by a hash of id and text
 STATS = ("upper", "signs", "bare_words", "word_length", "top_word", "repeats", "exclaims", "few_kinds", "stop_words")
-VOTES = "doc_id long, pattern int, grams binary, weights binary"
 #: Common words of the four languages of the corpus, lower case.
 STOP_WORDS = ("the of and to in is it that for was on are with as be this have from or by an at not "
               "der die und das den von zu mit sich des auf für ist im dem nicht ein eine "

@@ -20,10 +20,10 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from arrivals_star.llm import spans
-from arrivals_star.llm.runs import MAX_ID, documents_in_runs, shuffle_partitions
+from arrivals_star.llm.runs import MAX_ID, arrow_rows, documents_in_runs, shuffle_partitions
 
 U64 = np.uint64
 ROWS = 2
@@ -109,13 +109,6 @@ def _replies(table: pa.Table) -> dict:
     return {(k, p, b): (n, m) for k, p, b, n, m in zip(*cols)}
 
 
-def _table(rows: list[tuple], ddl: str) -> pa.Table:
-    names = [x.split()[0] for x in ddl.split(", ")]
-    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "string": pa.string()}
-    cols = list(zip(*rows)) if rows else [[] for _ in names]
-    return pa.table([pa.array(c, kinds[x.split()[1]]) for c, x in zip(cols, ddl.split(", "))], names=names)
-
-
 def sketch_run(width: int, n_buckets: int):
     def work(key: tuple, table: pa.Table) -> pa.Table:
         run, rows = key[0].as_py(), []
@@ -127,7 +120,7 @@ def sketch_run(width: int, n_buckets: int):
                 i, j = bound[b], bound[b + 1]
                 if j > i:
                     rows.append((0, row, b, run, j - i, spans.pack_sorted(low[i:j]), spans.pack_bits(many[i:j])))
-        return _table(rows, SKETCH)
+        return arrow_rows(rows, SKETCH)
     return work
 
 
@@ -143,7 +136,7 @@ def merge_sketches(key: tuple, table: pa.Table) -> pa.Table:
     found = np.searchsorted(hot, cells)
     mask = (found < len(hot)) & (hot[np.minimum(found, len(hot) - 1)] == cells) if len(hot) else np.zeros(len(cells), bool)
     bounds = np.concatenate([[0], np.cumsum(ns)])
-    return _table([(r, kind, part, bucket, n, spans.pack_bits(mask[i:i + n])) for r, n, i in zip(runs, ns, bounds)], REPLY)
+    return arrow_rows([(r, kind, part, bucket, n, spans.pack_bits(mask[i:i + n])) for r, n, i in zip(runs, ns, bounds)], REPLY)
 
 
 def exchange_keys(width: int, n_buckets: int):
@@ -156,7 +149,7 @@ def exchange_keys(width: int, n_buckets: int):
             i, j = bound[b], bound[b + 1]
             if j > i:
                 rows.append((b, run, j - i, spans.pack_sorted(h1[i:j]), spans.pack(h2[i:j]), spans.pack(doc_id[i:j])))
-        return _table(rows, KEYS)
+        return arrow_rows(rows, KEYS)
     return work
 
 
@@ -173,7 +166,7 @@ def group_keys(key: tuple, table: pa.Table) -> pa.Table:
     earlier = np.empty(len(order), bool)
     earlier[order] = least[np.cumsum(new) - 1] < doc[order]
     bounds = np.concatenate([[0], np.cumsum(ns)])
-    return _table([(r, 1, 0, bucket, n, spans.pack_bits(earlier[i:i + n])) for r, n, i in zip(runs, ns, bounds)], REPLY)
+    return arrow_rows([(r, 1, 0, bucket, n, spans.pack_bits(earlier[i:i + n])) for r, n, i in zip(runs, ns, bounds)], REPLY)
 
 
 def remove_words(width: int, n_buckets: int):
@@ -203,7 +196,7 @@ def remove_words(width: int, n_buckets: int):
             text = buf[spans.ragged(x.starts[keep], x.ends[keep] - x.starts[keep] + 1).clip(max=len(buf) - 1)]
             text[np.cumsum(x.ends[keep] - x.starts[keep] + 1) - 1] = 32
             rows.append((doc, int(j - i), int(total[j] - total[i]), hashlib.sha256(text[:-1].tobytes()).hexdigest()))
-        return _table(rows, OUT)
+        return arrow_rows(rows, OUT)
     return work
 
 
@@ -226,7 +219,7 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     groups = keys.groupBy("bucket").applyInArrow(group_keys, REPLY)
     return (docs.groupBy("run").cogroup(counts.unionByName(groups).groupBy("run"))
             .applyInArrow(remove_words(width, n_buckets), OUT)
-            .select("doc_id", "n_words", F.col("n_removed"), "kept_sha256"))
+            .select("doc_id", "n_words", "n_removed", "kept_sha256"))
 
 
 def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:
