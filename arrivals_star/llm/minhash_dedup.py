@@ -36,6 +36,7 @@ U64 = np.uint64
 BUCKET_BITS, MANTISSA = 8, 10
 BUCKETS = 1 << BUCKET_BITS
 BAND_ROWS, BANDS = 6, 42  # band k holds the registers k, k + 42, ..., k + 210
+COMPARED = 128  # registers that an estimate compares
 TILE = 256
 SLICE = 1 << 21
 FOLD = np.arange(256)
@@ -108,11 +109,11 @@ def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> tupl
     """Jaccard estimate of register rows, corrected for chance collisions, and its standard error at 0.85.
 
     Registers of different sets of n and m elements agree by chance about
-    0.1699 * 2**(p - r) * 4nm / (n + m)**2 times (Yu and Weber, HyperMinHash).
+    0.1699 * registers / 2**r * 4nm / (n + m)**2 times (Yu and Weber, HyperMinHash).
     """
     union = ((a > 0) | (b > 0)).sum(axis=-1)
     same = ((a == b) & (a > 0)).sum(axis=-1)
-    chance = 0.169919487159739 * 2.0 ** (BUCKET_BITS - MANTISSA) * 4.0 * n * m / (n + m) ** 2
+    chance = 0.169919487159739 * 2.0 ** -MANTISSA * a.shape[-1] * 4.0 * n * m / (n + m) ** 2
     used = np.maximum(union, 1)
     return np.maximum(same - chance, 0) / used, np.sqrt(0.85 * 0.15 / used)
 
@@ -174,7 +175,7 @@ def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _registers(col: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(col.to_pylist()), np.uint16).reshape(-1, BUCKETS)
+    return np.frombuffer(b"".join(col.to_pylist()), np.uint16).reshape(len(col), -1)
 
 
 def plausible(low: float):
@@ -286,14 +287,19 @@ def near_dup_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     shared = rows.groupBy("key").agg(F.min("doc_id").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
     met = tables.store(rows.join(shared.select("key", "hub"), "key"), "bands")
     pairs = met.where("doc_id <> hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
-    side = lambda c: firsts.select(F.col("doc_id").alias(c), F.col("registers").alias(f"r{c}"),
-                                   F.col("n_shingles").alias(f"n{c}"))
-    pairs = tables.store(pairs.join(side("a"), "a").join(side("b"), "b")
-                    .mapInArrow(plausible(per_cent / 100), "a long, b long"), "pairs")
+    side = lambda c: firsts.select(F.col("doc_id").alias(c), F.col("n_shingles").alias(f"n{c}"))
+    # sets of too different sizes cannot be similar; that is known before any sketch is fetched
+    pairs = pairs.join(side("a"), "a").join(side("b"), "b").where(
+        F.least("na", "nb") * 100 >= F.greatest("na", "nb") * per_cent)
+    part = lambda c: firsts.select(
+        F.col("doc_id").alias(c), F.substring("registers", 1, 2 * COMPARED).alias(f"r{c}"))
+    pairs = tables.store(pairs.join(part("a"), "a").join(part("b"), "b")
+                         .mapInArrow(plausible(per_cent / 100), "a long, b long"), "pairs")
 
     def sets_of(ids: DataFrame) -> DataFrame:
         """(doc_id, shingles) of the wanted documents; a repeated id counts once."""
-        texts = picked.join(ids, "doc_id", "left_semi").mapInArrow(full_sets(width), SETS)
+        # the ids grow with the corpus, so both sides are shuffled whatever the size of this one
+        texts = picked.join(ids.hint("merge"), "doc_id", "left_semi").mapInArrow(full_sets(width), SETS)
         return texts.groupBy("doc_id").agg(F.max("shingles").alias("shingles"))
 
     ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
@@ -330,7 +336,8 @@ def _hidden_links(tables: Tables, met: DataFrame, component: DataFrame, firsts:
     if clusters.isEmpty():
         return None
     docs = tables.store(firsts.join(label, "doc_id", "left")
-                   .select("doc_id", "n_shingles", "registers", F.coalesce("component", "doc_id").alias("component"))
+                   .select("doc_id", "n_shingles", F.substring("registers", 1, 2 * COMPARED).alias("registers"),
+                           F.coalesce("component", "doc_id").alias("component"))
                    .join(clusters, "component"), "open")
     sizes = docs.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("n"))
     largest = sizes.groupBy("cluster").agg(F.max_by("component", F.struct("n", "component")).alias("largest"),
@@ -350,4 +357,19 @@ def op5_minhash_dedup(spark, sf_dir: str) -> DataFrame:
     return near_dup_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
-__all__ = ["near_dup_components", "op5_minhash_dedup"]
+OP5_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i + 1:i + 3], ' ') AS k
+      FROM (SELECT doc_id, w, unnest(range(greatest(len(w) - 2, 1))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS root FROM d UNION SELECT e.b, r.root FROM r JOIN e ON r.doc_id = e.a)
+SELECT doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(root) AS component_id, doc_id = min(root) AS kept
+FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id
+"""
+
+__all__ = ["near_dup_components", "op5_minhash_dedup", "OP5_SQL"]

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import corpus_pipeline
 from arrivals_star.llm.exact_dedup import OP9_SQL, op9_exact_dedup
-from arrivals_star.llm.minhash_dedup import op5_minhash_dedup
+from arrivals_star.llm.minhash_dedup import OP5_SQL, op5_minhash_dedup
 from arrivals_star.llm.packing import op6_packing
 from arrivals_star.llm.quality import op1_quality
 from arrivals_star.llm.secrets import op8_secret_scan, oracle_sql as op8_sql
 from arrivals_star.llm.sentence_pieces import op4_sentencepiece
-from arrivals_star.llm.substring_dedup import op3_substring_dedup
+from arrivals_star.llm.substring_dedup import OP3_SQL, op3_substring_dedup
 from arrivals_star.llm.suffix_dedup import op2_suffix_dedup
 from arrivals_star.llm.url_filter import op10_url_filter
 from arrivals_star.llm.vector_topk import OP7_SQL, op7_exact_topk
@@ -29,6 +29,8 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_substring_dedup": OP3_SQL,
+    "op5_minhash_dedup": OP5_SQL,
     "op7_exact_topk": OP7_SQL,
     "op8_secret_scan": op8_sql(),
     "op9_exact_dedup": OP9_SQL,
