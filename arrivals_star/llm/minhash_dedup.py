@@ -5,9 +5,10 @@ the smallest hash of its bucket in 16 bits: its leading-zero count and its next
 
 1. Texts with the same set of shingles are one class; everything below is about one document of
    each class (its smallest id).
-2. Bands of six compressed registers are hashed to band groups; an empty register borrows the next
-   one that is not, so that small sets are told apart as well as large ones. A pair with Jaccard
-   0.85 shares no band with a probability of about 2e-9 (0.623 ** 42).
+2. Bands of six compressed registers are hashed to band groups. An empty register borrows that
+   which comes first, of those that are not empty, in an order of its own: each register then is an
+   equal draw from the set, and two registers of a small set are as little tied as those of a large
+   one. A pair with Jaccard 0.85 shares no band with a probability of about 2e-9 (0.623 ** 42).
 3. In every band group each document is paired with the smallest one. Pairs whose
    collision-corrected Jaccard estimate lies six standard errors under the threshold go; the
    others are confirmed on their full sets of shingles. Links give components.
@@ -37,6 +38,7 @@ BUCKET_BITS, MANTISSA = 8, 10
 BUCKETS = 1 << BUCKET_BITS
 BAND_ROWS, BANDS = 6, 42  # band k holds the registers k, k + 42, ..., k + 210
 COMPARED = 128  # registers that an estimate compares
+PAIRS = 1 << 15  # (document, filled register) pairs that are looked up at once
 TILE = 256
 SLICE = 1 << 21
 FOLD = np.arange(256)
@@ -155,18 +157,42 @@ def full_sets(width: int):
     return work
 
 
+def _orders() -> np.ndarray:
+    """Per filled register and borrower: its rank in the borrower's order, and its number in the low byte.
+
+    Each register's order is a fixed shuffle of its own that begins with the register itself.
+    """
+    n = np.arange(BUCKETS)
+    key = spans.mix(spans.mix(np.arange(BUCKETS * BUCKETS, dtype=U64) + U64(0x5851F42D4C957F2D))).reshape(BUCKETS, BUCKETS)
+    key[n, n] = 0
+    rank = key.argsort(axis=1).argsort(axis=1)
+    return (rank.T << BUCKET_BITS | n[:, None]).astype(np.uint16)
+
+
+def lent(regs: np.ndarray) -> np.ndarray:
+    """Registers with the empty ones filled, each with the number of the register it comes from.
+
+    Every row has a register that is not empty.
+    """
+    orders = _orders()
+    out = np.zeros(regs.shape, np.uint32)
+    step = max(PAIRS // BUCKETS, 1)
+    for d in range(0, len(regs), step):
+        part = regs[d:d + step]
+        doc, filled = np.nonzero(part)
+        first = np.searchsorted(doc, np.arange(len(part)))
+        place = np.minimum.reduceat(orders[filled], first, axis=0) & np.uint16(BUCKETS - 1)
+        out[d:d + step] = place.astype(np.uint32) << np.uint32(16) | np.take_along_axis(part, place.astype(np.int64), axis=1)
+    return out
+
+
 def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per document and band: a hash of the band's number and registers."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        regs = _registers(batch["registers"])
-        # place of the next register that is not empty, going round at the end
-        twice = np.concatenate([regs, regs], axis=1) > 0
-        place = np.where(twice, np.arange(2 * BUCKETS), 2 * BUCKETS)
-        place = np.minimum.accumulate(place[:, ::-1], axis=1)[:, ::-1][:, :BUCKETS] % BUCKETS
-        dense = np.take_along_axis(regs, place, axis=1).astype(U64)
-        key = np.broadcast_to(np.arange(BANDS, dtype=U64), (len(regs), BANDS)).copy()
+        dense = lent(_registers(batch["registers"])).astype(U64)
+        key = np.broadcast_to(np.arange(BANDS, dtype=U64), (len(dense), BANDS)).copy()
         with np.errstate(over="ignore"):
             for k in range(BAND_ROWS):
                 key = spans.mix(key * U64(0x9E3779B97F4A7C15) + dense[:, k * BANDS:(k + 1) * BANDS])

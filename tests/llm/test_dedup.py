@@ -106,6 +106,26 @@ def test_sketch_estimates_are_near_the_truth():
         assert abs(got[0] - true) < 6 * max(error[0], 0.03)
 
 
+def short_pairs(seed, pairs, shared, more, width):
+    """Pairs of short texts: ``shared`` shingles in both, ``more`` added by the second one."""
+    rng = random.Random(seed)
+    rows = []
+    for k in range(pairs):
+        text = [f"w{rng.random():.9f}" for _ in range(shared + width - 1)]
+        rows += [(2 * k, " ".join(text)), (2 * k + 1, " ".join(text + [f"v{rng.random():.9f}" for _ in range(more)]))]
+    return rows
+
+
+def test_short_near_copies_are_all_found(spark):
+    """Texts of 6 to 60 shingles, 0.85 to 0.95 similar."""
+    rows = []
+    for n, (shared, more) in enumerate([(6, 1), (9, 1), (12, 2), (17, 3), (19, 1), (34, 6), (45, 5), (51, 9), (57, 3)]):
+        rows += [(1000 * n + d, t) for d, t in short_pairs(n, 120, shared, more, 3)]
+    got = minhash.near_dup_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    same(got, brute.near_dup(rows))
+    assert sum(r.kept for r in got) == len(rows) // 2
+
+
 def test_components(spark):
     rng = random.Random(1)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(60)] + [(7, 7), (None, 3)]
