@@ -92,5 +92,8 @@ def slices(buf: np.ndarray, offsets: np.ndarray, blank: np.ndarray):
                     at += 1
                 yield d, lo, at, np.array([0, at - lo])
                 lo = at
+            if lo == hi:  # no blank to cut before: the last part was the rest of the document
+                d = e
+                continue
         yield d, lo, hi, (offsets[d:e + 1] - lo if e > d + 1 or lo == offsets[d] else np.array([0, hi - lo]))
         d = e

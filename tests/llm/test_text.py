@@ -59,6 +59,27 @@ def test_encoding_and_decoding_documents(odd, nothing):
     assert sentence_pieces.round_trip(nothing).collect() == []
 
 
+def test_long_texts_without_blanks_are_one_row(monkeypatch):
+    """Also a text whose last word crosses the cut, and one of line breaks only."""
+    import sentencepiece
+    monkeypatch.setattr(units, "SLICE", 300)
+    texts = ["a" * 700, "ab cd", "", "ab " * 98 + "b" * 30, "\n" * 1000, "x " * 400, "no" * 200 + " end"]
+    lib = sentencepiece.SentencePieceProcessor(model_file=sentence_pieces.model_path())
+    load = sentence_pieces._Model(sentence_pieces.model_path())
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array([t.encode() for t in texts])], names=["doc_id", "text"])
+    rows = [r for b in sentence_pieces.encode_batches(load)(iter([batch])) for r in b.to_pylist()]
+    assert [(r["doc_id"], r["ids"]) for r in rows] == list(enumerate(lib.encode(texts)))
+    back = sentence_pieces.decode_batches(load)(sentence_pieces.encode_batches(load)(iter([batch])))
+    assert [(r["doc_id"], r["text"]) for b in back for r in b.to_pylist()] == list(enumerate(texts))
+
+
+def test_a_last_word_across_the_cut_is_one_row(spark):
+    text = "ab " * (units.SLICE // 3) + "word" * 5
+    df = spark.createDataFrame([(1, text), (2, "short")], "doc_id long, text string")
+    assert sorted(r.doc_id for r in sentence_pieces.encode_documents(df).collect()) == [1, 2]
+    assert sorted((r.doc_id, r.text) for r in sentence_pieces.round_trip(df).collect()) == [(1, text), (2, "short")]
+
+
 def test_decoding_bytes_that_are_no_text(spark):
     df = spark.createDataFrame([(1, [3 + 0xFF, 3 + 0x41]), (2, None), (3, [])], "doc_id long, ids array<int>")
     assert {r.doc_id: r.text for r in sentence_pieces.decode_documents(df).collect()} == {1: "\ufffdA", 2: "", 3: ""}
