@@ -5,10 +5,12 @@ the smallest hash of its bucket in 16 bits: its leading-zero count and its next
 
 1. Texts with the same set of shingles are one class; everything below is about one document of
    each class (its smallest id).
-2. Bands of six compressed registers are hashed to band groups. An empty register borrows that
+2. Bands of compressed registers are hashed to band groups, of as many registers as the threshold
+   allows (``band_shape``): six at 0.85, five at 0.8. An empty register borrows that
    which comes first, of those that are not empty, in an order of its own: each register then is an
    equal draw from the set, and two registers of a small set are as little tied as those of a large
-   one. A pair with Jaccard 0.85 shares no band with a probability of about 2e-9 (0.623 ** 42).
+   one. A pair with Jaccard 0.85 shares no band of 42 with a probability of about 2e-9
+   (0.623 ** 42), one with 0.8 no band of 51 with about 2e-9 as well (0.672 ** 51).
 3. In every band group each document is paired with the smallest one. Pairs whose
    collision-corrected Jaccard estimate lies six standard errors under the threshold go; the
    others are confirmed on their full sets of shingles. Links give components.
@@ -36,7 +38,7 @@ from arrivals_star.session import drop_scratch, scratch_path
 U64 = np.uint64
 BUCKET_BITS, MANTISSA = 8, 10
 BUCKETS = 1 << BUCKET_BITS
-BAND_ROWS, BANDS = 6, 42  # band k holds the registers k, k + 42, ..., k + 210
+MISSED = 1e-8  # chance, at most, that a pair at the threshold shares no band
 COMPARED = 128  # registers that an estimate compares
 PAIRS = 1 << 15  # (document, filled register) pairs that are looked up at once
 TILE = 256
@@ -107,8 +109,10 @@ def registers(h: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Jaccard estimate of register rows, corrected for chance collisions, and its standard error at 0.85.
+def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray, low: float = 0.85) -> tuple[np.ndarray, np.ndarray]:
+    """Jaccard estimate of register rows, corrected for chance collisions, and its standard error.
+
+    The error is that at ``low``, and at 0.85 where that is larger.
 
     Registers of different sets of n and m elements agree by chance about
     0.1699 * registers / 2**r * 4nm / (n + m)**2 times (Yu and Weber, HyperMinHash).
@@ -116,8 +120,8 @@ def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> tupl
     union = ((a > 0) | (b > 0)).sum(axis=-1)
     same = ((a == b) & (a > 0)).sum(axis=-1)
     chance = 0.169919487159739 * 2.0 ** -MANTISSA * a.shape[-1] * 4.0 * n * m / (n + m) ** 2
-    used = np.maximum(union, 1)
-    return np.maximum(same - chance, 0) / used, np.sqrt(0.85 * 0.15 / used)
+    used, low = np.maximum(union, 1), min(low, 0.85)
+    return np.maximum(same - chance, 0) / used, np.sqrt(low * (1 - low) / used)
 
 
 def sketch(width: int):
@@ -186,18 +190,37 @@ def lent(regs: np.ndarray) -> np.ndarray:
     return out
 
 
-def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per document and band: a hash of the band's number and registers."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        dense = lent(_registers(batch["registers"])).astype(U64)
-        key = np.broadcast_to(np.arange(BANDS, dtype=U64), (len(dense), BANDS)).copy()
-        with np.errstate(over="ignore"):
-            for k in range(BAND_ROWS):
-                key = spans.mix(key * U64(0x9E3779B97F4A7C15) + dense[:, k * BANDS:(k + 1) * BANDS])
-        ids = np.repeat(batch["doc_id"].to_numpy(zero_copy_only=False), BANDS)
-        yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)), pa.array(ids)], names=["key", "doc_id"])
+def band_shape(per_cent: int) -> tuple[int, int]:
+    """Registers of a band and number of bands, for pairs of this similarity.
+
+    The longest bands that miss a pair at the threshold with a chance of at most ``MISSED``; where
+    none do (under 0.07) each register is a band.
+    """
+    low = per_cent / 100
+    fits = [r for r in range(1, BUCKETS + 1) if (1 - low ** r) ** (BUCKETS // r) <= MISSED]
+    rows = max(fits, default=1)
+    return rows, BUCKETS // rows
+
+
+def bands(per_cent: int):
+    """One row per document and band: a hash of the band's number and registers.
+
+    Of n bands, band k holds the registers k, k + n, k + 2 n and so on.
+    """
+    rows, n = band_shape(per_cent)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            dense = lent(_registers(batch["registers"])).astype(U64)
+            key = np.broadcast_to(np.arange(n, dtype=U64), (len(dense), n)).copy()
+            with np.errstate(over="ignore"):
+                for k in range(rows):
+                    key = spans.mix(key * U64(0x9E3779B97F4A7C15) + dense[:, k * n:(k + 1) * n])
+            ids = np.repeat(batch["doc_id"].to_numpy(zero_copy_only=False), n)
+            yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)), pa.array(ids)], names=["key", "doc_id"])
+    return work
 
 
 def _registers(col: pa.Array) -> np.ndarray:
@@ -211,7 +234,7 @@ def plausible(low: float):
             if not batch.num_rows:
                 continue
             n, m = (batch[c].to_numpy(zero_copy_only=False).astype(float) for c in ("na", "nb"))
-            jaccard, error = estimate(_registers(batch["ra"]), _registers(batch["rb"]), n, m)
+            jaccard, error = estimate(_registers(batch["ra"]), _registers(batch["rb"]), n, m, low)
             keep = (jaccard >= low - 6 * error) & (np.minimum(n, m) >= low * np.maximum(n, m))
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(keep))
     return work
@@ -242,10 +265,9 @@ def tile_links(per_cent: int):
         regs = _registers(table["registers"])
         sets = table["shingles"]
         members = np.flatnonzero(~ask)
-        links = []
+        low, links = per_cent / 100, []
         for i in np.flatnonzero(ask):
-            jaccard, error = estimate(regs[members], regs[i], size[members], size[i])
-            low = per_cent / 100
+            jaccard, error = estimate(regs[members], regs[i], size[members], size[i], low)
             fits = ((jaccard >= low - 6 * error) & (comp[members] != comp[i])
                     & (np.minimum(size[members], size[i]) >= low * np.maximum(size[members], size[i])))
             mine, linked = np.frombuffer(sets[int(i)].as_py(), U64), set()
@@ -309,7 +331,7 @@ def near_dup_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "
                      .agg(F.min("doc_id").alias("doc_id"), F.first("registers").alias("registers"))
                      .select("doc_id", "n_shingles", "registers"), "classes")
 
-    rows = firsts.mapInArrow(bands, BAND)
+    rows = firsts.mapInArrow(bands(per_cent), BAND)
     shared = rows.groupBy("key").agg(F.min("doc_id").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
     met = tables.store(rows.join(shared.select("key", "hub"), "key"), "bands")
     pairs = met.where("doc_id <> hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()

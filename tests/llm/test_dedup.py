@@ -126,6 +126,25 @@ def test_short_near_copies_are_all_found(spark):
     assert sum(r.kept for r in got) == len(rows) // 2
 
 
+def test_the_pipeline_drops_short_near_copies(spark):
+    """Texts of 4 to 80 five-word shingles that are 0.8 similar: one of each pair stays."""
+    import corpus_pipeline
+    rows = []
+    for n, (shared, more) in enumerate([(4, 1), (8, 2), (16, 4), (40, 10), (80, 20)]):
+        rows += [(1000 * n + d, t) for d, t in short_pairs(50 + n, 120, shared, more, 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    after = corpus_pipeline.drop_near_copies(spark, docs, "").collect()
+    assert sorted(r.doc_id for r in after) == sorted(r[0] for r in brute.near_dup(rows, 5, 80) if r[3])
+    assert len(after) == len(rows) // 2
+
+
+def test_bands_miss_few_pairs_at_any_threshold():
+    assert minhash.band_shape(85) == (6, 42) and minhash.band_shape(80) == (5, 51)
+    for per_cent in range(10, 100):
+        rows, n = minhash.band_shape(per_cent)
+        assert rows * n <= minhash.BUCKETS and (1 - (per_cent / 100) ** rows) ** n <= minhash.MISSED
+
+
 def test_components(spark):
     rng = random.Random(1)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(60)] + [(7, 7), (None, 3)]
