@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from arrivals_star.llm.exact_dedup import OP9_SQL, op9_exact_dedup
+from arrivals_star.llm.merkle_manifest import op11_merkle_manifest, oracle_sql as op11_sql
 from arrivals_star.llm.minhash_dedup import OP5_SQL, op5_minhash_dedup
 from arrivals_star.llm.packing import op6_packing
 from arrivals_star.llm.quality import op1_quality
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_url_filter": op10_url_filter,
+    "op11_merkle_manifest": op11_merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -34,4 +36,5 @@ ORACLE_SQL: dict[str, str] = {
     "op7_exact_topk": OP7_SQL,
     "op8_secret_scan": op8_sql(),
     "op9_exact_dedup": OP9_SQL,
+    "op11_merkle_manifest": op11_sql(),
 }
