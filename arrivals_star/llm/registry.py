@@ -13,6 +13,7 @@ from arrivals_star.llm.sentence_pieces import op4_sentencepiece
 from arrivals_star.llm.substring_dedup import OP3_SQL, op3_substring_dedup
 from arrivals_star.llm.suffix_dedup import op2_suffix_dedup
 from arrivals_star.llm.url_filter import op10_url_filter
+from arrivals_star.llm.vector_codes import op12_vector_codes, oracle_sql as op12_sql
 from arrivals_star.llm.vector_topk import OP7_SQL, op7_exact_topk
 
 QUERIES = {
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_url_filter": op10_url_filter,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_vector_codes": op12_vector_codes,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -37,4 +39,5 @@ ORACLE_SQL: dict[str, str] = {
     "op8_secret_scan": op8_sql(),
     "op9_exact_dedup": OP9_SQL,
     "op11_merkle_manifest": op11_sql(),
+    "op12_vector_codes": op12_sql(),
 }
