@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from arrivals_star.llm.exact_dedup import OP9_SQL, op9_exact_dedup
+from arrivals_star.llm.fingerprints import op13_fingerprints
 from arrivals_star.llm.merkle_manifest import op11_merkle_manifest, oracle_sql as op11_sql
 from arrivals_star.llm.minhash_dedup import OP5_SQL, op5_minhash_dedup
 from arrivals_star.llm.packing import op6_packing
@@ -29,6 +30,7 @@ QUERIES = {
     "op10_url_filter": op10_url_filter,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_vector_codes": op12_vector_codes,
+    "op13_fingerprints": op13_fingerprints,
     "pipeline": corpus_pipeline.run,
 }
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from arrivals_star.llm.spans import U64, mix
 from arrivals_star.llm.tables import Tables
 
-CELL = 256
+CELL = 512
 SLOT_BITS = 14
 ROWS = 8192  # vectors that are evaluated at once
 SUMS = "part int, entry int, position int, total long, n long"
