@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..functions import PANDAS_NA_TOKENS, null_tokens, qcol
+from .quoted_csv import read_quoted_csv
+from .replace import current_path
+from .sas_transport import FORMAT as SAS_TRANSPORT, register_sas
 
 # Name of the leading index column a pandas CSV writer leaves, as Spark's CSV reader names it.
 INDEX_COLUMN = "_c0"
@@ -21,8 +24,13 @@ def drop_index_column(df: DataFrame) -> DataFrame:
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
     """Scan a table in any installed format (S1, S6); e.g. ``fmt='parquet'`` for staged arrivals.
 
-    For SAS files pass the format name of an external reader that is on the classpath.
+    ``sas_transport`` is this package's own reader of SAS transport files; for other SAS files pass
+    the format name of an external reader that is on the classpath.
     """
+    if fmt == SAS_TRANSPORT:
+        register_sas(spark)
+    else:
+        path = current_path(spark, path)
     return spark.read.format(fmt).options(**options).load(path)
 
 
@@ -34,8 +42,9 @@ def read_csv(spark: SparkSession, path: str, sep: str = ",", header: bool = True
 
     A quote inside a quoted value is doubled, as most writers do (``escape="\\\\"``: after a
     backslash). ``multi_line`` lets quoted values hold line breaks; a file is then read by one
-    task, so it is for small tables only.
+    task, so it is for small tables only (``read_quoted_csv`` is for large ones).
     """
+    path = current_path(spark, path)
     reader = (spark.read.option("sep", sep).option("header", header).option("escape", escape)
               .option("multiLine", multi_line))
     if schema is not None:
@@ -64,4 +73,5 @@ def read_small_csv(spark: SparkSession, path: str, sep: str = ",",
     return apply_null_tokens(drop_index_column(read_csv(spark, path, sep, multi_line=True)), tokens)
 
 
-__all__ = ["INDEX_COLUMN", "read_table", "read_csv", "apply_null_tokens", "read_small_csv", "drop_index_column"]
+__all__ = ["INDEX_COLUMN", "read_table", "read_csv", "apply_null_tokens", "read_small_csv", "read_quoted_csv",
+           "drop_index_column", "SAS_TRANSPORT", "register_sas"]

@@ -1,4 +1,7 @@
-"""Writers (S8-S10). Each writes once; nothing is collected to the driver."""
+"""Writers (S8-S10). Each writes once; nothing is collected to the driver.
+
+A table that is there already is replaced only when the new one is complete (see ``replace.py``).
+"""
 
 from __future__ import annotations
 
@@ -7,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .replace import replace_table
+
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), tasks: int | None = None) -> None:
     """Write Parquet, replacing what is there.
@@ -18,12 +23,10 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), ta
     few rows each, ``tasks`` gives the number of writing tasks instead, as rebalancing by size
     would leave all its files to one task.
     """
-    if not partition_by:
-        df.write.mode("overwrite").parquet(path)
-        return
-    keys = [F.col(c) for c in partition_by]
-    dealt = df.repartition(tasks, *keys) if tasks else df.hint("rebalance", *keys)
-    dealt.write.partitionBy(*partition_by).mode("overwrite").parquet(path)
+    if partition_by:
+        keys = [F.col(c) for c in partition_by]
+        df = df.repartition(tasks, *keys) if tasks else df.hint("rebalance", *keys)
+    replace_table(df.sparkSession, path, lambda folder: df.write.partitionBy(*partition_by).parquet(folder))
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
@@ -33,8 +36,9 @@ def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
     Values are kept as they are, outer blanks included; quotes are doubled. A value with a line
     break is quoted, so a table that may hold one is read back with ``read_csv(multi_line=True)``.
     """
-    (df.write.mode("overwrite").option("header", True).option("sep", sep).option("escape", '"')
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    writer = (df.write.option("header", True).option("sep", sep).option("escape", '"')
+              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    replace_table(df.sparkSession, path, writer.csv)
 
 
 __all__ = ["write_parquet", "write_csv"]
