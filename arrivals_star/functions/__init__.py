@@ -37,6 +37,9 @@ STRPTIME_FIELDS = {
     "a": "|".join(d[:3] for d in DAYS), "A": "|".join(DAYS)}
 # ---------------------------------------------------------------------------------------------
 
+# Stands before a date that was found in a text.
+DATE_MARK = "="
+
 _FLOAT_TYPES = (T.FloatType, T.DoubleType)
 
 
@@ -132,6 +135,8 @@ def text_to_date(c: Column, strptime_format: str) -> Column:
     are not dates or times of day (``%U``, ``%z``, ...) raise when the column is built.
     """
     pattern, groups = strptime_pattern(strptime_format)
+    if groups.keys() & {"Y", "y"} and not groups.keys() & {"b", "B", "j"}:
+        return _numbers_to_date(c, strptime_format)
 
     def field(name: str) -> Column:
         return F.regexp_extract(c, pattern, groups[name])
@@ -155,6 +160,26 @@ def text_to_date(c: Column, strptime_format: str) -> Column:
     return F.when(c != "", F.try_to_date(F.concat_ws("-", whole, month, day), "y-M-d"))
 
 
+def _numbers_to_date(c: Column, strptime_format: str) -> Column:
+    """``text_to_date`` for a format whose year, month and day are numbers: one run of the pattern
+    puts them in the order year-month-day behind a mark, and text without the mark is no date."""
+    pattern, groups = strptime_pattern(strptime_format)
+    # a day's padding blank must stay outside of its group; the groups after it move up by one
+    day = STRPTIME_FIELDS["d"]
+    digits = day.removesuffix("| [1-9]")
+    pattern = pattern.replace(f"({day})", f"(?:({digits})| ([1-9]))")
+    at = {name: n + ("d" in groups and n > groups["d"]) for name, n in groups.items()}
+    parts = [f"${at['Y' if 'Y' in groups else 'y']}",
+             f"${at['m']}" if "m" in groups else "1",
+             f"${at['d']}${at['d'] + 1}" if "d" in groups else "1"]
+    found = F.regexp_replace(c, pattern, DATE_MARK + "-".join(parts))
+    date = F.try_to_date(F.when(~c.startswith(DATE_MARK), found), f"'{DATE_MARK}'{'y' if 'Y' in groups else 'yy'}-M-d")
+    if "Y" in groups:
+        return date
+    # two digits are read as 2000 to 2099; from 69 on they mean the century before
+    return F.when(F.year(date) >= 2069, F.add_months(date, -1200)).otherwise(date)
+
+
 def code_label(c: Column, labels: Mapping[object, str]) -> Column:
     """Map codes to labels with no default: an unknown or null code gives null."""
     expr = None
