@@ -229,6 +229,42 @@ def raw_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*[F.when(~F.col("nothing"), F.col(c)).alias(c) for c in rows.columns if c != "nothing"])
 
 
+#: Rows of one file of a derived raw table, so that it is read by several tasks as real inputs are.
+FILE_ROWS = 100_000
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    """A derived raw table as Parquet, read back: a query that scans its input twice derives it once."""
+    df.write.option("maxRecordsPerFile", FILE_ROWS).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def odd_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw arrivals with birth years that fit no int on one order in 61 and departures past the year
+    9999 on one in 59."""
+    a = raw_arrivals(spark, sf_dir)
+    k = F.col("admnum").cast("bigint")
+    return a.withColumns({"biryear": F.when(k % 61 == 0, F.lit(3e9)).otherwise(F.col("biryear")),
+                          "depdate": F.when(k % 59 == 0, F.lit(1e8)).otherwise(F.col("depdate"))})
+
+
+def footer_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gappy events plus a whole number, a decimal, a date and a boolean with nulls."""
+    g = gappy_events(spark, sf_dir)
+    k = F.col("event_id")
+    return g.withColumns({"buyer": F.when(k % 6 != 0, F.col("user_id")),
+                          "price": F.when(k % 7 != 0, F.col("value").cast("decimal(18,2)")),
+                          "day": F.when(k % 8 != 0, F.col("ts").cast("date")), "odd": F.when(k % 9 != 0, k % 2 == 1)})
+
+
+def skewed_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem with a country name in mixed case, one third of all rows in one country."""
+    li = table(spark, sf_dir, "lineitem")
+    country = F.when(F.col("l_orderkey") % 3 == 0, F.lit("Nation_7")).otherwise(
+        F.concat(F.lit("NATION_"), (F.col("l_suppkey") % 25).cast("string")))
+    return li.select("l_orderkey", "l_linenumber", country.alias("country"))
+
+
 # Dedupe order for raw arrivals: every column but the id, then the tie-break columns.
 ARRIVALS_ORDER = ("i94yr", "i94mon", "i94cit", "i94res", "i94port", "arrdate", "i94mode", "i94addr",
                   "depdate", "i94bir", "i94visa", "count", "biryear", "gender", "airline", "visatype",
@@ -341,7 +377,7 @@ def write_raw_inputs(spark: SparkSession, sf_dir: str, out_dir: str):
     paths = RawInputs(arrivals=f"{base}/arrivals", temperatures=f"{base}/temperatures",
                       demographics=f"{base}/demographics", ports=f"{base}/ports",
                       countries=f"{base}/countries")
-    sparse_arrivals(spark, sf_dir).write.mode("overwrite").parquet(paths.arrivals)
+    sparse_arrivals(spark, sf_dir).write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS).parquet(paths.arrivals)
     raw_temperatures(spark, sf_dir).write.mode("overwrite").option("header", True).csv(paths.temperatures)
     write_raw_demographics(spark, sf_dir, paths.demographics)
     write_indexed_csv(raw_ports(spark, sf_dir), paths.ports)

@@ -12,8 +12,8 @@ from ..operators.aggregate import group_mean
 from ..operators.clean import clean, dedupe_by_key, drop_empty_rows, drop_sparse_columns, require_columns
 from ..operators.dims import (DEMOGRAPHICS_NAMES, PORT_NAMES, calendar_dim, city_demographics_dim, port_dim,
                               temperature_dim, transport_mode_dim, visa_dim, write_calendar)
-from ..operators.fact import ARRIVALS_REQUIRED, arrivals_fact
-from ..sources import read_csv, read_small_csv, read_table
+from ..operators.fact import ARRIVALS_REQUIRED, arrivals_fact, arrivals_fact_with_rejects
+from ..sources import read_csv, read_quoted_csv, read_small_csv, read_table
 from ..sources.sinks import write_csv, write_parquet
 
 # ---------------------------------------------------------------------------------------------
@@ -49,14 +49,11 @@ def stage_arrivals(raw: DataFrame, threshold: float = 90.0, dedupe: bool = True,
     """Staged arrivals (T1): sparse columns and empty rows dropped, one row per ``cicid``.
 
     Columns the fact needs are protected from the sparse drop, as the fact's cast would fail on
-    them. Rows without an id are different arrivals and all stay. ``dedupe=False`` keeps
-    duplicate ids as well.
+    them. Rows without an id are different arrivals and all stay: one scan and one aggregate
+    serve them and the rows with an id. ``dedupe=False`` keeps duplicate ids as well.
     """
     df = drop_empty_rows(drop_sparse_columns(raw, threshold, protected))
-    if not dedupe:
-        return df
-    known = dedupe_by_key(df.where(F.col("cicid").isNotNull()), ["cicid"], order)
-    return known.unionByName(df.where(F.col("cicid").isNull()))
+    return dedupe_by_key(df, ["cicid"], order, keep_null_keys=True) if dedupe else df
 
 
 def stage_temperatures(raw: DataFrame, threshold: float = 90.0,
@@ -96,13 +93,21 @@ def stage_countries(raw: DataFrame, threshold: float = 90.0,
 
 @dataclass(frozen=True)
 class RawInputs:
-    """Where the raw inputs are. ``arrivals_format`` is any installed reader's format name."""
+    """Where the raw inputs are. ``arrivals_format`` is any installed reader's format name, or
+    ``sas_transport``.
+
+    ``temperatures_quotes`` says how a quote inside a quoted temperature field is written:
+    ``backslash`` (Spark's default, as the reference reads the file; a line is a record) or
+    ``doubled`` (as most writers do; quoted fields may then hold line breaks, and a large file is
+    still read by many tasks).
+    """
     arrivals: str
     temperatures: str
     demographics: str
     ports: str
     countries: str
     arrivals_format: str = "parquet"
+    temperatures_quotes: str = "backslash"
 
 
 def _join(base: str, name: str) -> str:
@@ -136,9 +141,13 @@ def run_stage(spark: SparkSession, raw: RawInputs, stage_dir: str, threshold: fl
     without another scan; pass a dict as ``row_counts`` to receive them.
     """
     out = {k: _join(stage_dir, v) for k, v in STAGED.items()}
+    if raw.temperatures_quotes not in ("backslash", "doubled"):
+        raise ValueError(f"temperatures_quotes is 'backslash' or 'doubled', not {raw.temperatures_quotes!r}")
+    temperatures = (read_quoted_csv(spark, raw.temperatures) if raw.temperatures_quotes == "doubled"
+                    else read_csv(spark, raw.temperatures, escape="\\"))
     tables = {
         "arrivals": (stage_arrivals(read_table(spark, raw.arrivals, raw.arrivals_format), threshold), write_parquet),
-        "temperatures": (stage_temperatures(read_csv(spark, raw.temperatures, escape="\\"), threshold), write_csv),
+        "temperatures": (stage_temperatures(temperatures, threshold), write_csv),
         "demographics": (stage_demographics(read_small_csv(spark, raw.demographics, sep=";"), threshold), write_csv),
         "ports": (stage_ports(read_small_csv(spark, raw.ports), threshold), write_csv),
         "countries": (stage_countries(read_small_csv(spark, raw.countries), threshold), write_csv),
@@ -152,19 +161,31 @@ def run_stage(spark: SparkSession, raw: RawInputs, stage_dir: str, threshold: fl
 
 
 def run_final(spark: SparkSession, stage_dir: str, final_dir: str,
-              races: Sequence[str] | None = None) -> dict[str, str]:
+              races: Sequence[str] | None = None, keep_rejects: bool = False,
+              reject_counts: dict[str, int] | None = None) -> dict[str, str]:
     """Star-schema job (T14): the fact, then six dimensions; returns their paths.
 
     The fact plan runs once: the dimensions read the written fact back, which both cuts the
     lineage (a lost executor re-reads files instead of redoing the dedupe) and lets each
     dimension read only the columns it needs. Every table is checked against its declared schema
-    before it is written.
+    before it is written, and replaces the one before it only when it is complete.
+
+    With ``keep_rejects`` the fact has a last column ``rejects``, the values that its casts lost
+    (``rejected_values`` lists them); ``reject_counts`` receives their number per column, counted
+    while the fact is written.
     """
     staged = {k: _join(stage_dir, v) for k, v in STAGED.items()}
     out = {k: _join(final_dir, v) for k, v in FINAL.items()}
     # the staged files are in the dialect of write_csv; only the small tables can hold line breaks
     small = {k: read_csv(spark, staged[k], multi_line=True) for k in ("demographics", "ports", "countries")}
-    write_parquet(check_schema(arrivals_fact(read_table(spark, staged["arrivals"])), "fact"), out["fact"])
+    arrivals = read_table(spark, staged["arrivals"])
+    if keep_rejects:
+        lost = Observation("lost_values")
+        write_parquet(check_schema(arrivals_fact_with_rejects(arrivals, observation=lost), "fact"), out["fact"])
+        if reject_counts is not None:
+            reject_counts.update(lost.get)
+    else:
+        write_parquet(check_schema(arrivals_fact(arrivals), "fact"), out["fact"])
     fact = read_table(spark, out["fact"])
     write_calendar(check_schema(calendar_dim(fact), "calendar"), out["calendar"])
     write_parquet(check_schema(visa_dim(fact), "visa"), out["visa"])

@@ -14,15 +14,18 @@ from pyspark.sql import functions as F
 
 from ..functions import PANDAS_NA_TOKENS, sas_days_to_date, text_to_date
 from ..operators.aggregate import group_mean, stay_report
-from ..operators.clean import (clean, dedupe_by_key, dedupe_rows, drop_empty_rows,
+from ..operators.clean import (clean, dedupe_by_key, dedupe_repeated_keys, dedupe_rows, drop_empty_rows,
                                drop_sparse_columns, require_columns)
-from ..operators.conform import cast_columns, drop_columns, rename_columns
+from ..operators.conform import cast_columns, cast_with_rejects, drop_columns, rejected_values, rename_columns
 from ..operators.dims import (calendar_dim, city_demographics_dim, pivot_sum, port_dim, temperature_dim,
                               temperature_dim_sql, transport_mode_dim, visa_dim, write_calendar)
-from ..operators.fact import arrivals_fact
-from ..operators.profile import missing_profile
+from ..operators.fact import arrivals_by_day, arrivals_fact, arrivals_fact_with_rejects, write_fact_by_month
+from ..operators.joins import join_ignore_case_skewed
+from ..operators.keys import assign_keys
+from ..operators.profile import footer_profile, missing_profile
 from ..session import scratch_path
-from ..sources import apply_null_tokens, read_csv, read_small_csv, read_table
+from ..sources import (SAS_TRANSPORT, apply_null_tokens, drop_index_column, read_csv, read_quoted_csv, read_small_csv,
+                       read_table, register_sas)
 from ..sources.sinks import write_csv, write_parquet
 from . import demo
 from .jobs import (check_schema, run_final, run_stage, stage_arrivals, stage_countries, stage_demographics, stage_ports,
@@ -150,8 +153,13 @@ def q_port_dim_sparse(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- fact and report ------------------------------------------------------------------------
 
+def _raw(spark: SparkSession, raw: DataFrame) -> DataFrame:
+    # staging profiles its input before it reads the rows: the derived input is written once
+    return demo.written(raw, scratch_path(spark, "raw_arrivals"))
+
+
 def _fact(spark: SparkSession, sf: str) -> DataFrame:
-    return arrivals_fact(stage_arrivals(demo.raw_arrivals(spark, sf), order=demo.ARRIVALS_ORDER))
+    return arrivals_fact(stage_arrivals(_raw(spark, demo.raw_arrivals(spark, sf)), order=demo.ARRIVALS_ORDER))
 
 
 def q_arrivals_fact(spark: SparkSession, sf: str) -> DataFrame:
@@ -176,11 +184,82 @@ def q_star_report(spark: SparkSession, sf: str) -> DataFrame:
 # ---- staging and the full demographics path -------------------------------------------------
 
 def q_stage_arrivals(spark: SparkSession, sf: str) -> DataFrame:
-    return stage_arrivals(demo.sparse_arrivals(spark, sf))
+    return stage_arrivals(_raw(spark, demo.sparse_arrivals(spark, sf)))
 
 
 def q_stage_arrivals_all(spark: SparkSession, sf: str) -> DataFrame:
-    return stage_arrivals(demo.sparse_arrivals(spark, sf), dedupe=False)
+    return stage_arrivals(_raw(spark, demo.sparse_arrivals(spark, sf)), dedupe=False)
+
+
+def q_sas_transport_stage(spark: SparkSession, sf: str) -> DataFrame:
+    # The format the raw arrivals come in: written as SAS transport files, read back by byte ranges.
+    register_sas(spark)
+    path = scratch_path(spark, "arrivals_sas")
+    demo.sparse_arrivals(spark, sf).write.format(SAS_TRANSPORT).options(**SAS_LENGTHS).mode("append").save(path)
+    return stage_arrivals(read_table(spark, path, SAS_TRANSPORT))
+
+
+SAS_LENGTHS = {"length.i94port": "20", "length.i94addr": "8", "length.gender": "8", "length.airline": "20",
+               "length.visatype": "8", "length.visapost": "8"}
+
+
+def q_dedupe_repeated_keys(spark: SparkSession, sf: str) -> DataFrame:
+    li = demo.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_quantity", "l_extendedprice")
+    return dedupe_repeated_keys(li, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+
+
+def q_csv_quoted_breaks(spark: SparkSession, sf: str) -> DataFrame:
+    # one file with quoted line breaks, read by as many tasks as it has splits
+    path = scratch_path(spark, "breaks_csv")
+    demo.write_indexed_csv(demo.customer_ports(spark, sf).coalesce(1), path)
+    return drop_index_column(read_quoted_csv(spark, path))
+
+
+def q_replace_table(spark: SparkSession, sf: str) -> DataFrame:
+    # a table is replaced by one computed from itself: the old one is there until the new one is complete
+    path = scratch_path(spark, "replaced")
+    write_parquet(demo.customer_ports(spark, sf), path)
+    write_parquet(read_table(spark, path).where("State IS NOT NULL"), path)
+    return read_table(spark, path)
+
+
+def q_rejected_values(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "conformed")
+    write_parquet(cast_with_rejects(demo.text_orders(spark, sf), {"OKEY": "bigint", "o_custkey": "int", "o_totalprice": "smallint"}), path)
+    return rejected_values(read_table(spark, path), ["OKEY"])
+
+
+def q_fact_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "fact_rejects")
+    write_parquet(arrivals_fact_with_rejects(drop_empty_rows(demo.odd_arrivals(spark, sf))), path)
+    return rejected_values(read_table(spark, path), ["id"])
+
+
+def q_footer_profile(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "footers")
+    write_parquet(demo.footer_events(spark, sf), path)
+    return footer_profile(spark, path)
+
+
+def q_arrivals_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    # the Sundays of 1995: the fact's folders are pruned at run time by the months those days fall in
+    base = scratch_path(spark, "fact_by_month")
+    write_fact_by_month(_fact(spark, sf), f"{base}/fact")
+    fact = read_table(spark, f"{base}/fact")
+    write_parquet(calendar_dim(fact), f"{base}/calendar")
+    days = read_table(spark, f"{base}/calendar").where("weekday = 1 AND id BETWEEN 19950101 AND 19951231")
+    return arrivals_by_day(fact, days)
+
+
+def q_surrogate_keys(spark: SparkSession, sf: str) -> DataFrame:
+    # two loads: customers with urgent orders, then all customers with orders
+    orders = demo.table(spark, sf, "orders")
+    first = assign_keys(orders.where("o_orderpriority = '1-URGENT'"), ["o_custkey"])
+    return assign_keys(orders, ["o_custkey"], first)
+
+
+def q_ci_join_skewed(spark: SparkSession, sf: str) -> DataFrame:
+    return join_ignore_case_skewed(demo.skewed_countries(spark, sf), demo.nation_countries(spark, sf), "country", "Country")
 
 
 def q_stage_temperatures(spark: SparkSession, sf: str) -> DataFrame:
@@ -289,6 +368,16 @@ QUERIES: dict[str, Query] = {
     "stage_ports": q_stage_ports,
     "city_demographics_dim": q_city_demographics_dim,
     "star_schema": q_star_schema,
+    "sas_transport_stage": q_sas_transport_stage,
+    "dedupe_repeated_keys": q_dedupe_repeated_keys,
+    "csv_quoted_breaks": q_csv_quoted_breaks,
+    "replace_table": q_replace_table,
+    "rejected_values": q_rejected_values,
+    "fact_rejects": q_fact_rejects,
+    "footer_profile": q_footer_profile,
+    "arrivals_by_day": q_arrivals_by_day,
+    "surrogate_keys": q_surrogate_keys,
+    "ci_join_skewed": q_ci_join_skewed,
 }
 
 
@@ -593,6 +682,43 @@ SELECT DISTINCT
 FROM customer""",
     "stage_ports": f'SELECT DISTINCT code AS "Code", city AS "City", state AS "State" FROM ({_PORTS})',
     "city_demographics_dim": _CITY_DEMOGRAPHICS,
+    # every number of a SAS file is a double, and a missing one is null, so NaN is too
+    "sas_transport_stage": f"""
+SELECT * REPLACE (CASE WHEN isnan(arrdate) THEN NULL ELSE arrdate END AS arrdate, CAST(l_partkey AS DOUBLE) AS l_partkey,
+                  CAST(l_suppkey AS DOUBLE) AS l_suppkey) FROM ({_RAW_ARRIVALS})
+QUALIFY cicid IS NULL OR row_number() OVER (PARTITION BY cicid ORDER BY {_ARRIVALS_ORDER_SQL}) = 1""",
+    "dedupe_repeated_keys": """
+SELECT l_orderkey, l_linenumber, l_shipdate, l_quantity, l_extendedprice FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate, l_quantity, l_extendedprice) = 1""",
+    "csv_quoted_breaks": f'SELECT code AS "Code", city AS "City", state AS "State" FROM ({_PORTS})',
+    "replace_table": f'SELECT code AS "Code", city AS "City", state AS "State" FROM ({_PORTS}) WHERE state IS NOT NULL',
+    "rejected_values": """
+WITH o AS (SELECT CAST(o_orderkey AS BIGINT) AS "OKEY", * FROM orders)
+SELECT "OKEY", 'o_custkey' AS column_name, 'x' AS text FROM o WHERE o_custkey % 13 = 0
+UNION ALL SELECT "OKEY", 'o_totalprice', CAST(o_totalprice AS VARCHAR) FROM o WHERE trunc(o_totalprice) NOT BETWEEN -32768 AND 32767""",
+    "fact_rejects": f"""
+WITH d AS (SELECT CAST(trunc(cicid) AS BIGINT) AS id, CAST(admnum AS BIGINT) AS k FROM ({_RAW_ARRIVALS}))
+SELECT id, 'birth_year' AS column_name, '3.0E9' AS text FROM d WHERE k % 61 = 0
+UNION ALL SELECT id, 'depart_date', '1.0E8' FROM d WHERE k % 59 = 0""",
+    "footer_profile": "WITH e AS (SELECT count(*) AS n FROM events) " + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) FILTER ({t}) AS missing, 100.0 * count(*) FILTER ({t}) / nullif(any_value(n), 0) AS pct_missing "
+        "FROM events, e" for c, t in {**{c: "false" for c in ("event_id", "ts", "user_id", "event_type", "value")},
+                                      "reading": "event_id % 5 IN (0, 1)", "label": "event_id % 3 IN (0, 1)", "seen_at": "event_id % 4 = 0",
+                                      "buyer": "event_id % 6 = 0", "price": "event_id % 7 = 0", "day": "event_id % 8 = 0",
+                                      "odd": "event_id % 9 = 0"}.items()),
+    "arrivals_by_day": _FACT + """
+SELECT arrival_date AS date, CAST(year(arrival_date) AS INTEGER) AS year, CAST(month(arrival_date) AS INTEGER) AS month,
+       count(*) AS arrivals, CAST(sum(date_diff('day', arrival_date, depart_date)) AS BIGINT) AS total_stay_days
+FROM f WHERE dayofweek(arrival_date) = 0 AND year(arrival_date) = 1995 GROUP BY 1, 2, 3""",
+    "surrogate_keys": """
+WITH a AS (SELECT DISTINCT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'),
+b AS (SELECT DISTINCT o_custkey FROM orders WHERE o_custkey NOT IN (SELECT o_custkey FROM a))
+SELECT o_custkey, row_number() OVER (ORDER BY o_custkey) AS key FROM a
+UNION ALL SELECT o_custkey, (SELECT count(*) FROM a) + row_number() OVER (ORDER BY o_custkey) FROM b""",
+    "ci_join_skewed": """
+SELECT l_orderkey, l_linenumber, country, n_nationkey AS "Code", n_name AS "Country"
+FROM (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 3 = 0 THEN 'Nation_7' ELSE 'NATION_' || CAST(l_suppkey % 25 AS VARCHAR) END AS country
+      FROM lineitem) JOIN nation ON lower(country) = lower(n_name)""",
 }
 
 _LABELS = "CASE {0} WHEN 1 THEN 'Business' WHEN 2 THEN 'Pleasure' WHEN 3 THEN 'Student' END"
