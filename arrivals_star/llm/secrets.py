@@ -1,13 +1,16 @@
 """Secret scan: base patterns, and high-entropy strings by a sliding window. DataFrame functions only.
 
 Places count code points. ``split`` gives the text between matches and ``regexp_extract_all`` the
-matches, so places are sums of lengths and every text is read a fixed number of times.
+matches, so places are sums of lengths and every text is read a fixed number of times: a value that
+a loop over matches or characters needs is bound once outside of it (``bound``).
 
 For each character class, candidate strings of ``window`` or more characters are scanned with a
-window of that length. The count of each character in the window is kept in an array; a step adds
-the character that enters and takes off the one that leaves, and updates sum(c * log2 c) in fixed
+window of that length. The count of each character in the window is kept in an array; a step takes
+off the character that leaves and adds the one that enters, and updates sum(c * log2 c) in fixed
 point. The window's Shannon entropy is log2(window) - sum / window bits. Windows over the class's
-threshold that overlap or touch are one span. Candidates that match the allow-list give none.
+threshold that overlap or touch are one span. The allow-list is searched in the span, so what else
+its candidate holds does not hide a secret; only strings that are no secret as a whole (a UUID)
+are judged as candidates.
 """
 
 from __future__ import annotations
@@ -57,24 +60,20 @@ class CharClass:
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 CLASSES = (CharClass("entropy_hex", "0123456789ABCDEFabcdef", 20, 3.0),
            CharClass("entropy_base64", LETTERS + "0123456789+/=_-", 20, 3.7))
-#: Candidates that are no secrets: only letters or separators (words), only digits, a UUID, or text that says so.
+#: Spans that are no secrets: only letters or separators (words), only digits, or text that says so.
 ALLOW = (r"^[A-Za-z_/=+-]+$", r"^[0-9_/=+-]+$",
-         r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
          r"(EXAMPLE|[Ee]xample|[Pp]laceholder|0123456789|abcdefghij)")
+#: Candidates that are no secrets as a whole: a UUID.
+ALLOW_WHOLE = (r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",)
+
+
+def bound(x: Column, use) -> Column:
+    """use(x) with x computed once, however often and in whatever loop ``use`` reads it."""
+    return F.transform(F.array(x), use)[0]
 
 
 def placed(text: Column, pattern: str) -> Column:
     """(start, end, s) of the leftmost non-overlapping matches of a pattern, in code points."""
-    m = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    size = F.size(m)
-    lengths = F.zip_with(F.slice(F.split(text, pattern, -1), F.lit(1), size), m,
-                         lambda g, x: F.struct(F.char_length(g).alias("g"), F.char_length(x).alias("n"), x.alias("s")))
-    # running places in blocks, so that appending to an array stays cheap however many matches there are
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((size - 1) / BLOCK).cast("int")),
-                         lambda b: F.slice(lengths, b * BLOCK + 1, F.lit(BLOCK)))
-    totals = F.transform(blocks, lambda x: F.aggregate(x, F.lit(0), lambda acc, e: acc + e["g"] + e["n"]))
-    offsets = F.aggregate(totals, F.array(F.lit(0)), lambda acc, t: F.concat(acc, F.array(F.element_at(acc, -1) + t)))
-
     def in_block(x: Column, at: Column) -> Column:
         return F.aggregate(
             x, F.struct(at.alias("at"), F.array().cast(PLACED).alias("out")),
@@ -83,7 +82,22 @@ def placed(text: Column, pattern: str) -> Column:
                 e["s"].alias("s")))).alias("out")),
             lambda st: st["out"])
 
-    found = F.flatten(F.zip_with(blocks, F.slice(offsets, F.lit(1), F.size(blocks)), in_block))
+    def in_blocks(lengths: Column) -> Column:
+        # running places in blocks, so that appending to an array stays cheap however many matches there are
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / BLOCK).cast("int")),
+                           lambda b: F.slice(lengths, b * BLOCK + 1, F.lit(BLOCK)))
+
+    def from_blocks(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda x: F.aggregate(x, F.lit(0), lambda acc, e: acc + e["g"] + e["n"]))
+        offsets = F.aggregate(totals, F.array(F.lit(0)), lambda acc, t: F.concat(acc, F.array(F.element_at(acc, -1) + t)))
+        return F.flatten(F.zip_with(blocks, F.slice(offsets, F.lit(1), F.size(blocks)), in_block))
+
+    def lengths_of(m: Column) -> Column:
+        return F.zip_with(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(m)), m,
+                          lambda g, x: F.struct(F.char_length(g).alias("g"), F.char_length(x).alias("n"), x.alias("s")))
+
+    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    found = bound(matches, lambda m: bound(lengths_of(m), lambda n: bound(in_blocks(n), from_blocks)))
     return F.when(text.rlike(pattern), found).otherwise(F.array().cast(PLACED))
 
 
@@ -92,7 +106,8 @@ def as_spans(found: Column, kind: str, kind_no: int) -> Column:
                                                  x["end"].alias("end"), F.lit(kind).alias("kind")))
 
 
-def entropy_spans(found: Column, cls: CharClass, kind_no: int, allow: tuple[str, ...]) -> Column:
+def entropy_spans(found: Column, cls: CharClass, kind_no: int, allow: tuple[str, ...],
+                  allow_whole: tuple[str, ...]) -> Column:
     """Spans of one class within its placed candidates."""
     width, n = cls.window, len(cls.alphabet)
     terms = F.array(*[F.lit(t).cast("long") for t in cls.terms])
@@ -105,41 +120,45 @@ def entropy_spans(found: Column, cls: CharClass, kind_no: int, allow: tuple[str,
         return F.concat(F.slice(counts, F.lit(1), k - 1), F.array(F.element_at(counts, k) + by),
                         F.slice(counts, k + 1, F.lit(n)))
 
-    def scan(x: Column) -> Column:
-        marks = F.transform(F.regexp_extract_all(x["s"], F.lit("."), F.lit(0)), lambda c: F.instr(F.lit(cls.alphabet), c))
+    def windows(marks: Column) -> Column:
+        """Merged windows with enough entropy of one candidate, from its characters' numbers."""
+        def leave(st: Column, i: Column) -> Column:
+            """Character i - width leaves the window."""
+            gone = F.get(marks, i - width - 1)
+            had = F.element_at(st["counts"], gone)
+            return F.struct(F.when(i > width, bumped(st["counts"], gone, -1)).otherwise(st["counts"]).alias("counts"),
+                            F.when(i > width, st["total"] - term(had) + term(had - 1)).otherwise(st["total"]).alias("total"))
 
-        def step(st: Column, i: Column) -> Column:
-            """Character i enters the window; character i - width leaves it."""
+        def enter(left: Column, st: Column, i: Column) -> Column:
+            """Character i enters it; a window with enough entropy widens the open span, or starts one."""
             k = F.element_at(marks, i)
-            into = F.element_at(st["counts"], k)
-            entered = F.struct(bumped(st["counts"], k, 1).alias("counts"), (st["total"] + term(into + 1) - term(into)).alias("total"))
-            gone = F.get(marks, i - width - 1)
-            return F.transform(F.array(entered), lambda e: F.struct(
-                F.when(i > width, bumped(e["counts"], gone, -1)).otherwise(e["counts"]).alias("counts"),
-                F.when(i > width, e["total"] - term(F.element_at(e["counts"], gone)) + term(F.element_at(e["counts"], gone) - 1))
-                .otherwise(e["total"]).alias("total"), st["done"].alias("done"), st["a"].alias("a"), st["b"].alias("b")))[0]
-
-        def close(st: Column, i: Column) -> Column:
-            """A window with enough entropy widens the open span, or starts one."""
-            hit = (i >= width) & (st["total"] <= cls.most)
+            had = F.element_at(left["counts"], k)
+            return bound((left["total"] + term(had + 1) - term(had)), lambda total: close(bumped(left["counts"], k, 1), total, st, i))
+
+        def close(counts: Column, total: Column, st: Column, i: Column) -> Column:
+            hit = (i >= width) & (total <= cls.most)
             apart = hit & (st["b"] >= 0) & (i - width > st["b"])
             return F.struct(
-                st["counts"].alias("counts"), st["total"].alias("total"),
+                counts.alias("counts"), total.alias("total"),
                 F.when(apart, F.concat(st["done"], span(st["a"], st["b"]))).otherwise(st["done"]).alias("done"),
                 F.when(hit & ((st["b"] < 0) | apart), i - width).otherwise(st["a"]).alias("a"),
                 F.when(hit, i).otherwise(st["b"]).alias("b"))
 
         start = F.struct(zero_counts.alias("counts"), F.lit(0).cast("long").alias("total"), empty.alias("done"),
                          F.lit(-1).alias("a"), F.lit(-1).alias("b"))
-        merged = F.aggregate(
+        return F.aggregate(
             F.sequence(F.lit(1), F.size(marks)), start,
-            lambda st, i: F.transform(F.array(step(st, i)), lambda t: close(t, i))[0],
+            lambda st, i: bound(leave(st, i), lambda left: enter(left, st, i)),
             lambda st: F.when(st["b"] < 0, st["done"]).otherwise(F.concat(st["done"], span(st["a"], st["b"]))))
-        return F.transform(merged, lambda s: F.struct(
+
+    def scan(x: Column) -> Column:
+        marks = F.transform(F.regexp_extract_all(x["s"], F.lit("."), F.lit(0)), lambda c: F.instr(F.lit(cls.alphabet), c))
+        secret = F.filter(bound(marks, windows), lambda s: ~_any_match(x["s"].substr(s["start"] + 1, s["end"] - s["start"]), allow))
+        return F.transform(secret, lambda s: F.struct(
             (x["start"] + s["start"]).alias("start"), F.lit(kind_no).alias("kind_no"),
             (x["start"] + s["end"]).alias("end"), F.lit(cls.kind).alias("kind")))
 
-    suspect = F.filter(found, lambda x: ~_any_match(x["s"], allow))
+    suspect = F.filter(found, lambda x: ~_any_match(x["s"], allow_whole))
     return F.flatten(F.transform(suspect, scan))
 
 
@@ -156,7 +175,8 @@ def _joined(spans: Column) -> Column:
 
 
 def secret_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 classes: tuple[CharClass, ...] = CLASSES, allow: tuple[str, ...] = ALLOW) -> DataFrame:
+                 classes: tuple[CharClass, ...] = CLASSES, allow: tuple[str, ...] = ALLOW,
+                 allow_whole: tuple[str, ...] = ALLOW_WHOLE) -> DataFrame:
     """doc_id, text, base_spans, added_spans: arrays of (start, kind_no, end, kind), unsorted.
 
     Base kinds are assign, access and hex, leftmost and non-overlapping per kind; each character
@@ -166,7 +186,7 @@ def secret_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     return _found(rows, ["doc_id"], classes).select(
         "doc_id", "text", _base().alias("base_spans"),
-        F.concat(F.array().cast(SPANS), *_added(classes, allow)).alias("added_spans"))
+        F.concat(F.array().cast(SPANS), *_added(classes, allow, allow_whole)).alias("added_spans"))
 
 
 def _found(rows: DataFrame, keys: list[str], classes: tuple[CharClass, ...]) -> DataFrame:
@@ -184,15 +204,16 @@ def _base() -> Column:
     return F.concat(as_spans(assign, "assign", 0), as_spans(F.col("access"), "access", 1), as_spans(F.col("hex"), "hex", 2))
 
 
-def _added(classes: tuple[CharClass, ...], allow: tuple[str, ...]) -> list[Column]:
-    return [entropy_spans(F.col(f"class_{k}"), c, 3 + k, allow) for k, c in enumerate(classes)]
+def _added(classes: tuple[CharClass, ...], allow: tuple[str, ...], allow_whole: tuple[str, ...]) -> list[Column]:
+    return [entropy_spans(F.col(f"class_{k}"), c, 3 + k, allow, allow_whole) for k, c in enumerate(classes)]
 
 
 def secret_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                classes: tuple[CharClass, ...] = CLASSES, allow: tuple[str, ...] = ALLOW) -> DataFrame:
+                classes: tuple[CharClass, ...] = CLASSES, allow: tuple[str, ...] = ALLOW,
+                allow_whole: tuple[str, ...] = ALLOW_WHOLE) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans of every document (see ``secret_spans``)."""
     count = lambda k: F.size(F.filter("base_spans", lambda x: x["kind_no"] == k)).cast("long")
-    return secret_spans(df, id_col, text_col, classes, allow).select(
+    return secret_spans(df, id_col, text_col, classes, allow, allow_whole).select(
         "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
         F.sha2(_joined(F.col("base_spans")), 256).alias("base_sha256"),
         _joined(F.concat("base_spans", "added_spans")).alias("spans"))
@@ -200,7 +221,7 @@ def secret_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def redact_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str = "n_chars",
                    mark: str = "[SECRET]", classes: tuple[CharClass, ...] = CLASSES,
-                   allow: tuple[str, ...] = ALLOW) -> DataFrame:
+                   allow: tuple[str, ...] = ALLOW, allow_whole: tuple[str, ...] = ALLOW_WHOLE) -> DataFrame:
     """The rows with every span replaced by ``mark`` (overlapping spans by one), and new sizes.
 
     Rows without spans stay as they are, null text included. ``size_col`` is set where it exists.
@@ -209,7 +230,7 @@ def redact_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                      F.col(text_col).alias("text"))
     t = F.coalesce(F.col("text").cast("string"), F.lit(""))
     found = _found(rows.select("row", t.alias("text")), ["row"], classes)
-    spans = found.select("row", "text", F.array_sort(F.concat(_base(), *_added(classes, allow))).alias("spans"))
+    spans = found.select("row", "text", F.array_sort(F.concat(_base(), *_added(classes, allow, allow_whole))).alias("spans"))
     one = "array<struct<start:int,end:int>>"
 
     def join_span(acc: Column, x: Column) -> Column:
@@ -256,10 +277,11 @@ def oracle_sql() -> str:
     assign = ASSIGN.replace("'", "''")
     ctes, unions = [], []
     for k, c in enumerate(CLASSES):
-        allow = " OR ".join(f"regexp_matches(s, '{p}')" for p in ALLOW)
+        whole = " OR ".join(f"regexp_matches(s, '{p}')" for p in ALLOW_WHOLE)
+        says = " OR ".join(f"regexp_matches(substring(text, a + 1, b - a), '{p}')" for p in ALLOW)
         terms = "[" + ", ".join(map(str, c.terms)) + "]"
         ctes.append(_sql_places(f"c{k}", c.pattern) + f""",
-w{k} AS (SELECT doc_id, a, s, unnest(range(length(s) - {c.window} + 1)) AS i FROM c{k} WHERE NOT ({allow})),
+w{k} AS (SELECT doc_id, a, s, unnest(range(length(s) - {c.window} + 1)) AS i FROM c{k} WHERE NOT ({whole})),
 h{k} AS (
   SELECT doc_id, a + i AS i FROM (
     SELECT doc_id, a, i, ch, count(*) AS n FROM (
@@ -268,7 +290,8 @@ h{k} AS (
   GROUP BY doc_id, a, i HAVING sum(({terms})[n + 1]) <= {c.most}),
 j{k} AS (SELECT doc_id, i, sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM (
   SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= {c.window} THEN 0 ELSE 1 END AS n FROM h{k}))""")
-        unions.append(f"SELECT doc_id, min(i) AS a, {3 + k} AS k, max(i) + {c.window} AS b, '{c.kind}' AS kind FROM j{k} GROUP BY doc_id, g")
+        unions.append(f"""SELECT doc_id, a, {3 + k} AS k, b, '{c.kind}' AS kind FROM (
+  SELECT doc_id, min(i) AS a, max(i) + {c.window} AS b FROM j{k} GROUP BY doc_id, g) JOIN t USING (doc_id) WHERE NOT ({says})""")
     places = ",\n".join([_sql_places("x0", ASSIGN), _sql_places("x1", f"AKIA[A-Z0-9]{{{LEAST['access'] - 4},}}"),
                          _sql_places("x2", f"[0-9a-f]{{{LEAST['hex']},}}"), *ctes])
     return f"""
@@ -287,4 +310,4 @@ FROM t LEFT JOIN b USING (doc_id) LEFT JOIN e USING (doc_id)
 """
 
 
-__all__ = ["redact_secrets", "CharClass", "CLASSES", "ALLOW", "secret_spans", "secret_scan", "op8_secret_scan", "oracle_sql"]
+__all__ = ["redact_secrets", "CharClass", "CLASSES", "ALLOW", "ALLOW_WHOLE", "secret_spans", "secret_scan", "op8_secret_scan", "oracle_sql"]

@@ -110,7 +110,7 @@ KINDS = {"assign": re.compile(r"((?:password|passwd|secret|token|api_?key))[\"']
          "access": re.compile(r"AKIA[A-Z0-9]+"), "hex": re.compile(r"[0-9a-f]+")}
 
 
-def secret_spans(text, classes, allow):
+def secret_spans(text, classes, allow, allow_whole):
     """(start, kind number, end, kind) of base and added spans."""
     import math
     text, base, more = text or "", [], []
@@ -120,7 +120,7 @@ def secret_spans(text, classes, allow):
                 base.append((m.start(), no, m.end(), kind))
     for no, c in enumerate(classes, 3):
         for m in re.finditer(c.pattern, text):
-            if any(re.search(p, m[0]) for p in allow):
+            if any(re.search(p, m[0]) for p in allow_whole):
                 continue
             spans = []
             for i in range(len(m[0]) - c.window + 1):
@@ -131,5 +131,5 @@ def secret_spans(text, classes, allow):
                         spans[-1][1] = b
                     else:
                         spans.append([a, b])
-            more += [(a, no, b, c.kind) for a, b in spans]
+            more += [(a, no, b, c.kind) for a, b in spans if not any(re.search(p, text[a:b]) for p in allow)]
     return sorted(base), sorted(base + more)

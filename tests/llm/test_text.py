@@ -154,7 +154,7 @@ def test_secret_scan_equals_brute_force(spark, documents):
     import hashlib
     added = 0
     for doc, text in rows + [(None, SECRETS[0])]:
-        base, every = brute.secret_spans(text, secrets.CLASSES, secrets.ALLOW)
+        base, every = brute.secret_spans(text, secrets.CLASSES, secrets.ALLOW, secrets.ALLOW_WHOLE)
         show = lambda x: ",".join(f"{kind}:{a}:{b}" for a, _, b, kind in x)
         assert got[doc].spans == show(every)
         assert got[doc].base_sha256 == hashlib.sha256(show(base).encode()).hexdigest()
@@ -163,12 +163,40 @@ def test_secret_scan_equals_brute_force(spark, documents):
     assert added > 10
 
 
+def test_secret_scan_of_long_candidates_and_many_matches(spark):
+    """Time in proportion to the length: 100,000 characters of one string, and 20,000 matches in one text."""
+    import time
+    rng = random.Random(8)
+    letters = secrets.LETTERS + "0123456789+/"
+    took = []
+    for n in (1000, 25_000, 100_000):
+        text = "".join(rng.choice(letters if k // 300 % 2 else "Qq0") for k in range(n))
+        texts = [text, "Q" * n, " ".join(["deadbeefdeadbeef"] * (n // 5))]
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        t0 = time.perf_counter()
+        got = {r.doc_id: r.spans for r in secrets.secret_scan(df).collect()}
+        took.append(time.perf_counter() - t0)
+        for k, t in enumerate(texts):
+            _, every = brute.secret_spans(t, secrets.CLASSES, secrets.ALLOW, secrets.ALLOW_WHOLE)
+            assert got[k] == ",".join(f"{kind}:{a}:{b}" for a, _, b, kind in every)
+    assert took[2] < 20 and took[2] < 6 * took[1] + 2
+
+
+def test_allowed_words_hide_nothing_else(spark):
+    """What a candidate says elsewhere does not hide a secret in it."""
+    token = "Zx9qQp2wLm7eRt4rYb8tHn3y"
+    rows = [(1, "example_" + "a" * 30 + token), (2, token + "a" * 25 + "0123456789"), (3, "thisisanexampleofalongword123"), (4, token)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secrets.secret_scan(df).collect()}
+    assert all("entropy_base64" in got[k] for k in (1, 2, 4)) and got[3] == ""
+
+
 def test_secrets_are_redacted(spark):
     rows = [(k, t, None if t is None else len(t)) for k, t in enumerate(SECRETS)]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_chars int")
     got = {r.doc_id: r for r in secrets.redact_secrets(df).collect()}
     for doc, text, _ in rows:
-        _, every = brute.secret_spans(text, secrets.CLASSES, secrets.ALLOW)
+        _, every = brute.secret_spans(text, secrets.CLASSES, secrets.ALLOW, secrets.ALLOW_WHOLE)
         want, last = "", 0
         merged = []
         for a, _, b, _ in every:
