@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from arrivals_star.llm.spans import U64, mix
-from arrivals_star.llm.tables import ROW_BITS, Tables, stored_in_order
+from arrivals_star.llm.tables import Tables
+from arrivals_star.operators.keys import ROW_BITS
 
 BINS = 1000
 BITS, HASHES, FILLED = 2048, 5, 160
@@ -82,7 +83,7 @@ def selected(buf: np.ndarray, offsets: np.ndarray, rank: np.ndarray, shape: Feat
     """Places of the selected features of the documents of a buffer, and the document of each."""
     none = np.zeros(0, np.int64)
     n, w, reach = len(buf), shape.window, shape.reach
-    if n < w:
+    if n < w + reach - 1:  # short texts only, which have other features
         return none, none
     keys = rank[entropy_bins(buf, w)] * n + np.arange(n - w + 1)  # the first of equals is the least
     size = np.diff(offsets)
@@ -283,8 +284,32 @@ def edited(text: str, after: str) -> str:
     return text[:len(text) - n] + after[:n]
 
 
-PROBE = ("doc_id long, at long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-         "near_edited double, near_next double, text binary")
+#: Rows between the two steps: fingerprints as bytes, the edited one as what differs from the other.
+PROBE = ("doc_id long, at long, n_chars long, edited_sha binary, counts string, bits binary, edited_counts string, "
+         "change binary, near_edited double, near_next double, text binary")
+OUT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, "
+       "near_next double")
+ARROW = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary(), "double": pa.float64()}
+
+
+def _batch(ddl: str, cols: list) -> pa.RecordBatch:
+    names, kinds = zip(*(x.split() for x in ddl.split(", ")))
+    return pa.RecordBatch.from_arrays([pa.array(c, ARROW[k]) for c, k in zip(cols, kinds)], names=names)
+
+
+def _split(fingerprint: str) -> tuple[str, bytes]:
+    counts, _, bits = fingerprint.partition(":")
+    return counts, bytes.fromhex(bits)
+
+
+def _join(counts: str, bits: bytes) -> str:
+    return f"{counts}:{bits.hex()}" if counts else ""
+
+
+def _differ(a: bytes, b: bytes) -> bytes:
+    """b, with the bytes that a has too exclusive-ored by them; twice gives b again."""
+    n = min(len(a), len(b))
+    return (np.frombuffer(a, np.uint8, n) ^ np.frombuffer(b, np.uint8, n)).tobytes() + b[n:]
 
 
 def _probe(ids: list, at: list, texts: list[bytes], after: list[bytes], prints: list[str], after_prints: list[str],
@@ -292,12 +317,21 @@ def _probe(ids: list, at: list, texts: list[bytes], after: list[bytes], prints:
     spoken = [t.decode("utf-8", "surrogateescape") for t in texts]
     changed = [edited(s, x.decode("utf-8", "surrogateescape")).encode("utf-8", "surrogateescape") for s, x in zip(spoken, after)]
     new = fingerprints(changed, rank, shape)
-    cols = [pa.array(ids, pa.int64()), pa.array(at, pa.int64()), pa.array([len(s) for s in spoken], pa.int64()),
-            pa.array([hashlib.sha256(c).hexdigest() for c in changed]), pa.array(prints, pa.string()), pa.array(new, pa.string()),
-            pa.array([likeness(a, b) for a, b in zip(prints, new)], pa.float64()),
-            pa.array([likeness(a, b) for a, b in zip(prints, after_prints)], pa.float64()),
-            pa.array([t if k else None for t, k in zip(texts, keep_text)], pa.binary())]
-    return pa.RecordBatch.from_arrays(cols, names=[x.split()[0] for x in PROBE.split(", ")])
+    mine, theirs = [_split(p) for p in prints], [_split(p) for p in new]
+    return _batch(PROBE, [ids, at, [len(s) for s in spoken], [hashlib.sha256(c).digest() for c in changed],
+                          [c for c, _ in mine], [x for _, x in mine], [c for c, _ in theirs],
+                          [_differ(x, y) for (_, x), (_, y) in zip(mine, theirs)],
+                          [likeness(a, b) for a, b in zip(prints, new)], [likeness(a, b) for a, b in zip(prints, after_prints)],
+                          [t if k else None for t, k in zip(texts, keep_text)]])
+
+
+def _spelled_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of PROBE as rows of OUT."""
+    for batch in batches:
+        c = {name: batch[name].to_pylist() for name in batch.schema.names}
+        yield _batch(OUT, [c["doc_id"], c["n_chars"], [x.hex() for x in c["edited_sha"]], list(map(_join, c["counts"], c["bits"])),
+                           [_join(n, _differ(x, y)) for n, x, y in zip(c["edited_counts"], c["bits"], c["change"])],
+                           c["near_edited"], c["near_next"]])
 
 
 def edit_probe(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shape: Features = Features(),
@@ -338,21 +372,20 @@ def edit_probe(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
                 a = b
         if held is not None:
             doc, at, text, mark = held
-            cols = [[doc], [at], [None], [None], [mark], [None], [None], [None], [text]]
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                             names=[x.split()[0] for x in PROBE.split(", ")])
+            counts, bits = _split(mark)
+            yield _batch(PROBE, [[x] for x in (doc, at, None, None, counts, bits, None, None, None, None, text)])
 
     tables = Tables(df.sparkSession)
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order[:2])
     ranged = ranged.withColumn("at", F.monotonically_increasing_id())
-    found = tables.store(ranged.mapInArrow(work, PROBE), "probe")
+    found = tables.store(ranged.mapInArrow(work, PROBE), "probe", compression="zstd")
 
     # the last row of each partition meets the first row of the next one; both frames have a row per partition
     edge = found.where("text IS NOT NULL").withColumn("pid", F.shiftright("at", ROW_BITS))
     lasts = edge.where("n_chars IS NULL")
     firsts = edge.where(F.col("at").bitwiseAND(F.lit((1 << ROW_BITS) - 1)) == 0).select(
-        F.col("pid").alias("next_pid"), F.col("text").alias("after"), F.col("fingerprint").alias("after_print"))
+        F.col("pid").alias("next_pid"), F.col("text").alias("after"), F.col("counts").alias("after_counts"),
+        F.col("bits").alias("after_bits"))
     pids = sorted(r["pid"] for r in lasts.select("pid").collect())
     follows = df.sparkSession.createDataFrame(
         [(p, pids[(i + 1) % len(pids)]) for i, p in enumerate(pids)], "pid long, next_pid long")
@@ -361,12 +394,12 @@ def edit_probe(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
         for batch in batches:
             if batch.num_rows:
                 c = {name: batch[name].to_pylist() for name in batch.schema.names}
-                yield _probe(c["doc_id"], c["at"], c["text"], c["after"], c["fingerprint"], c["after_print"], rank, shape,
-                             [False] * batch.num_rows)
+                yield _probe(c["doc_id"], c["at"], c["text"], c["after"], list(map(_join, c["counts"], c["bits"])),
+                             list(map(_join, c["after_counts"], c["after_bits"])), rank, shape, [False] * batch.num_rows)
 
     ends = lasts.join(F.broadcast(follows), "pid").join(firsts, "next_pid").select(
-        "doc_id", "at", "text", "after", "fingerprint", "after_print").mapInArrow(finish, PROBE)
-    return found.where("n_chars IS NOT NULL").unionByName(ends).drop("at", "text")
+        "doc_id", "at", "text", "after", "counts", "bits", "after_counts", "after_bits").mapInArrow(finish, PROBE)
+    return found.where("n_chars IS NOT NULL").unionByName(ends).drop("at", "text").mapInArrow(_spelled_out, OUT)
 
 
 def op13_fingerprints(spark, sf_dir: str) -> DataFrame:

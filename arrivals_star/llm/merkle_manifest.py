@@ -22,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from arrivals_star.llm.runs import arrow_rows
-from arrivals_star.llm.tables import ROW_BITS, Tables, place, stored_in_order
+from arrivals_star.llm.tables import Tables
+from arrivals_star.operators.keys import ROW_BITS, place, stored_in_order
 
 FAN = 16
 FAN_BITS = 4
@@ -181,14 +182,14 @@ def merkle_manifest(df: DataFrame, id_col: str = "doc_id", group_col: str = "sou
                      leaf.alias("leaf"), (claim if claimed else F.lit(None).cast("string")).alias("claim"))
     # written before the sort, so that its sampling does not hash every text again
     rows = tables.store(rows.withColumn("claim", F.expr("nullif(claim, leaf)")), "leaves")
-    rows, starts = stored_in_order(tables, rows, [F.col(c).asc_nulls_first() for c in ("group", "doc_id", "leaf")], "ordered")
+    rows, starts = stored_in_order(tables.store, rows, [F.col(c).asc_nulls_first() for c in ("group", "doc_id", "leaf")], "ordered")
     panel, pid = F.shiftright("at", PANEL_BITS).alias("panel"), F.shiftright("at", ROW_BITS)
     cut = rows.groupBy(panel, "group").agg(F.min("at").alias("at"), F.count(F.lit(1)).alias("n"))
     cut = cut.join(F.broadcast(starts), pid == F.col("pid")).select(  # one row per partition
         "panel", "group", "at", "n", place(F.col("at"), F.col("start")).alias("place"))
     cut = tables.store(cut, "cut")
     groups, group_starts = stored_in_order(
-        tables, cut.groupBy("group").agg(F.min("place").alias("opens"), F.sum("n").alias("width")),
+        tables.store, cut.groupBy("group").agg(F.min("place").alias("opens"), F.sum("n").alias("width")),
         [F.col("group").asc_nulls_first()], "groups")
     groups = groups.join(F.broadcast(group_starts), pid == F.col("pid")).select(
         F.col("group").alias("of"), "opens", "width", place(F.col("at"), F.col("start")).alias("tree"))

@@ -1,15 +1,13 @@
-"""Tables written to the shared folder and read back, and rows numbered in a global order."""
+"""Tables written to the shared folder and read back."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from arrivals_star.session import drop_scratch, scratch_path
 
 #: Spark deletes a finished query's shuffle files while this is set.
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-#: ``monotonically_increasing_id`` is (partition << ROW_BITS) + row.
-ROW_BITS = 33
 
 
 class Tables:
@@ -22,41 +20,24 @@ class Tables:
     def __init__(self, spark: SparkSession):
         self.spark, self.paths = spark, []
 
-    def store(self, df: DataFrame, name: str) -> DataFrame:
+    def store(self, df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
         path = scratch_path(self.spark, name)
         before = self.spark.conf.get(CLEAN_UP, None)
         self.spark.conf.set(CLEAN_UP, "true")
         try:
-            df.write.parquet(path)
+            df.write.parquet(path, compression=compression)
         finally:
             self.spark.conf.unset(CLEAN_UP) if before is None else self.spark.conf.set(CLEAN_UP, before)
         self.paths.append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop_before_last(self) -> None:
+        """Delete the table before the last one."""
+        drop_scratch(self.spark, self.paths.pop(-2))
+
     def drop(self, keep: int) -> None:
         """Delete all tables but the last ``keep``."""
         drop_scratch(self.spark, *self.paths[:-keep])
 
 
-def stored_in_order(tables: Tables, df: DataFrame, by: list[Column], name: str) -> tuple[DataFrame, DataFrame]:
-    """The rows written in ascending order with a column ``at``, and where each partition starts.
-
-    ``at`` is partition << ROW_BITS | row. The second frame, (pid, start), has one row per
-    partition: start + row is a row's place among all rows. Rows that ``by`` does not tell apart
-    are split between partitions by their place in the input, so no group of them is one task's.
-    """
-    keyed = df.withColumn("tie", F.monotonically_increasing_id())
-    order = [*by, F.col("tie").asc()]
-    ranged = keyed.repartitionByRange(*order).sortWithinPartitions(*order).drop("tie")
-    rows = tables.store(ranged.withColumn("at", F.monotonically_increasing_id()), name)
-    counts = rows.groupBy(F.shiftright("at", ROW_BITS).alias("pid")).agg(F.count(F.lit(1)).alias("n"))
-    # one row per partition, so the running sum over all of them is small
-    starts = counts.select("pid", (F.sum("n").over(Window.orderBy("pid")) - F.col("n")).alias("start"))
-    return rows, starts
-
-
-def place(at: Column, start: Column) -> Column:
-    return start + at.bitwiseAND(F.lit((1 << ROW_BITS) - 1))
-
-
-__all__ = ["Tables", "stored_in_order", "place", "ROW_BITS", "CLEAN_UP"]
+__all__ = ["Tables", "CLEAN_UP"]

@@ -27,6 +27,9 @@ from arrivals_star.llm.spans import U64, mix
 from arrivals_star.llm.tables import Tables
 
 CELL = 512
+LARGE = 1 << 26  # past it, squared distances may not fit 64 bits
+MOST = 1 << 40  # larger components count as this
+MOST_ERROR = (1 << 63) - 1
 SLOT_BITS = 14
 ROWS = 8192  # vectors that are evaluated at once
 SUMS = "part int, entry int, position int, total long, n long"
@@ -36,6 +39,8 @@ class CellTable:
     """Entries not dominated in each grid cell met so far, for one codebook (entries x width)."""
 
     def __init__(self, book: np.ndarray, cell: int):
+        if not 0 < cell <= LARGE:
+            raise ValueError(f"a cell's side is 1 to {LARGE}, not {cell}")
         self.book, self.cell = book, cell
         slots = 1 << SLOT_BITS
         self.cells = np.zeros((slots, book.shape[1]), np.int64)
@@ -79,6 +84,10 @@ class CellTable:
 
     def nearest(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Index of the nearest entry, lower ones first, and its squared distance."""
+        if max(np.abs(x).max(initial=0), np.abs(self.book).max(initial=0)) > LARGE:
+            far = ((x.astype(object)[:, None] - self.book) ** 2).sum(axis=2)  # Python's integers
+            code = far.argmin(axis=1).astype(np.int64)
+            return code, np.minimum(far[np.arange(len(x)), code], MOST_ERROR)
         part, entry = np.nonzero(self.candidates(x))
         far = ((x[part] - self.book[entry]) ** 2).sum(axis=1)
         opens = np.searchsorted(part, np.arange(len(x)))
@@ -97,7 +106,12 @@ def whole_vectors(col: pa.Array, dim: int, scale: int) -> tuple[np.ndarray, np.n
     starts = np.cumsum(size) - size
     bad = np.concatenate([[0], np.cumsum(~np.isfinite(flat))])
     keep = np.flatnonzero((lengths == dim) & (bad[starts + size] == bad[starts]))
-    return keep, np.floor(flat[starts[keep][:, None] + np.arange(dim)] * scale).astype(np.int64)
+    return keep, scaled(flat[starts[keep][:, None] + np.arange(dim)], scale)
+
+
+def scaled(x: np.ndarray, scale: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return np.clip(np.floor(x * scale), -MOST, MOST).astype(np.int64)
 
 
 def _blocks(v: np.ndarray) -> Iterator[np.ndarray]:
@@ -141,7 +155,8 @@ def part_codes(books: np.ndarray, scale: int, cell: int):
             for v in _blocks(whole):
                 found = [t.nearest(np.ascontiguousarray(v[:, p * width:(p + 1) * width])) for p, t in enumerate(tables)]
                 codes += ["".join(row) for row in digits[np.stack([c for c, _ in found], axis=1)]]
-                errors.append(np.sum([e for _, e in found], axis=0))
+                errors.append(np.minimum(np.sum([e.astype(object) for _, e in found], axis=0), MOST_ERROR).astype(np.int64)
+                              if any(e.dtype == object for _, e in found) else np.sum([e for _, e in found], axis=0))
             at = pa.array(keep)
             yield pa.RecordBatch.from_arrays(
                 [batch["id"].take(at), batch["label"].take(at), pa.array(codes, pa.string()),
@@ -157,17 +172,18 @@ def first_books(rows: DataFrame, parts: int, entries: int, scale: int) -> np.nda
     same = [r["v"] for r in seeds if len(r["v"]) == len(seeds[0]["v"])]
     if not same:
         return np.zeros((parts, 0, 0), np.int64)
-    m = np.floor(np.array(same, np.float64) * scale).astype(np.int64)
+    m = scaled(np.array(same, np.float64), scale)
     return np.ascontiguousarray(m.reshape(len(m), parts, -1).transpose(1, 0, 2))
 
 
 def train_books(rows: DataFrame, books: np.ndarray, rounds: int, scale: int, cell: int) -> np.ndarray:
     for _ in range(rounds):
         sums = (rows.mapInArrow(part_sums(books, scale, cell), SUMS).groupBy("part", "entry", "position")
-                .agg(F.sum("total").alias("total"), F.sum("n").alias("n")).collect())  # as many as the books have numbers
+                .agg(F.sum(F.col("total").cast("decimal(38,0)")).alias("total"), F.sum("n").alias("n"))
+                .collect())  # as many rows as the books have numbers
         books = books.copy()
         for r in sums:
-            books[r["part"], r["entry"], r["position"]] = r["total"] // r["n"]
+            books[r["part"], r["entry"], r["position"]] = int(r["total"]) // r["n"]
     return books
 
 
@@ -178,7 +194,9 @@ def vector_codes(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     Components become floor(scale * x). Codebooks start as the parts of the vectors with the
     ``entries`` (at most 256) smallest ids, null ids last, and rows of one id in the order of their
     vectors; with fewer vectors they are shorter. ``error`` is the squared distance to the coded vector and
-    ``label_error`` its sum over rows of equal label (null is a label); both must fit 64 bits.
+    ``label_error`` its sum over rows of equal label (null is a label). Scaled components past
+    2**40 either way count as that, an error past 64 bits as the largest number that fits, and
+    a sum past them is null.
 
     Rows whose vector is null or empty, holds a null or non-finite component, or has another
     length than that of the smallest id, take no part; lengths that ``parts`` does not divide never
@@ -195,7 +213,7 @@ def vector_codes(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
         coded = rows.where("false").select("id", "label", F.lit("").alias("code"), F.lit(0).cast("long").alias("error"))
     tables = Tables(df.sparkSession)
     coded = tables.store(coded, "codes")
-    labels = coded.groupBy(F.col("label").alias("of")).agg(F.sum("error").alias("label_error"))
+    labels = coded.groupBy(F.col("label").alias("of")).agg(F.try_sum("error").alias("label_error"))
     digest = hashlib.sha256(",".join(map(str, books.reshape(-1).tolist())).encode()).hexdigest()
     return coded.join(labels, F.col("label").eqNullSafe(F.col("of"))).select(
         F.col("id").alias("vec_id"), "label", "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
