@@ -256,6 +256,17 @@ def fit_scorer(rows: list, target: np.ndarray, steps: int = 400, rate: float = 1
     return weights, float(bias)
 
 
+def _smallest_hashes(docs: DataFrame, n: int) -> DataFrame:
+    """n rows with the smallest hashes of id and text: n at most, however many rows are equal."""
+    keyed = docs.withColumn("h", F.xxhash64("doc_id", "text"))
+    least = [r["h"] for r in keyed.select("h").orderBy("h").limit(n).collect()]
+    if len(least) < n:
+        return docs
+    under = sum(h < least[-1] for h in least)
+    # rows with the last hash are equal to each other, so it does not matter which of them are taken
+    return keyed.where(F.col("h") < least[-1]).unionByName(keyed.where(F.col("h") == least[-1]).limit(n - under)).drop("h")
+
+
 def quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5,
             sample: int = SAMPLE) -> DataFrame:
     """doc_id, weak_label, score, quality, kept of every document.
@@ -273,10 +284,7 @@ def quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", thres
              .groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).orderBy("pattern").collect())
     pattern, count = (np.array([r[k] for r in table], np.int64) for k in (0, 1))
     post = fit_weak_labels(pattern, count) if len(pattern) else np.zeros(0)
-    total = max(int(count.sum()), 1)
-    parts = 1 << 20
-    chosen = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)) < min(parts, -(-sample * parts // total)))
-    rows = chosen.select("text").mapInArrow(sample_batches, "pattern int, grams binary, weights binary").collect()
+    rows = _smallest_hashes(docs, sample).select("text").mapInArrow(sample_batches, "pattern int, grams binary, weights binary").collect()
     by_pattern = dict(zip(pattern.tolist(), post.tolist()))
     weights, bias = fit_scorer(rows, np.array([by_pattern[r["pattern"]] for r in rows]))
     scored = docs.mapInArrow(score_batches(weights, bias), "doc_id long, pattern int, margin double")

@@ -244,6 +244,18 @@ def test_quality_on_labelled_documents(spark):
     assert sum(good) / len(good) > 0.99 and sum(bad) / len(bad) < 0.1
 
 
+def test_quality_sample_is_bounded_when_rows_repeat(spark):
+    """A third of all rows are equal, without an id and a text; the sample still holds no more rows than told."""
+    df = spark.range(0, 900).selectExpr("CASE WHEN id % 3 > 0 THEN id END AS doc_id",
+                                        "CASE WHEN id % 3 > 0 THEN repeat(concat('some words ', id, ' '), 9) END AS text")
+    docs = df.selectExpr("doc_id", "coalesce(cast(text AS binary), X'') AS text")
+    for n in (1, 10, 400, 899, 900, 5000):
+        got = [tuple(r) for r in quality._smallest_hashes(docs, n).collect()]
+        assert len(got) == min(n, 900)
+        assert got.count((None, b"")) <= 300
+    assert len(quality.quality(df, sample=50).collect()) == 900
+
+
 def test_quality_of_odd_tables(odd, nothing):
     rows = quality.quality(odd).collect()
     assert len(rows) == odd.count() and all(0 <= r.quality <= 1 and r.kept is not None for r in rows)
