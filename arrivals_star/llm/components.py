@@ -1,19 +1,15 @@
 """Connected components of a link table, by alternating large and small stars.
 
 Links stay distributed: every round is two grouped minima joined back to the links, written to the
-shared checkpoint folder; only two numbers per round reach the driver.
+shared checkpoint folder, where a round's links replace those of the round before; only two numbers
+per round reach the driver.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from arrivals_star.session import checkpoint_root
-
-
-def _write(df: DataFrame) -> DataFrame:
-    checkpoint_root(df.sparkSession)  # a local session gets a folder; a cluster names its own
-    return df.checkpoint()
+from arrivals_star.llm.tables import Tables
 
 
 def _star(links: DataFrame, both: bool) -> DataFrame:
@@ -34,16 +30,19 @@ def _star(links: DataFrame, both: bool) -> DataFrame:
     return out.where("a > b").distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, tables: Tables | None = None) -> DataFrame:
     """(node, component) for every node of the links (a, b): the smallest node reachable.
 
     Directions, repeated links and links of a node with itself do not matter; null ends are
-    ignored; no links give an empty result.
+    ignored; no links give an empty result. The result reads the last of ``tables``.
     """
-    links = _write(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    tables = tables or Tables(links.sparkSession)
+    ordered = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    links = tables.store(ordered.distinct(), "links")
     seen = None
     while True:
-        links = _write(_star(_star(links, True), False))
+        links = tables.store(_star(_star(links, True), False), "links")
+        tables.drop_before_last()
         state = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == seen:
             break

@@ -14,12 +14,15 @@ the smallest hash of its bucket in 16 bits: its leading-zero count and its next
 3. In every band group each document is paired with the smallest one. Pairs whose
    collision-corrected Jaccard estimate lies six standard errors under the threshold go; the
    others are confirmed on their full sets of shingles. Links give components.
-4. A band group that still holds two components may hide a link not at its smallest document.
-   Components that meet in band groups form a cluster, and every document outside the largest
-   component of its cluster is compared with all documents of the cluster: first by estimate, then
-   on full sets. The work is dealt out in tiles of the cluster's documents, and a tile answers one
-   link per document and component, so neither the work of a task nor the links grow with the
-   square of a group. Components of all links are the result.
+4. A band group that still holds two components may hide a link not at its smallest document. In
+   such a group every document outside the group's largest component is compared with all
+   documents of other components. The work is dealt out in blocks of ``TILE`` such documents and
+   ``TILE`` documents of the group, so both sides of a task are bounded; a task holds ids and
+   sketches only. Pairs that it does not rule out go on to be confirmed on full sets. In a first
+   round a block gives only as many pairs, the likeliest first, as connect its components, so that
+   a group of copies gives links in proportion to its size; their components close most groups. A
+   second round gives all pairs of the components that are still apart. Components of all links
+   are the result.
 """
 
 from __future__ import annotations
@@ -28,12 +31,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from arrivals_star.llm import spans
 from arrivals_star.llm.components import components
-from arrivals_star.llm.runs import arrow_rows
-from arrivals_star.session import drop_scratch, scratch_path
+from arrivals_star.llm.tables import Tables
 
 U64 = np.uint64
 BUCKET_BITS, MANTISSA = 8, 10
@@ -41,7 +43,7 @@ BUCKETS = 1 << BUCKET_BITS
 MISSED = 1e-8  # chance, at most, that a pair at the threshold shares no band
 COMPARED = 128  # registers that an estimate compares
 PAIRS = 1 << 15  # (document, filled register) pairs that are looked up at once
-TILE = 256
+TILE = 1024  # documents of either side of a block
 SLICE = 1 << 21
 FOLD = np.arange(256)
 FOLD[65:91] += 32
@@ -255,58 +257,64 @@ def confirm(per_cent: int):
     return work
 
 
-def tile_links(per_cent: int):
-    """Links between a tile's asking documents and its members, one per asker and component."""
-    def work(key: tuple, table: pa.Table) -> pa.Table:
-        ask = np.array(table["asks"].to_pylist())
-        doc = np.array(table["doc_id"].to_pylist(), np.int64)
-        comp = np.array(table["component"].to_pylist(), np.int64)
-        size = np.array(table["n_shingles"].to_pylist(), float)
-        regs = _registers(table["registers"])
-        sets = table["shingles"]
-        members = np.flatnonzero(~ask)
-        low, links = per_cent / 100, []
-        for i in np.flatnonzero(ask):
-            jaccard, error = estimate(regs[members], regs[i], size[members], size[i], low)
-            fits = ((jaccard >= low - 6 * error) & (comp[members] != comp[i])
-                    & (np.minimum(size[members], size[i]) >= low * np.maximum(size[members], size[i])))
-            mine, linked = np.frombuffer(sets[int(i)].as_py(), U64), set()
-            for j in members[fits][np.argsort(-jaccard[fits], kind="stable")]:
-                if comp[j] not in linked and similar(mine, np.frombuffer(sets[int(j)].as_py(), U64), per_cent):
-                    linked.add(comp[j])
-                    links.append((int(doc[i]), int(doc[j])))
-        return arrow_rows(links, "a long, b long")
-    return work
-
-
-#: Spark deletes a finished query's shuffle files while this is set.
-CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+def block_pairs(per_cent: int, connect: bool):
+    """Pairs (a, b) of a block's asking documents and its members that may be similar.
 
+    Both ask: the pair is given by the block where a > b. With ``connect`` only pairs whose
+    estimate reaches the threshold count, the most similar first, and only while they join
+    components that the block's pairs before them have not joined.
+    """
+    low = per_cent / 100
 
-class Tables:
-    """Tables written to the shared folder and read back, so that nothing above them runs again.
+    def work(key: tuple, table: pa.Table) -> pa.Table:
+        asks, outside = (table[c].to_numpy() for c in ("asks", "outside"))
+        doc, comp = (table[c].to_numpy() for c in ("doc_id", "component"))
+        size = table["n_shingles"].to_numpy().astype(float)
+        regs = _registers(table["registers"].combine_chunks())
+        ask, members = np.flatnonzero(asks), np.flatnonzero(~asks)
+        order = np.argsort(size[members], kind="stable")
+        members = members[order]
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for i in ask:
+            # documents of too different sizes cannot be similar
+            lo, hi = np.searchsorted(size[members], [low * size[i] * (1 - 1e-9), size[i] / low * (1 + 1e-9)])
+            near = members[lo:hi]
+            near = near[(comp[near] != comp[i]) & (~outside[near] | (doc[near] < doc[i]))]
+            if not len(near):
+                continue
+            jaccard, error = estimate(regs[near], regs[i], size[near], size[i], low)
+            fits = jaccard >= (low if connect else low - 6 * error)
+            found.append((jaccard[fits], np.full(int(fits.sum()), i), near[fits]))
+        like, a, b = (np.concatenate(x) if found else np.zeros(0) for x in (list(zip(*found)) or [[], [], []]))
+        a, b = a.astype(np.int64), b.astype(np.int64)
+        if connect:
+            order = np.argsort(-like, kind="stable")
+            a, b = a[order], b[order]
+            keep = _joining(*(np.unique(comp, return_inverse=True)[1][x] for x in (a, b)))
+            a, b = a[keep], b[keep]
+        return pa.table([pa.array(doc[a]), pa.array(doc[b])], names=["a", "b"])
+    return work
 
-    A written table does not need the shuffle files of its plan any more: they go at once, so the
-    disk in use is that of one step and not the sum of all. ``drop`` deletes the tables.
-    """
 
-    def __init__(self, spark: SparkSession):
-        self.spark, self.paths = spark, []
+def _joining(u: np.ndarray, v: np.ndarray) -> list[int]:
+    """Places of the edges (u, v) that join what the edges before them have not joined."""
+    parent: dict[int, int] = {}
 
-    def store(self, df: DataFrame, name: str) -> DataFrame:
-        path = scratch_path(self.spark, name)
-        before = self.spark.conf.get(CLEAN_UP, None)
-        self.spark.conf.set(CLEAN_UP, "true")
-        try:
-            df.write.parquet(path)
-        finally:
-            self.spark.conf.unset(CLEAN_UP) if before is None else self.spark.conf.set(CLEAN_UP, before)
-        self.paths.append(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+    def root(x: int) -> int:
+        while parent.get(x, x) != x:
+            parent[x] = x = parent.get(parent[x], parent[x])
+        return x
 
-    def drop(self, keep: int) -> None:
-        """Delete all tables but the last ``keep``."""
-        drop_scratch(self.spark, *self.paths[:-keep])
+    keep, left = [], len(np.union1d(u, v)) - 1
+    for k, (x, y) in enumerate(zip(u.tolist(), v.tolist())):
+        x, y = root(x), root(y)
+        if x != y:
+            parent[x] = y
+            keep.append(k)
+            left -= 1
+            if not left:
+                break
+    return keep
 
 
 def near_dup_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3,
@@ -331,7 +339,7 @@ def near_dup_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "
                      .agg(F.min("doc_id").alias("doc_id"), F.first("registers").alias("registers"))
                      .select("doc_id", "n_shingles", "registers"), "classes")
 
-    rows = firsts.mapInArrow(bands(per_cent), BAND)
+    rows = tables.store(firsts.mapInArrow(bands(per_cent), BAND), "all-bands")
     shared = rows.groupBy("key").agg(F.min("doc_id").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
     met = tables.store(rows.join(shared.select("key", "hub"), "key"), "bands")
     pairs = met.where("doc_id <> hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
@@ -350,16 +358,22 @@ def near_dup_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "
         texts = picked.join(ids.hint("merge"), "doc_id", "left_semi").mapInArrow(full_sets(width), SETS)
         return texts.groupBy("doc_id").agg(F.max("shingles").alias("shingles"))
 
-    ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = tables.store(sets_of(ends), "sets")
-    links = tables.store(pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a")
-                    .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")), "b")
-                    .mapInArrow(confirm(per_cent), "a long, b long"), "links")
-    component = components(links)
-
-    more = _hidden_links(tables, met, component, firsts, sets_of, per_cent)
-    if more is not None:
-        component = components(links.unionByName(more))
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+        sets = tables.store(sets_of(ends), "sets")
+        links = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a")
+                 .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")), "b")
+                 .mapInArrow(confirm(per_cent), "a long, b long"))
+        return tables.store(links, "links")
+
+    links, tried = confirmed(pairs), pairs
+    component = components(links, tables)
+    for connect in (True, False):
+        more = _hidden_pairs(tables, met, component, firsts, tried, per_cent, connect)
+        if more is None:
+            break
+        links, tried = links.unionByName(confirmed(more)), tried.unionByName(more)
+        component = components(links, tables)
 
     label = component.withColumnRenamed("node", "first")
     result = (sketches.join(classes, ["set_hash", "n_shingles"], "left").join(label, "first", "left")
@@ -370,35 +384,38 @@ def near_dup_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     return result
 
 
-def _hidden_links(tables: Tables, met: DataFrame, component: DataFrame, firsts: DataFrame, sets_of, per_cent: int) -> DataFrame | None:
-    """Links between components that meet in a band group; None where no two do."""
+def _hidden_pairs(tables: Tables, met: DataFrame, component: DataFrame, firsts: DataFrame, tried: DataFrame,
+                  per_cent: int, connect: bool) -> DataFrame | None:
+    """Pairs, not tried before, of documents in one band group but not in one component; None without such groups."""
     label = component.select(F.col("node").alias("doc_id"), "component")
     own = tables.store(met.join(label, "doc_id", "left")
-                  .select("key", "doc_id", F.coalesce("component", "doc_id").alias("component")), "labels")
-    open_groups = (own.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-                   .where("low < high").select("key", "low"))
-    meets = (own.join(open_groups, "key").where("component > low")
-             .select(F.col("component").alias("a"), F.col("low").alias("b")).distinct())
-    clusters = tables.store(components(meets).select(F.col("node").alias("component"), F.col("component").alias("cluster")),
-                       "clusters")
-    if clusters.isEmpty():
+                       .select("key", "doc_id", F.coalesce("component", "doc_id").alias("component")), "labels")
+    mark = lambda seed: F.sum(F.xxhash64(F.lit(seed), "doc_id").cast("decimal(38,0)"))
+    groups = (own.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"),
+                                     F.count(F.lit(1)).alias("total"), mark(1).alias("m1"), mark(2).alias("m2"))
+              .where("low < high"))
+    # bands of the same documents give the same pairs
+    groups = groups.groupBy("total", "m1", "m2").agg(F.min("key").alias("key")).select("key", "total")
+    members = tables.store(own.join(groups, "key"), "open")
+    if members.isEmpty():
         return None
-    docs = tables.store(firsts.join(label, "doc_id", "left")
-                   .select("doc_id", "n_shingles", F.substring("registers", 1, 2 * COMPARED).alias("registers"),
-                           F.coalesce("component", "doc_id").alias("component"))
-                   .join(clusters, "component"), "open")
-    sizes = docs.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.groupBy("cluster").agg(F.max_by("component", F.struct("n", "component")).alias("largest"),
-                                           F.sum("n").alias("total"))
-    docs = (docs.join(largest, "cluster").join(sets_of(docs.select("doc_id")), "doc_id")
-            .withColumn("tiles", F.ceil(F.col("total") / F.lit(TILE)).cast("int")))
-    members = docs.select("cluster", F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int").alias("tile"),
-                          F.lit(False).alias("asks"), "doc_id", "component", "n_shingles", "registers", "shingles")
-    askers = docs.where("component <> largest").select(
-        "cluster", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"),
-        F.lit(True).alias("asks"), "doc_id", "component", "n_shingles", "registers", "shingles")
-    return tables.store(members.unionByName(askers).groupBy("cluster", "tile")
-                   .applyInArrow(tile_links(per_cent), "a long, b long"), "hidden")
+    largest = (members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+               .groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.max("n").alias("most")))
+    blocks = lambda n: F.ceil(n / F.lit(TILE)).cast("int")
+    docs = members.join(largest, "key").select(
+        "key", "doc_id", "component", (F.col("component") != F.col("largest")).alias("outside"),
+        blocks(F.col("total")).alias("n_with"), blocks(F.col("total") - F.col("most")).alias("n_ask"))
+    docs = docs.join(firsts.select("doc_id", "n_shingles", F.substring("registers", 1, 2 * COMPARED).alias("registers")), "doc_id")
+    docs = tables.store(docs, "open-sketches")
+    at = lambda n: F.pmod(F.xxhash64("doc_id"), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    cols = ["doc_id", "component", "outside", "n_shingles", "registers"]
+    sides = (docs.select("key", every("n_ask").alias("ask"), at(F.col("n_with")).alias("with"), F.lit(False).alias("asks"), *cols)
+             .unionByName(docs.where("outside").select("key", at(F.col("n_ask")).alias("ask"), every("n_with").alias("with"),
+                                                       F.lit(True).alias("asks"), *cols)))
+    pairs = sides.groupBy("key", "ask", "with").applyInArrow(block_pairs(per_cent, connect), "a long, b long").distinct()
+    once = tried.select("a", "b").unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    return tables.store(pairs.join(once, ["a", "b"], "left_anti"), "hidden")
 
 
 def op5_minhash_dedup(spark, sf_dir: str) -> DataFrame:
