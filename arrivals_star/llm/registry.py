@@ -12,7 +12,7 @@ from arrivals_star.llm.quality import op1_quality
 from arrivals_star.llm.secrets import op8_secret_scan, oracle_sql as op8_sql
 from arrivals_star.llm.sentence_pieces import op4_sentencepiece
 from arrivals_star.llm.substring_dedup import OP3_SQL, op3_substring_dedup
-from arrivals_star.llm.suffix_dedup import op2_suffix_dedup
+from arrivals_star.llm.suffix_dedup import OP2_SQL, op2_suffix_dedup
 from arrivals_star.llm.url_filter import op10_url_filter
 from arrivals_star.llm.vector_codes import op12_vector_codes, oracle_sql as op12_sql
 from arrivals_star.llm.vector_topk import OP7_SQL, op7_exact_topk
@@ -35,6 +35,7 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_suffix_dedup": OP2_SQL,
     "op3_substring_dedup": OP3_SQL,
     "op5_minhash_dedup": OP5_SQL,
     "op7_exact_topk": OP7_SQL,

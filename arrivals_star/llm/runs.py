@@ -24,8 +24,8 @@ def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def documents_in_runs(df: DataFrame, id_col: str, text_col: str, run_bytes: int = RUN_BYTES) -> tuple[DataFrame, int]:
-    """(run, doc_id, text as bytes) and the number of runs.
+def documents_in_runs(df: DataFrame, id_col: str, text_col: str, run_bytes: int = RUN_BYTES) -> tuple[DataFrame, int, int]:
+    """(run, doc_id, text as bytes), the number of runs and the bytes of all texts.
 
     Null text counts as empty. At least one run per shuffle partition, and as many as hold
     ``run_bytes`` each. Rows with a null id keep it and go to one of the runs by their text.
@@ -36,7 +36,7 @@ def documents_in_runs(df: DataFrame, id_col: str, text_col: str, run_bytes: int
     n = max(shuffle_partitions(df), -(-size // run_bytes))
     key = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
     run = F.pmod(key, F.lit(n)).cast("int")
-    return picked.select(run.alias("run"), "doc_id", "text"), n
+    return picked.select(run.alias("run"), "doc_id", "text"), n, size
 
 
 ARROW = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary(),

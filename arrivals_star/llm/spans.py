@@ -146,10 +146,17 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 def covered(starts: np.ndarray, width: int, n: int) -> np.ndarray:
     """Mask of the positions 0..n-1 that lie in [start, start + width) of any start."""
-    step = np.zeros(n + 1, np.int32)
-    np.add.at(step, starts, 1)
-    np.add.at(step, np.minimum(starts + width, n), -1)
-    return np.cumsum(step[:-1]) > 0
+    mark = np.zeros(n, bool)
+    mark[starts] = True
+    return covered_from(mark, width)
+
+
+def covered_from(mark: np.ndarray, width: int) -> np.ndarray:
+    """Mask of the positions that a marked one is at or less than ``width`` before."""
+    seen = np.cumsum(mark, dtype=np.int32)
+    out = seen > 0
+    out[width:] = seen[width:] > seen[:-width]
+    return out
 
 
 def pack(a: np.ndarray) -> bytes:

@@ -2,16 +2,19 @@
 
 Count-min prefilter, then an exact pass over what it lets through:
 
-1. each run of documents sketches its windows: two rows of cells, each cell counted 0, 1 or many,
-   stored as the sorted cells that are not 0;
-2. the sketches are merged cell range by cell range, and each run learns which of its cells hold
-   more than one window. A window is *estimated repeated* when both its cells do: counts are only
-   ever overestimated, so no repeated window is lost;
+1. the sketch is two rows of counters, cut into one array per bucket. Each run of documents counts
+   its windows and sends each array's counters that are not 0 (0, 1 or many is all that matters);
+2. an array adds up what the runs send, and each run learns which of its counters hold more than
+   one window. A window is *estimated repeated* when both its counters do: counts are only ever
+   overestimated, so no repeated window is lost;
 3. only these windows are exchanged and grouped exactly, by a 128-bit identity, and each run
    learns which of its earliest copies have an earlier one in another run.
 
-The cell space grows with the number of buckets, hence with the data: the false-positive rate
-stays the same at every size.
+All arrays together have ``CELLS_PER_BYTE`` counters a byte of input or more (a power of two per
+array), which is six a word of usual length: a window that does not repeat shares its counter of a
+row with another one in about 15 % of cases, and is let through in about 2 %. An array has at
+most ``MOST_CELLS`` counters of one byte; with more input per bucket more windows are let
+through, and none is lost.
 """
 
 from __future__ import annotations
@@ -23,10 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from arrivals_star.llm import spans
-from arrivals_star.llm.runs import MAX_ID, arrow_rows, documents_in_runs, shuffle_partitions
+from arrivals_star.llm.runs import MAX_ID, RUN_BYTES, arrow_rows, documents_in_runs, shuffle_partitions
 
 U64 = np.uint64
 ROWS = 2
+CELLS_PER_BYTE = 1.0
+MOST_CELLS = 1 << 26
 SKETCH = "kind int, part int, bucket int, run int, n long, cells binary, many binary"
 KEYS = "bucket int, run int, n long, h1 binary, h2 binary, doc binary"
 REPLY = "run int, kind int, part int, bucket int, n long, mask binary"
@@ -36,13 +41,13 @@ OUT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 class RunWindows:
     """Windows of one run: documents in id order, words, and a 128-bit identity per window."""
 
-    def __init__(self, table: pa.Table, width: int, n_buckets: int):
+    def __init__(self, table: pa.Table, width: int, n_buckets: int, n_cells: int):
         ids = table["doc_id"].combine_chunks()
         self.doc_id = ids.to_pylist()
         rank = ids.fill_null(MAX_ID).to_numpy(zero_copy_only=False).astype(np.int64)
         self.buf, self.offsets = spans.run_buffer(table["text"])
         self.starts, self.ends, self.doc = spans.words(self.buf, self.offsets)
-        self.width, self.n_buckets = width, n_buckets
+        self.width, self.n_buckets, self.n_cells = width, n_buckets, n_cells
         self.id_of_doc = rank
         n = len(self.starts) - width + 1
         at = np.flatnonzero(self.doc[:max(n, 0)] == self.doc[width - 1:]) if n > 0 else np.zeros(0, np.int64)
@@ -59,9 +64,9 @@ class RunWindows:
             self.h.append(spans.mix(acc[at]))
 
     def cells(self, row: int) -> tuple[np.ndarray, np.ndarray]:
-        """Bucket (high half of the hash) and 32-bit cell (low half) of each window."""
+        """Bucket (high half of the hash) and counter (low bits) of each window."""
         h = self.h[row]
-        return ((h >> U64(32)) % U64(self.n_buckets)).astype(np.int64), (h & U64(0xFFFFFFFF)).astype(np.uint32)
+        return ((h >> U64(32)) % U64(self.n_buckets)).astype(np.int64), (h & U64(self.n_cells - 1)).astype(np.uint32)
 
     def sketch(self, row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The run's cells of one row in (bucket, cell) order, whether each holds many, bucket bounds."""
@@ -109,10 +114,16 @@ def _replies(table: pa.Table) -> dict:
     return {(k, p, b): (n, m) for k, p, b, n, m in zip(*cols)}
 
 
-def sketch_run(width: int, n_buckets: int):
+def cells_of_a_bucket(size: int, n_buckets: int) -> int:
+    """Counters of one array: a power of two, from the bytes of all texts."""
+    wanted = max(int(size * CELLS_PER_BYTE / n_buckets), 1 << 10)
+    return min(1 << (wanted - 1).bit_length(), MOST_CELLS)
+
+
+def sketch_run(width: int, n_buckets: int, n_cells: int):
     def work(key: tuple, table: pa.Table) -> pa.Table:
         run, rows = key[0].as_py(), []
-        x = RunWindows(table, width, n_buckets)
+        x = RunWindows(table, width, n_buckets, n_cells)
         for row in range(ROWS):
             cell, many, bound = x.sketch(row)
             low = (cell & U64(0xFFFFFFFF)).astype(np.uint32)
@@ -124,25 +135,23 @@ def sketch_run(width: int, n_buckets: int):
     return work
 
 
-def merge_sketches(key: tuple, table: pa.Table) -> pa.Table:
-    """Add up one range of cells over all runs; answer each run with its cells that hold many."""
-    kind, part, bucket = (k.as_py() for k in key)
-    runs, ns = table["run"].to_pylist(), table["n"].to_pylist()
-    cells = np.concatenate([spans.unpack_sorted(c, n, np.uint32) for c, n in zip(table["cells"].to_pylist(), ns)])
-    many = np.concatenate([spans.unpack_bits(c, n) for c, n in zip(table["many"].to_pylist(), ns)])
-    order = np.sort(cells)
-    twice = order[1:][order[1:] == order[:-1]]
-    hot = np.unique(np.concatenate([twice, cells[many]]))
-    found = np.searchsorted(hot, cells)
-    mask = (found < len(hot)) & (hot[np.minimum(found, len(hot) - 1)] == cells) if len(hot) else np.zeros(len(cells), bool)
-    bounds = np.concatenate([[0], np.cumsum(ns)])
-    return arrow_rows([(r, kind, part, bucket, n, spans.pack_bits(mask[i:i + n])) for r, n, i in zip(runs, ns, bounds)], REPLY)
+def merge_sketches(n_cells: int):
+    """Add up one array of counters over all runs; answer each run with its counters that hold many."""
+    def work(key: tuple, table: pa.Table) -> pa.Table:
+        kind, part, bucket = (k.as_py() for k in key)
+        runs, ns = table["run"].to_pylist(), table["n"].to_pylist()
+        counters = np.zeros(n_cells, np.uint8)  # up to 2, which means many
+        cells = [spans.unpack_sorted(c, n, np.uint32) for c, n in zip(table["cells"].to_pylist(), ns)]
+        for mine, blob in zip(cells, table["many"].to_pylist()):
+            counters[mine] = np.minimum(counters[mine] + 1 + spans.unpack_bits(blob, len(mine)), 2)
+        return arrow_rows([(r, kind, part, bucket, len(mine), spans.pack_bits(counters[mine] > 1)) for r, mine in zip(runs, cells)], REPLY)
+    return work
 
 
-def exchange_keys(width: int, n_buckets: int):
+def exchange_keys(width: int, n_buckets: int, n_cells: int):
     def work(key: tuple, docs: pa.Table, replies: pa.Table) -> pa.Table:
         run, rows = key[0].as_py(), []
-        _, new, h1, h2, bucket, doc_id = RunWindows(docs, width, n_buckets).candidates(_replies(replies))
+        _, new, h1, h2, bucket, doc_id = RunWindows(docs, width, n_buckets, n_cells).candidates(_replies(replies))
         h1, h2, bucket, doc_id = h1[new], h2[new], bucket[new], doc_id[new]
         bound = spans.split_points(bucket, n_buckets)
         for b in range(n_buckets):
@@ -169,9 +178,9 @@ def group_keys(key: tuple, table: pa.Table) -> pa.Table:
     return arrow_rows([(r, 1, 0, bucket, n, spans.pack_bits(earlier[i:i + n])) for r, n, i in zip(runs, ns, bounds)], REPLY)
 
 
-def remove_words(width: int, n_buckets: int):
+def remove_words(width: int, n_buckets: int, n_cells: int):
     def work(key: tuple, docs: pa.Table, replies: pa.Table) -> pa.Table:
-        x, got = RunWindows(docs, width, n_buckets), _replies(replies)
+        x, got = RunWindows(docs, width, n_buckets, n_cells), _replies(replies)
         w, new, h1, _, bucket, doc_id = x.candidates(got)
         elsewhere = np.zeros(int(new.sum()), bool)
         bound = spans.split_points(bucket[new], n_buckets)
@@ -201,7 +210,7 @@ def remove_words(width: int, n_buckets: int):
 
 
 def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 20,
-                    n_buckets: int | None = None) -> DataFrame:
+                    n_buckets: int | None = None, run_bytes: int = RUN_BYTES) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every document.
 
     Words are runs of characters other than the six ASCII blanks. A window is ``width`` words in a
@@ -209,16 +218,21 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     a smaller id or before it in the same row. Null and empty texts have no words. Rows with equal
     ids are not earlier than each other; rows with a null id come after all others. Texts shorter
     than a window keep every word. Other columns are ignored; an empty table gives an empty result.
+
+    Equal windows are told by 128 bits of hash. Runs hold about ``run_bytes`` each and exchange one
+    row with each of ``n_buckets`` buckets; raise both with the input so that runs times buckets
+    stays in proportion to it (see the README).
     """
     n_buckets = n_buckets or shuffle_partitions(df)
-    docs, _ = documents_in_runs(df, id_col, text_col)
-    sketches = docs.groupBy("run").applyInArrow(sketch_run(width, n_buckets), SKETCH)
-    counts = sketches.groupBy("kind", "part", "bucket").applyInArrow(merge_sketches, REPLY)
+    docs, _, size = documents_in_runs(df, id_col, text_col, run_bytes)
+    n_cells = cells_of_a_bucket(size, n_buckets)
+    sketches = docs.groupBy("run").applyInArrow(sketch_run(width, n_buckets, n_cells), SKETCH)
+    counts = sketches.groupBy("kind", "part", "bucket").applyInArrow(merge_sketches(n_cells), REPLY)
     keys = (docs.groupBy("run").cogroup(counts.groupBy("run"))
-            .applyInArrow(exchange_keys(width, n_buckets), KEYS))
+            .applyInArrow(exchange_keys(width, n_buckets, n_cells), KEYS))
     groups = keys.groupBy("bucket").applyInArrow(group_keys, REPLY)
     return (docs.groupBy("run").cogroup(counts.unionByName(groups).groupBy("run"))
-            .applyInArrow(remove_words(width, n_buckets), OUT)
+            .applyInArrow(remove_words(width, n_buckets, n_cells), OUT)
             .select("doc_id", "n_words", "n_removed", "kept_sha256"))
 
 

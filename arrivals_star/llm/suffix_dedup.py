@@ -26,11 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from arrivals_star.llm import spans
-from arrivals_star.llm.runs import MAX_ID, arrow_rows, documents_in_runs, shuffle_partitions
+from arrivals_star.llm.runs import MAX_ID, RUN_BYTES, arrow_rows, documents_in_runs, shuffle_partitions
 
 U64 = np.uint64
 GRAM = 16
 PRINT = 32  # bytes of a fingerprinted string
+ROWS = 1 << 13  # suffixes whose windows are marked at once
 PAD = 0xFF  # stands for "outside the document"; UTF-8 has no such byte
 PRINTS = "bucket int, run int, n long, prints binary, many binary"
 KEYS = "bucket int, run int, n long, shared binary, tail binary, n_tail long, doc binary"
@@ -398,13 +399,14 @@ def remove_bytes(width: int, n_buckets: int):
         group = np.cumsum(new) - 1
         doc = x.doc[a]
         own = x.id_of_doc[doc] > first_doc[group]
-        step = np.zeros(x.n + 1, np.int32)
-        for m in range(splits):
-            hit = (own | elsewhere[group, m]) & (x.left[a] >= m) & (x.right[a] >= width - m)
-            start = x.at[a[hit]] - m
-            np.add.at(step, start, 1)
-            np.add.at(step, start + width, -1)
-        gone = np.cumsum(step[:-1]) > 0
+        mark, m = np.zeros(x.n, bool), np.arange(splits)  # starts of windows that go
+        for b in range(0, len(a), ROWS):
+            part = a[b:b + ROWS]
+            hit = own[b:b + ROWS, None] | elsewhere[group[b:b + ROWS]]
+            hit &= (x.left[part, None] >= m) & (x.right[part, None] >= width - m)
+            row, split = np.nonzero(hit)
+            mark[x.at[part[row]] - split] = True
+        gone = spans.covered_from(mark, width)
         rows, text = [], x.buf[x.lead:x.lead + x.n]
         for d, doc_id in enumerate(x.doc_id):
             i, j = x.offsets[d], x.offsets[d + 1]
@@ -416,7 +418,7 @@ def remove_bytes(width: int, n_buckets: int):
 
 
 def suffix_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 50,
-                 n_buckets: int | None = None) -> DataFrame:
+                 n_buckets: int | None = None, run_bytes: int = RUN_BYTES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document.
 
     A byte goes when a ``width``-byte string over it also starts in a document with a smaller id;
@@ -428,7 +430,7 @@ def suffix_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if width < GRAM + PRINT:
         raise ValueError(f"width must be at least {GRAM + PRINT}")
     n_buckets = n_buckets or shuffle_partitions(df)
-    docs, _ = documents_in_runs(df, id_col, text_col)
+    docs, _, _ = documents_in_runs(df, id_col, text_col, run_bytes)
     prints = docs.groupBy("run").applyInArrow(send_prints(width, n_buckets), PRINTS)
     repeated = prints.groupBy("bucket").applyInArrow(match_prints, REPLY)
     keys = (docs.groupBy("run").cogroup(repeated.groupBy("run"))
@@ -442,4 +444,26 @@ def op2_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     return suffix_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
-__all__ = ["suffix_dedup", "op2_suffix_dedup"]
+#: DuckDB twin: every window as a row, and the covered bytes as merged runs of windows.
+OP2_SQL = """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS x FROM documents),
+w AS (SELECT doc_id, i, x[i + 1:i + 50] AS k
+      FROM (SELECT doc_id, x, unnest(range(octet_length(x) - 49)) AS i FROM d WHERE octet_length(x) >= 50)),
+r AS (SELECT k, min(doc_id) AS first FROM w GROUP BY k HAVING min(doc_id) < max(doc_id)),
+f AS (SELECT doc_id, i FROM w JOIN r USING (k) WHERE first < doc_id),
+n AS (SELECT doc_id, i, sum(gap) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM (
+  SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 50 THEN 0 ELSE 1 END AS gap FROM f)),
+s AS (SELECT doc_id, run, min(i) AS a, max(i) + 50 AS b FROM n GROUP BY doc_id, run),
+kept AS (
+  SELECT doc_id, a, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS since, b,
+         lead(a) OVER (PARTITION BY doc_id ORDER BY a) IS NULL AS last FROM s),
+p AS (
+  SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed,
+         string_agg(hex(x[since + 1:a]) || CASE WHEN last THEN hex(x[b + 1:octet_length(x)]) ELSE '' END, '' ORDER BY a) AS rest
+  FROM kept JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(octet_length(x) AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(CASE WHEN rest IS NULL THEN x ELSE unhex(rest) END) AS kept_sha256
+FROM d LEFT JOIN p USING (doc_id)
+"""
+
+__all__ = ["suffix_dedup", "op2_suffix_dedup", "OP2_SQL"]
