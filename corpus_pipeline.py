@@ -21,7 +21,7 @@ from arrivals_star.llm.quality import quality
 from arrivals_star.llm.secrets import redact_secrets
 from arrivals_star.session import scratch_path
 
-ROW, ODD = "__row", "__odd"
+ROW, ODD, ID, GONE = "__row", "__odd", "__id", "__gone"
 FIRST_ODD = 1 << 62  # numbers from here on stand for rows whose id does not name them
 
 
@@ -33,22 +33,22 @@ def _numbered(docs: DataFrame) -> DataFrame:
     """
     spark, row_id = docs.sparkSession, F.col("doc_id").cast("long")
     path = scratch_path(spark, "odd-ids")
-    ids = docs.select(row_id.alias("id")).where("id IS NOT NULL").groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-    ids.where((F.col("n") > 1) | (F.col("id") >= FIRST_ODD)).select("id").write.parquet(path)
-    odd_ids = spark.read.schema("id long").parquet(path)
+    ids = docs.select(row_id.alias(ID)).where(F.col(ID).isNotNull()).groupBy(ID).agg(F.count(F.lit(1)).alias("n"))
+    ids.where((F.col("n") > 1) | (F.col(ID) >= FIRST_ODD)).select(ID).write.parquet(path)
+    odd_ids = spark.read.schema(f"{ID} long").parquet(path)
     odd = row_id.isNull()
     if odd_ids.isEmpty():  # the usual case: no join
         told = docs.withColumn(ODD, odd)
     else:
-        told = docs.join(odd_ids, row_id == F.col("id"), "left").withColumn(ODD, odd | F.col("id").isNotNull()).drop(F.col("id"))
+        told = docs.join(odd_ids, row_id == F.col(ID), "left").withColumn(ODD, odd | F.col(ID).isNotNull()).drop(ID)
     by_text = F.xxhash64("doc_id", "text").bitwiseAND(F.lit(FIRST_ODD - 1)).bitwiseOR(F.lit(FIRST_ODD))
     return told.withColumn(ROW, F.when(F.col(ODD), by_text).otherwise(row_id))
 
 
 def _without(numbered: DataFrame, decisions: DataFrame) -> DataFrame:
     """The rows whose number is not marked to go."""
-    gone = decisions.where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
-    return numbered.join(gone, F.col(ROW) == F.col("gone"), "left_anti")
+    gone = decisions.where(~F.col("kept")).select(F.col("doc_id").alias(GONE)).distinct()
+    return numbered.join(gone, F.col(ROW) == F.col(GONE), "left_anti")
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
