@@ -8,6 +8,7 @@ import pytest
 
 from arrivals_star.llm import exact_dedup as exact, minhash_dedup as minhash
 from arrivals_star.llm.components import components
+from arrivals_star.llm import substring_dedup as substring
 from arrivals_star.llm.substring_dedup import substring_dedup
 from arrivals_star.llm.suffix_dedup import front_code, front_decode, merge_runs, suffix_dedup
 
@@ -52,6 +53,39 @@ def test_one_more_bucket_or_partition_changes_nothing(spark, odd):
         same(substring_dedup(odd, n_buckets=n).collect(), brute.substring_dedup(brute.rows_of(odd, "doc_id", "text")))
 
 
+def test_count_min_lets_few_windows_through_and_loses_none():
+    """Counters are added up over runs; windows that do not repeat are let through at the stated rate."""
+    import numpy as np
+    import pyarrow as pa
+    rng = random.Random(12)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(4000)]
+    passage = " ".join(rng.choice(words) for _ in range(60))
+    runs = []
+    for r in range(6):
+        texts = [" ".join(rng.choice(words) for _ in range(1500)) + (" " + passage if d == 3 else "") for d in range(8)]
+        runs.append(pa.table([pa.array(range(r * 8, r * 8 + 8)), pa.array([t.encode() for t in texts])], names=["doc_id", "text"]))
+    size = sum(len(t) for run in runs for t in run["text"].to_pylist())
+    n_buckets = 5
+    n_cells = substring.cells_of_a_bucket(size, n_buckets)
+    assert n_cells * n_buckets >= size and n_cells & (n_cells - 1) == 0
+    sent = pa.concat_tables([substring.sketch_run(20, n_buckets, n_cells)((pa.scalar(r),), t) for r, t in enumerate(runs)])
+    replies = {r: {} for r in range(len(runs))}
+    for part in range(substring.ROWS):
+        for b in range(n_buckets):
+            mine = sent.filter(pa.array([p == part and x == b for p, x in zip(sent["part"].to_pylist(), sent["bucket"].to_pylist())]))
+            for row in substring.merge_sketches(n_cells)((pa.scalar(0), pa.scalar(part), pa.scalar(b)), mine).to_pylist():
+                replies[row["run"]][0, part, b] = row["n"], row["mask"]
+    through = total = repeated = 0
+    for r, t in enumerate(runs):
+        x = substring.RunWindows(t, 20, n_buckets, n_cells)
+        got = set(x.at[x.estimated_repeated(replies[r])].tolist())
+        doc3 = np.flatnonzero(x.doc == 3)
+        inside = set(range(int(doc3[-1]) - 59, int(doc3[-1]) - 18))  # the passage's windows
+        assert inside <= got
+        through, total, repeated = through + len(got), total + len(x.at), repeated + len(inside)
+    assert (through - repeated) / (total - repeated) < 0.04
+
+
 def test_windows_that_almost_repeat(spark):
     """Strings of 49 equal bytes stay; of 50 go; runs that touch are one span."""
     a = "".join(chr(97 + i * 7 % 26) for i in range(200))
@@ -138,6 +172,44 @@ def test_the_pipeline_drops_short_near_copies(spark):
     assert len(after) == len(rows) // 2
 
 
+def test_copies_of_each_other_under_another_hub(spark, monkeypatch):
+    """A large group of near copies shares bands with an older, different document: linked within a few blocks."""
+    monkeypatch.setattr(minhash, "TILE", 16)
+    monkeypatch.setattr(minhash, "SETS_TILE", 11)
+    rng = random.Random(11)
+    base = [f"t{i}" for i in range(200)]
+    rows = [(0, " ".join(base[:150] + [f"z{i}" for i in range(60)]))]
+    for d in range(1, 120):
+        text = list(base)
+        for _ in range(4):
+            text[rng.randrange(150, 200)] = f"n{d}{rng.random():.4f}"
+        rows.append((d, " ".join(text)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    same(minhash.near_dup_components(df).collect(), brute.near_dup(rows))
+
+
+def test_a_block_gives_as_few_pairs_as_connect_it():
+    import numpy as np
+    import pyarrow as pa
+    rng = np.random.default_rng(4)
+    regs = np.tile(rng.integers(1, 60000, minhash.COMPARED, dtype=np.uint16), (300, 1))  # all alike
+    n, one = len(regs), np.arange(500, dtype=np.uint64).tobytes()
+    table = pa.table({"asks": pa.array(np.repeat([True, False], [100, 200])), "outside": pa.array(np.ones(n, bool)),
+                      "doc_id": pa.array(np.concatenate([np.arange(100), np.arange(200)])),
+                      "component": pa.array(np.concatenate([np.arange(100), np.arange(200)])),
+                      "n_shingles": pa.array(np.full(n, 500)), "registers": pa.array([r.tobytes() for r in regs], pa.binary()),
+                      "shingles": pa.array([one] * n, pa.binary())})
+    for work in (minhash.near_forest(85), minhash.block_links(85)):
+        got = work((), table)
+        assert got.num_rows == 99 and all(a > b for a, b in zip(got["a"].to_pylist(), got["b"].to_pylist()))
+        tree = list(range(100))
+        for a, b in zip(got["a"].to_pylist(), got["b"].to_pylist()):
+            a, b = tree[a], tree[b]
+            assert a != b
+            tree = [a if t == b else t for t in tree]
+        assert len(set(tree)) == 1
+
+
 def test_bands_miss_few_pairs_at_any_threshold():
     assert minhash.band_shape(85) == (6, 42) and minhash.band_shape(80) == (5, 51)
     for per_cent in range(10, 100):

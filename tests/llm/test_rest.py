@@ -103,7 +103,35 @@ def test_every_operator_has_one_query():
     import __spark_entry__
     import re
     numbers = sorted(int(m[1]) for q in QUERIES if (m := re.match(r"op(\d+)_", q)))
-    assert numbers == list(range(1, 11)) and set(QUERIES) <= set(__spark_entry__.queries())
+    assert numbers == list(range(1, 14)) and set(QUERIES) <= set(__spark_entry__.queries())
+
+
+def test_stages_decide_on_rows_not_ids(spark, nothing):
+    """Null and repeated ids: no row is lost with another one's id, and none is exempt."""
+    import corpus_pipeline as pipeline
+    words = [f"word{i % 89}x{i * i % 53}" for i in range(120)]
+    a, b, c = (" ".join(words[k:k + 60]) for k in (0, 30, 60))
+    junk = "0 1 | 2 3 $$ ## 4 5 " * 40
+    rows = [(3, b, 1), (5, a, 2), (5, b, 3), (5, b, 3), (None, a, 4), (None, c, 5), (None, c, 5), (6, c + " tail", 6), (None, None, 7),
+            (8, "", 8), (9, junk, 9), (9, c + " tail", 10), (1 << 62, " ".join(words), 11)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `id` int").selectExpr("*", "'x' AS gone", "2 AS n", "3 AS row")
+    stages = dict(pipeline.STAGES)
+    keep = lambda df: sorted((tuple(r)[:3] for r in df.collect()), key=repr)
+    after = stages["exact_dedup"](spark, docs, SF)
+    assert after.columns == docs.columns
+    texts = [r[1] or "" for r in keep(after)]
+    assert sorted(texts) == sorted({r[1] or "" for r in rows})  # one row of each text
+    assert (3, b, 1) in keep(after) and (6, c + " tail", 6) in keep(after) and (9, junk, 9) in keep(after)
+    near = stages["near_dedup"](spark, after, SF)
+    assert near.columns == docs.columns
+    assert sum(r[1] in (c, c + " tail") for r in keep(near)) == 1  # near copies, one of them without an id
+    assert {r[1] for r in keep(near)} >= {a, b, junk, "", " ".join(words)} - {None}
+    good = stages["quality"](spark, docs, SF)
+    assert good.columns == docs.columns and all(rows.count(r) == keep(good).count(r) for r in rows if r in keep(good))
+    clean = stages["secrets"](spark, docs, SF)
+    assert clean.columns == docs.columns and keep(clean) == sorted(rows, key=repr)
+    for name, stage in pipeline.STAGES:
+        assert stage(spark, nothing, SF).collect() == []
 
 
 def test_pipeline_against_its_parts(spark):
@@ -124,7 +152,7 @@ def test_pipeline_against_its_parts(spark):
     clean = stages["secrets"](spark, kept, SF).cache()
     assert clean.columns == docs.columns and ids(clean) == ids(kept)
     assert all(len(r.text) == r.n_chars for r in clean.collect() if "[SECRET]" in r.text)
-    assert all(not brute.secret_spans(r.text, secrets.CLASSES, secrets.ALLOW)[0] for r in clean.collect())
+    assert all(not brute.secret_spans(r.text, secrets.CLASSES, secrets.ALLOW, secrets.ALLOW_WHOLE)[0] for r in clean.collect())
     packed = stages["packing"](spark, clean, SF)
     total = pipeline.run(spark, SF)
     digest = lambda df: sorted((r.doc_id, r.start, r.length, r.ids_crc32) for r in df.collect())
