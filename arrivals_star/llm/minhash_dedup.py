@@ -15,14 +15,14 @@ the smallest hash of its bucket in 16 bits: its leading-zero count and its next
    collision-corrected Jaccard estimate lies six standard errors under the threshold go; the
    others are confirmed on their full sets of shingles. Links give components.
 4. A band group that still holds two components may hide a link not at its smallest document. In
-   such a group every document outside the group's largest component is compared with all
-   documents of other components. The work is dealt out in blocks of ``TILE`` such documents and
-   ``TILE`` documents of the group, so both sides of a task are bounded; a task holds ids and
-   sketches only. Pairs that it does not rule out go on to be confirmed on full sets. In a first
-   round a block gives only as many pairs, the likeliest first, as connect its components, so that
-   a group of copies gives links in proportion to its size; their components close most groups. A
-   second round gives all pairs of the components that are still apart. Components of all links
-   are the result.
+   such a group every document outside the group's largest component is compared by sketch with
+   all documents of other components, in blocks of ``TILE`` documents a side. A block gives no
+   pairs, but a forest: as few pairs as connect the documents that may be similar. The trees of
+   all blocks make clusters of documents that are near each other, not just in one band group.
+5. Within a cluster, every document outside its largest component is compared with all others on
+   full sets, in blocks of ``SETS_TILE`` documents a side, and a block gives as few links as connect
+   its components. So both sides of every task are bounded, and rows grow with the documents, not
+   with the square of a group. Components of all links are the result.
 """
 
 from __future__ import annotations
@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from arrivals_star.llm import spans
 from arrivals_star.llm.components import components
+from arrivals_star.llm.runs import arrow_rows
 from arrivals_star.llm.tables import Tables
 
 U64 = np.uint64
@@ -43,7 +44,8 @@ BUCKETS = 1 << BUCKET_BITS
 MISSED = 1e-8  # chance, at most, that a pair at the threshold shares no band
 COMPARED = 128  # registers that an estimate compares
 PAIRS = 1 << 15  # (document, filled register) pairs that are looked up at once
-TILE = 1024  # documents of either side of a block
+TILE = 1024  # documents of either side of a block that compares sketches
+SETS_TILE = 512  # and of one that compares full sets
 SLICE = 1 << 21
 FOLD = np.arange(256)
 FOLD[65:91] += 32
@@ -257,64 +259,89 @@ def confirm(per_cent: int):
     return work
 
 
-def block_pairs(per_cent: int, connect: bool):
-    """Pairs (a, b) of a block's asking documents and its members that may be similar.
+def _sides(table: pa.Table) -> tuple[np.ndarray, ...]:
+    """Asking rows and member rows of a block (members by size), and all rows' columns."""
+    asks, outside, doc, comp = (table[c].to_numpy() for c in ("asks", "outside", "doc_id", "component"))
+    size = table["n_shingles"].to_numpy().astype(float)
+    members = np.flatnonzero(~asks)
+    return np.flatnonzero(asks), members[np.argsort(size[members], kind="stable")], outside, doc, comp, size
 
-    Both ask: the pair is given by the block where a > b. With ``connect`` only pairs whose
-    estimate reaches the threshold count, the most similar first, and only while they join
-    components that the block's pairs before them have not joined.
-    """
-    low = per_cent / 100
 
+def _near(i: int, members: np.ndarray, outside: np.ndarray, doc: np.ndarray, comp: np.ndarray, size: np.ndarray,
+          regs: np.ndarray, low: float) -> tuple[np.ndarray, np.ndarray]:
+    """Members of other components that may be similar to the asking row i, and their estimates.
+
+    If a member asks too, only the one with the larger id asks the other.
+    """
+    # documents of too different sizes cannot be similar
+    lo, hi = np.searchsorted(size[members], [low * size[i] * (1 - 1e-9), size[i] / low * (1 + 1e-9)])
+    near = members[lo:hi]
+    near = near[(comp[near] != comp[i]) & (~outside[near] | (doc[near] < doc[i]))]
+    if not len(near):
+        return near, np.zeros(0)
+    jaccard, error = estimate(regs[near], regs[i], size[near], size[i], low)
+    fits = jaccard >= low - 6 * error
+    return near[fits], jaccard[fits]
+
+
+def near_forest(per_cent: int):
+    """As few pairs (a, b) of a block as connect all its documents that may be similar."""
     def work(key: tuple, table: pa.Table) -> pa.Table:
-        asks, outside = (table[c].to_numpy() for c in ("asks", "outside"))
-        doc, comp = (table[c].to_numpy() for c in ("doc_id", "component"))
-        size = table["n_shingles"].to_numpy().astype(float)
+        ask, members, *cols = _sides(table)
         regs = _registers(table["registers"].combine_chunks())
-        ask, members = np.flatnonzero(asks), np.flatnonzero(~asks)
-        order = np.argsort(size[members], kind="stable")
-        members = members[order]
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        doc = cols[1]
+        _, row = np.unique(doc, return_inverse=True)  # a document may stand on both sides
+        tree = np.arange(len(doc))
+        pairs = []
         for i in ask:
-            # documents of too different sizes cannot be similar
-            lo, hi = np.searchsorted(size[members], [low * size[i] * (1 - 1e-9), size[i] / low * (1 + 1e-9)])
-            near = members[lo:hi]
-            near = near[(comp[near] != comp[i]) & (~outside[near] | (doc[near] < doc[i]))]
-            if not len(near):
-                continue
-            jaccard, error = estimate(regs[near], regs[i], size[near], size[i], low)
-            fits = jaccard >= (low if connect else low - 6 * error)
-            found.append((jaccard[fits], np.full(int(fits.sum()), i), near[fits]))
-        like, a, b = (np.concatenate(x) if found else np.zeros(0) for x in (list(zip(*found)) or [[], [], []]))
-        a, b = a.astype(np.int64), b.astype(np.int64)
-        if connect:
-            order = np.argsort(-like, kind="stable")
-            a, b = a[order], b[order]
-            keep = _joining(*(np.unique(comp, return_inverse=True)[1][x] for x in (a, b)))
-            a, b = a[keep], b[keep]
-        return pa.table([pa.array(doc[a]), pa.array(doc[b])], names=["a", "b"])
+            near, _ = _near(i, members, *cols, regs, per_cent / 100)
+            others, first = np.unique(tree[row[near]], return_index=True)
+            new = others != tree[row[i]]
+            if new.any():
+                pairs += [(int(doc[i]), int(doc[j])) for j in near[first[new]]]
+                tree[np.isin(tree, others[new])] = tree[row[i]]
+        return arrow_rows(pairs, "a long, b long")
     return work
 
 
-def _joining(u: np.ndarray, v: np.ndarray) -> list[int]:
-    """Places of the edges (u, v) that join what the edges before them have not joined."""
-    parent: dict[int, int] = {}
+def block_links(per_cent: int):
+    """Links (a, b) of a block, confirmed on full sets: as few as connect its components."""
+    def work(key: tuple, table: pa.Table) -> pa.Table:
+        ask, members, *cols = _sides(table)
+        regs = _registers(table["registers"].combine_chunks())
+        sets, doc = table["shingles"], cols[1]
+        _, part = np.unique(cols[2], return_inverse=True)
+        links = []
+        for i in ask:
+            near, jaccard = _near(i, members, *cols, regs, per_cent / 100)
+            near = near[np.argsort(-jaccard, kind="stable")]
+            near, mine = near[part[near] != part[i]], np.frombuffer(sets[int(i)].as_py(), U64)
+            while len(near):
+                j, near = near[0], near[1:]
+                if similar(mine, np.frombuffer(sets[int(j)].as_py(), U64), per_cent):
+                    links.append((int(doc[i]), int(doc[j])))
+                    part[part == part[j]] = part[i]
+                    near = near[part[near] != part[i]]
+        return arrow_rows(links, "a long, b long")
+    return work
 
-    def root(x: int) -> int:
-        while parent.get(x, x) != x:
-            parent[x] = x = parent.get(parent[x], parent[x])
-        return x
 
-    keep, left = [], len(np.union1d(u, v)) - 1
-    for k, (x, y) in enumerate(zip(u.tolist(), v.tolist())):
-        x, y = root(x), root(y)
-        if x != y:
-            parent[x] = y
-            keep.append(k)
-            left -= 1
-            if not left:
-                break
-    return keep
+def _in_blocks(docs: DataFrame, group: str, tile: int, cols: list[str]) -> DataFrame:
+    """(group, ask, with, asks, ...): every block of documents outside the group's largest component
+    meets every block of its documents."""
+    counts = docs.groupBy(group, "component").agg(F.count(F.lit(1)).alias("n"))
+    largest = counts.groupBy(group).agg(F.max_by("component", F.struct("n", "component")).alias("largest"),
+                                        F.max("n").alias("most"), F.sum("n").alias("total"))
+    blocks = lambda n: F.ceil(n / F.lit(tile)).cast("int")
+    docs = docs.join(largest, group).withColumns({
+        "outside": F.col("component") != F.col("largest"), "n_with": blocks(F.col("total")),
+        "n_ask": blocks(F.col("total") - F.col("most"))})
+    at = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    cols = [group, "doc_id", "component", "outside", *cols]
+    members = docs.where("n_ask > 0").select(every("n_ask").alias("ask"), at("n_with").alias("with"), F.lit(False).alias("asks"), *cols)
+    return members.unionByName(docs.where("outside").select(
+        at("n_ask").alias("ask"), every("n_with").alias("with"), F.lit(True).alias("asks"), *cols)).groupBy(group, "ask", "with")
 
 
 def near_dup_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3,
@@ -358,22 +385,15 @@ def near_dup_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "
         texts = picked.join(ids.hint("merge"), "doc_id", "left_semi").mapInArrow(full_sets(width), SETS)
         return texts.groupBy("doc_id").agg(F.max("shingles").alias("shingles"))
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-        sets = tables.store(sets_of(ends), "sets")
-        links = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a")
-                 .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")), "b")
-                 .mapInArrow(confirm(per_cent), "a long, b long"))
-        return tables.store(links, "links")
-
-    links, tried = confirmed(pairs), pairs
+    ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    sets = tables.store(sets_of(ends), "sets")
+    links = tables.store(pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a")
+                         .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")), "b")
+                         .mapInArrow(confirm(per_cent), "a long, b long"), "links")
     component = components(links, tables)
-    for connect in (True, False):
-        more = _hidden_pairs(tables, met, component, firsts, tried, per_cent, connect)
-        if more is None:
-            break
-        links, tried = links.unionByName(confirmed(more)), tried.unionByName(more)
-        component = components(links, tables)
+    more = _hidden_links(tables, met, component, firsts, sets_of, per_cent)
+    if more is not None:
+        component = components(links.unionByName(more), tables)
 
     label = component.withColumnRenamed("node", "first")
     result = (sketches.join(classes, ["set_hash", "n_shingles"], "left").join(label, "first", "left")
@@ -384,9 +404,8 @@ def near_dup_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     return result
 
 
-def _hidden_pairs(tables: Tables, met: DataFrame, component: DataFrame, firsts: DataFrame, tried: DataFrame,
-                  per_cent: int, connect: bool) -> DataFrame | None:
-    """Pairs, not tried before, of documents in one band group but not in one component; None without such groups."""
+def _hidden_links(tables: Tables, met: DataFrame, component: DataFrame, firsts: DataFrame, sets_of, per_cent: int) -> DataFrame | None:
+    """Links between components that meet in a band group; None where no documents of two are near."""
     label = component.select(F.col("node").alias("doc_id"), "component")
     own = tables.store(met.join(label, "doc_id", "left")
                        .select("key", "doc_id", F.coalesce("component", "doc_id").alias("component")), "labels")
@@ -395,27 +414,19 @@ def _hidden_pairs(tables: Tables, met: DataFrame, component: DataFrame, firsts:
                                      F.count(F.lit(1)).alias("total"), mark(1).alias("m1"), mark(2).alias("m2"))
               .where("low < high"))
     # bands of the same documents give the same pairs
-    groups = groups.groupBy("total", "m1", "m2").agg(F.min("key").alias("key")).select("key", "total")
-    members = tables.store(own.join(groups, "key"), "open")
-    if members.isEmpty():
+    groups = groups.groupBy("total", "m1", "m2").agg(F.min("key").alias("key")).select("key")
+    sketch_of = firsts.select("doc_id", "n_shingles", F.substring("registers", 1, 2 * COMPARED).alias("registers"))
+    members = tables.store(own.join(groups, "key").join(sketch_of, "doc_id"), "open")
+    trees = tables.store(_in_blocks(members, "key", TILE, ["n_shingles", "registers"])
+                         .applyInArrow(near_forest(per_cent), "a long, b long").distinct(), "near")
+    if trees.isEmpty():
         return None
-    largest = (members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-               .groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.max("n").alias("most")))
-    blocks = lambda n: F.ceil(n / F.lit(TILE)).cast("int")
-    docs = members.join(largest, "key").select(
-        "key", "doc_id", "component", (F.col("component") != F.col("largest")).alias("outside"),
-        blocks(F.col("total")).alias("n_with"), blocks(F.col("total") - F.col("most")).alias("n_ask"))
-    docs = docs.join(firsts.select("doc_id", "n_shingles", F.substring("registers", 1, 2 * COMPARED).alias("registers")), "doc_id")
-    docs = tables.store(docs, "open-sketches")
-    at = lambda n: F.pmod(F.xxhash64("doc_id"), n).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    cols = ["doc_id", "component", "outside", "n_shingles", "registers"]
-    sides = (docs.select("key", every("n_ask").alias("ask"), at(F.col("n_with")).alias("with"), F.lit(False).alias("asks"), *cols)
-             .unionByName(docs.where("outside").select("key", at(F.col("n_ask")).alias("ask"), every("n_with").alias("with"),
-                                                       F.lit(True).alias("asks"), *cols)))
-    pairs = sides.groupBy("key", "ask", "with").applyInArrow(block_pairs(per_cent, connect), "a long, b long").distinct()
-    once = tried.select("a", "b").unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    return tables.store(pairs.join(once, ["a", "b"], "left_anti"), "hidden")
+    clusters = components(trees, tables).select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"))
+    docs = (clusters.join(label, "doc_id", "left").select("cluster", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+            .join(sketch_of, "doc_id").join(sets_of(clusters.select("doc_id")), "doc_id"))
+    docs = tables.store(docs, "clusters")
+    return tables.store(_in_blocks(docs, "cluster", SETS_TILE, ["n_shingles", "registers", "shingles"])
+                        .applyInArrow(block_links(per_cent), "a long, b long"), "hidden")
 
 
 def op5_minhash_dedup(spark, sf_dir: str) -> DataFrame:
