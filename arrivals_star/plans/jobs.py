@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +15,9 @@ from ..operators.clean import clean, dedupe_by_key, drop_empty_rows, drop_sparse
 from ..operators.dims import (DEMOGRAPHICS_NAMES, PORT_NAMES, calendar_dim, city_demographics_dim, port_dim,
                               temperature_dim, transport_mode_dim, visa_dim, write_calendar)
 from ..operators.fact import ARRIVALS_REQUIRED, arrivals_fact, arrivals_fact_with_rejects
+from ..operators.profile import footer_profile
 from ..sources import read_csv, read_quoted_csv, read_small_csv, read_table
+from ..sources.replace import current_path
 from ..sources.sinks import write_csv, write_parquet
 
 # ---------------------------------------------------------------------------------------------
@@ -45,14 +49,16 @@ OPEN_SCHEMAS = ("fact", "demographics", "port")
 
 
 def stage_arrivals(raw: DataFrame, threshold: float = 90.0, dedupe: bool = True,
-                   order: Sequence[str] = (), protected: Sequence[str] = ARRIVALS_REQUIRED) -> DataFrame:
+                   order: Sequence[str] = (), protected: Sequence[str] = ARRIVALS_REQUIRED,
+                   profile: DataFrame | None = None) -> DataFrame:
     """Staged arrivals (T1): sparse columns and empty rows dropped, one row per ``cicid``.
 
     Columns the fact needs are protected from the sparse drop, as the fact's cast would fail on
     them. Rows without an id are different arrivals and all stay: one scan and one aggregate
-    serve them and the rows with an id. ``dedupe=False`` keeps duplicate ids as well.
+    serve them and the rows with an id. ``dedupe=False`` keeps duplicate ids as well. A ``profile``
+    of the unprotected columns that is there already (``footer_profile``) saves the profile's scan.
     """
-    df = drop_empty_rows(drop_sparse_columns(raw, threshold, protected))
+    df = drop_empty_rows(drop_sparse_columns(raw, threshold, protected, profile))
     return dedupe_by_key(df, ["cicid"], order, keep_null_keys=True) if dedupe else df
 
 
@@ -133,37 +139,64 @@ def check_schema(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+def _together(spark: SparkSession, jobs: dict[str, Callable[[], None]], at_once: int) -> None:
+    """Run independent table builds, ``at_once`` at a time: small tables are written while a large one's
+    last tasks run. The first error is raised when all have ended."""
+    with ThreadPoolExecutor(max(at_once, 1)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs.values()]
+    for r in running:
+        r.result()
+
+
 def run_stage(spark: SparkSession, raw: RawInputs, stage_dir: str, threshold: float = 90.0,
-              row_counts: dict[str, int] | None = None) -> dict[str, str]:
-    """Staging job (T13): build and write the five staged tables; returns their paths.
+              row_counts: dict[str, int] | None = None, at_once: int = 5) -> dict[str, str]:
+    """Staging job (T13): build and write the five staged tables, ``at_once`` at a time; returns their paths.
 
     Each table's row count after cleaning (C3) is recorded by an ``Observation`` during its write,
-    without another scan; pass a dict as ``row_counts`` to receive them.
+    without another scan; pass a dict as ``row_counts`` to receive them. The sparse columns of
+    Parquet arrivals are told from the files' footers where those know (see ``footer_profile``).
     """
     out = {k: _join(stage_dir, v) for k, v in STAGED.items()}
     if raw.temperatures_quotes not in ("backslash", "doubled"):
         raise ValueError(f"temperatures_quotes is 'backslash' or 'doubled', not {raw.temperatures_quotes!r}")
-    temperatures = (read_quoted_csv(spark, raw.temperatures) if raw.temperatures_quotes == "doubled"
-                    else read_csv(spark, raw.temperatures, escape="\\"))
+    profile = None
+    if raw.arrivals_format == "parquet":
+        needed, path = {c.lower() for c in ARRIVALS_REQUIRED}, current_path(spark, raw.arrivals)
+        names = read_table(spark, path).columns
+        # before the tables are built, as it changes session settings for a moment
+        profile = footer_profile(spark, path, [c for c in names if c.lower() not in needed])
+
+    def temperatures() -> DataFrame:
+        if raw.temperatures_quotes == "doubled":
+            return read_quoted_csv(spark, raw.temperatures)
+        return read_csv(spark, raw.temperatures, escape="\\")
+
     tables = {
-        "arrivals": (stage_arrivals(read_table(spark, raw.arrivals, raw.arrivals_format), threshold), write_parquet),
-        "temperatures": (stage_temperatures(temperatures, threshold), write_csv),
-        "demographics": (stage_demographics(read_small_csv(spark, raw.demographics, sep=";"), threshold), write_csv),
-        "ports": (stage_ports(read_small_csv(spark, raw.ports), threshold), write_csv),
-        "countries": (stage_countries(read_small_csv(spark, raw.countries), threshold), write_csv),
+        "arrivals": (lambda: stage_arrivals(read_table(spark, raw.arrivals, raw.arrivals_format), threshold, profile=profile),
+                     write_parquet),
+        "temperatures": (lambda: stage_temperatures(temperatures(), threshold), write_csv),
+        "demographics": (lambda: stage_demographics(read_small_csv(spark, raw.demographics, sep=";"), threshold), write_csv),
+        "ports": (lambda: stage_ports(read_small_csv(spark, raw.ports), threshold), write_csv),
+        "countries": (lambda: stage_countries(read_small_csv(spark, raw.countries), threshold), write_csv),
     }
-    for name, (df, write) in tables.items():
-        observed, obs = _observed(df, f"stage_{name}")
+    counts: dict[str, int] = {}
+
+    def stage(name: str) -> None:
+        build, write = tables[name]
+        observed, obs = _observed(build(), f"stage_{name}")
         write(observed, out[name])
-        if row_counts is not None:
-            row_counts[name] = obs.get["rows"]
+        counts[name] = obs.get["rows"]
+
+    _together(spark, {name: lambda name=name: stage(name) for name in tables}, at_once)
+    if row_counts is not None:
+        row_counts.update({name: counts[name] for name in tables})
     return out
 
 
 def run_final(spark: SparkSession, stage_dir: str, final_dir: str,
               races: Sequence[str] | None = None, keep_rejects: bool = False,
-              reject_counts: dict[str, int] | None = None) -> dict[str, str]:
-    """Star-schema job (T14): the fact, then six dimensions; returns their paths.
+              reject_counts: dict[str, int] | None = None, at_once: int = 6) -> dict[str, str]:
+    """Star-schema job (T14): the fact, then six dimensions, ``at_once`` at a time; returns their paths.
 
     The fact plan runs once: the dimensions read the written fact back, which both cuts the
     lineage (a lost executor re-reads files instead of redoing the dedupe) and lets each
@@ -176,7 +209,7 @@ def run_final(spark: SparkSession, stage_dir: str, final_dir: str,
     """
     staged = {k: _join(stage_dir, v) for k, v in STAGED.items()}
     out = {k: _join(final_dir, v) for k, v in FINAL.items()}
-    # the staged files are in the dialect of write_csv; only the small tables can hold line breaks
+    # the staged files are in the dialect of write_csv, and values may hold line breaks
     small = {k: read_csv(spark, staged[k], multi_line=True) for k in ("demographics", "ports", "countries")}
     arrivals = read_table(spark, staged["arrivals"])
     if keep_rejects:
@@ -187,13 +220,17 @@ def run_final(spark: SparkSession, stage_dir: str, final_dir: str,
     else:
         write_parquet(check_schema(arrivals_fact(arrivals), "fact"), out["fact"])
     fact = read_table(spark, out["fact"])
-    write_calendar(check_schema(calendar_dim(fact), "calendar"), out["calendar"])
-    write_parquet(check_schema(visa_dim(fact), "visa"), out["visa"])
-    write_parquet(check_schema(transport_mode_dim(fact), "mode"), out["mode"])
-    temperatures = temperature_dim(read_csv(spark, staged["temperatures"]), small["countries"])
-    write_parquet(check_schema(temperatures, "temperature"), out["temperature"])
-    write_parquet(check_schema(city_demographics_dim(small["demographics"], races), "demographics"), out["demographics"])
-    write_parquet(check_schema(port_dim(small["ports"]), "port"), out["port"])
+    _together(spark, {
+        "calendar": lambda: write_calendar(check_schema(calendar_dim(fact), "calendar"), out["calendar"]),
+        "visa": lambda: write_parquet(check_schema(visa_dim(fact), "visa"), out["visa"]),
+        "mode": lambda: write_parquet(check_schema(transport_mode_dim(fact), "mode"), out["mode"]),
+        "temperature": lambda: write_parquet(check_schema(temperature_dim(
+            read_quoted_csv(spark, staged["temperatures"]), small["countries"]), "temperature"),
+            out["temperature"]),
+        "demographics": lambda: write_parquet(check_schema(city_demographics_dim(
+            small["demographics"], races), "demographics"), out["demographics"]),
+        "port": lambda: write_parquet(check_schema(port_dim(small["ports"]), "port"), out["port"]),
+    }, at_once)
     return out
 
 

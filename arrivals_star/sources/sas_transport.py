@@ -288,11 +288,15 @@ class SasWriter(DataSourceArrowWriter):
             if kind == NUMBER:
                 cells.append(ieee_to_ibm(col.cast(pa.float64()).fill_null(float("nan")).to_numpy(zero_copy_only=False)))
             else:
-                texts = [(t or "").encode() for t in col.to_pylist()]
-                longest = max(map(len, texts), default=0)
-                if longest > length:
-                    raise ValueError(f"column {name}: a text of {longest} bytes, over its length {length}")
-                cells.append(np.frombuffer(b"".join(t.ljust(length, b" ") for t in texts), np.uint8).reshape(-1, length))
+                texts = col.cast(pa.string()).fill_null("")
+                offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
+                body = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+                size = np.diff(offsets)
+                if size.max(initial=0) > length:
+                    raise ValueError(f"column {name}: a text of {size.max()} bytes, over its length {length}")
+                cell = np.full((len(texts), length), 0x20, np.uint8)
+                cell[np.arange(length) < size[:, None]] = body
+                cells.append(cell)
         return np.concatenate(cells, axis=1).tobytes() if cells else b""
 
     def commit(self, messages: list) -> None:

@@ -105,6 +105,10 @@ def test_temperatures_with_doubled_quotes(spark, scratch):
     staged = jobs.run_stage(spark, changed(raw, temperatures=base + "/temps", temperatures_quotes="doubled"), base + "/stage")
     got = read_csv(spark, staged["temperatures"], multi_line=True).collect()
     assert [tuple(r) for r in got] == [('O"Neill\nNorth', "Ireland", "2.0")]
+    countries = spark.createDataFrame([("7", "IRELAND")], "Code string, Country string")
+    write_csv(countries, staged["countries"])
+    final = jobs.run_final(spark, base + "/stage", base + "/final")
+    assert [tuple(r) for r in read_table(spark, final["temperature"]).collect()] == [('O"Neill\nNorth', "7", "Ireland", 2.0)]
     with pytest.raises(ValueError):
         jobs.run_stage(spark, changed(raw, temperatures_quotes="single"), base + "/stage")
 

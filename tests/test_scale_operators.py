@@ -102,6 +102,12 @@ def test_footer_profile_reads_no_pages_of_counted_columns(spark, scratch):
     assert "PushedAggregation: [COUNT(*), COUNT(event_id), COUNT(buyer), COUNT(price), COUNT(day), COUNT(odd)]" in plan
 
 
+def test_staging_takes_a_profile_that_is_there(spark, scratch):
+    raw = demo.written(demo.sparse_arrivals(spark, SF), scratch("raw_profile"))
+    profile = spark.createDataFrame([("visapost", 1, 100.0), ("l_tax", 1, 95.0), ("cicid", 1, 99.0)], "column_name string, missing bigint, pct_missing double")
+    assert set(raw.columns) - set(jobs.stage_arrivals(raw, profile=profile).columns) == {"visapost", "l_tax"}
+
+
 def test_footer_profile_of_an_empty_table(spark, scratch):
     path = scratch("empty")
     write_parquet(spark.createDataFrame([], "a int, b double"), path)
