@@ -278,7 +278,7 @@ def oracle_sql() -> str:
     ctes, unions = [], []
     for k, c in enumerate(CLASSES):
         whole = " OR ".join(f"regexp_matches(s, '{p}')" for p in ALLOW_WHOLE)
-        says = " OR ".join(f"regexp_matches(substring(text, a + 1, b - a), '{p}')" for p in ALLOW)
+        says = " OR ".join(f"regexp_matches(substring(text, CAST(a + 1 AS BIGINT), CAST(b - a AS BIGINT)), '{p}')" for p in ALLOW)
         terms = "[" + ", ".join(map(str, c.terms)) + "]"
         ctes.append(_sql_places(f"c{k}", c.pattern) + f""",
 w{k} AS (SELECT doc_id, a, s, unnest(range(length(s) - {c.window} + 1)) AS i FROM c{k} WHERE NOT ({whole})),
