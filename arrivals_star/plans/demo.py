@@ -201,7 +201,9 @@ def raw_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
                                               "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey)
+    # the two smaller tables meet first, so that the line items are shuffled once, by order
+    oc = o.join(c, o.o_custkey == c.c_custkey)
+    j = li.join(oc, li.l_orderkey == oc.o_orderkey)
     k, ln = F.col("l_orderkey"), F.col("l_linenumber")
     mode, arrived = ln % 5, _sas_days(F.col("o_orderdate"))
     rows = j.select(
@@ -371,17 +373,20 @@ def write_raw_inputs(spark: SparkSession, sf_dir: str, out_dir: str):
     Arrivals as Parquet (with a 95 %-missing column), temperatures as CSV, and the three small
     tables as pandas-style CSV with a leading index column (demographics with ';').
     """
-    from .jobs import RawInputs
+    from .jobs import RawInputs, together
 
     base = out_dir.rstrip("/")
     paths = RawInputs(arrivals=f"{base}/arrivals", temperatures=f"{base}/temperatures",
                       demographics=f"{base}/demographics", ports=f"{base}/ports",
                       countries=f"{base}/countries")
-    sparse_arrivals(spark, sf_dir).write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS).parquet(paths.arrivals)
-    raw_temperatures(spark, sf_dir).write.mode("overwrite").option("header", True).csv(paths.temperatures)
-    write_raw_demographics(spark, sf_dir, paths.demographics)
-    write_indexed_csv(raw_ports(spark, sf_dir), paths.ports)
-    write_indexed_csv(raw_countries(spark, sf_dir), paths.countries)
+    together(spark, {
+        "arrivals": lambda: (sparse_arrivals(spark, sf_dir).write.mode("overwrite")
+                             .option("maxRecordsPerFile", FILE_ROWS).parquet(paths.arrivals)),
+        "temperatures": lambda: (raw_temperatures(spark, sf_dir).write.mode("overwrite")
+                                 .option("header", True).csv(paths.temperatures)),
+        "demographics": lambda: write_raw_demographics(spark, sf_dir, paths.demographics),
+        "ports": lambda: write_indexed_csv(raw_ports(spark, sf_dir), paths.ports),
+        "countries": lambda: write_indexed_csv(raw_countries(spark, sf_dir), paths.countries)}, 5)
     return paths
 
 

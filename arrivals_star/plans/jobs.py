@@ -139,7 +139,7 @@ def check_schema(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def _together(spark: SparkSession, jobs: dict[str, Callable[[], None]], at_once: int) -> None:
+def together(spark: SparkSession, jobs: dict[str, Callable[[], None]], at_once: int) -> None:
     """Run independent table builds, ``at_once`` at a time: small tables are written while a large one's
     last tasks run. The first error is raised when all have ended."""
     with ThreadPoolExecutor(max(at_once, 1)) as pool:
@@ -187,7 +187,7 @@ def run_stage(spark: SparkSession, raw: RawInputs, stage_dir: str, threshold: fl
         write(observed, out[name])
         counts[name] = obs.get["rows"]
 
-    _together(spark, {name: lambda name=name: stage(name) for name in tables}, at_once)
+    together(spark, {name: lambda name=name: stage(name) for name in tables}, at_once)
     if row_counts is not None:
         row_counts.update({name: counts[name] for name in tables})
     return out
@@ -220,7 +220,7 @@ def run_final(spark: SparkSession, stage_dir: str, final_dir: str,
     else:
         write_parquet(check_schema(arrivals_fact(arrivals), "fact"), out["fact"])
     fact = read_table(spark, out["fact"])
-    _together(spark, {
+    together(spark, {
         "calendar": lambda: write_calendar(check_schema(calendar_dim(fact), "calendar"), out["calendar"]),
         "visa": lambda: write_parquet(check_schema(visa_dim(fact), "visa"), out["visa"]),
         "mode": lambda: write_parquet(check_schema(transport_mode_dim(fact), "mode"), out["mode"]),
@@ -237,4 +237,4 @@ def run_final(spark: SparkSession, stage_dir: str, final_dir: str,
 __all__ = ["TEMPERATURE_KEYS", "DEMOGRAPHICS_KEYS", "STAGED", "FINAL", "FINAL_SCHEMAS",
            "check_schema", "stage_arrivals",
            "stage_temperatures", "stage_demographics", "stage_ports", "stage_countries", "RawInputs",
-           "run_stage", "run_final"]
+           "run_stage", "run_final", "together"]

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import PANDAS_NA_TOKENS, sas_days_to_date, text_to_date
@@ -305,21 +305,59 @@ _AS_NUMBER = {"average_temperature", "avg_temperature", "median_age", "average_h
               "i94mode", "depdate", "i94bir", "i94visa", "count", "biryear", "i94yr", "i94mon", "admnum"}
 
 
-def _column_sums(df: DataFrame, table_name: str, observed: int | None) -> DataFrame:
-    """One row per column: rows, values that are not null, and a sum over hashes of their texts."""
-    sums = []
-    for i, c in enumerate(df.columns):
-        v = F.col(f"`{c}`")
-        text = (F.round(v.try_cast("double") * 1000).try_cast("bigint") if c in _AS_NUMBER else v).cast("string")
-        part = F.conv(F.substring(F.md5(F.encode(text, "utf-8")), 1, 8), 16, 10).cast("bigint")
-        sums += [F.count(text).alias(f"n{i}"), F.sum(part).alias(f"s{i}")]
-    wide = df.agg(F.count(F.lit(1)).alias("row_count"), *sums)
-    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("present"), F.col(f"s{i}").alias("checksum"))
-                     for i, c in enumerate(df.columns)])
+# Columns of the arrivals that seldom repeat a value: hashed row by row. Their other columns are codes,
+# dates, ages and the like, hashed once per value.
+_SELDOM_REPEATED = {"cicid", "id", "admnum", "l_extendedprice"}
+
+
+def _thousandths(v: Column) -> Column:
+    """``round(v * 1000)`` as bigint, halves away from zero: the whole part of a double under 2^52 and
+    what is left of it are exact, so no decimal is made per row as ``round`` does."""
+    x = v.try_cast("double") * 1000
+    size = F.abs(x)
+    whole = F.floor(size)
+    near = whole + F.when(size - whole >= 0.5, 1).otherwise(0)
+    return F.when(size < 2.0 ** 52, F.when(x < 0, -near).otherwise(near)).otherwise(F.round(x).try_cast("bigint"))
+
+
+def _column_sums(df: DataFrame, table_name: str, observed: int | None, by_value: bool = False) -> DataFrame:
+    """One row per column: rows, values that are not null, and a sum over hashes of their texts.
+
+    With ``by_value`` a column's values are counted first, with partial counts in each task that reads
+    the one column, and each different value is hashed once and counts as often as it occurs; the
+    columns in ``_SELDOM_REPEATED`` are hashed row by row, as all are without it.
+    """
+    def value(c: str) -> Column:
+        return _thousandths(F.col(f"`{c}`")) if c in _AS_NUMBER else F.col(f"`{c}`")
+
+    def part(text: Column) -> Column:
+        return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint")
+
+    counted = [c for c in df.columns if by_value and c not in _SELDOM_REPEATED]
+    direct = [c for c in df.columns if c not in counted]
+    found = []
+    if direct:
+        sums = []
+        for i, c in enumerate(direct):
+            text = value(c).cast("string")
+            sums += [F.count(text).alias(f"n{i}"), F.sum(part(text)).alias(f"s{i}")]
+        rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("present"), F.col(f"s{i}").alias("checksum"))
+                         for i, c in enumerate(direct)])
+        found.append(df.agg(F.count(F.lit(1)).alias("row_count"), *sums).select("row_count", F.inline(rows)))
+    if counted:
+        # a row of none for each column, so that an empty table has its columns too
+        none = df.sparkSession.createDataFrame([(c, None, 0) for c in counted], "column_name string, text string, n bigint")
+        values = reduce(DataFrame.unionByName, [
+            df.groupBy(value(c).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+            .select(F.lit(c).alias("column_name"), F.col("v").cast("string").alias("text"), "n") for c in counted], none)
+        text, n = F.col("text"), F.col("n")
+        found.append(values.groupBy("column_name").agg(
+            F.sum(n).alias("row_count"), F.sum(F.when(text.isNotNull(), n).otherwise(0)).alias("present"),
+            F.sum(part(text) * n).alias("checksum")))
     # observed_rows: the staging job's row count after cleaning (C3), recorded while it wrote.
-    return (wide.select("row_count", F.inline(rows))
-            .select(F.lit(table_name).alias("table_name"), "column_name", "row_count", "present", "checksum",
-                    F.lit(observed).cast("bigint").alias("observed_rows")))
+    return reduce(DataFrame.unionByName, found).select(
+        F.lit(table_name).alias("table_name"), "column_name", "row_count", "present", "checksum",
+        F.lit(observed).cast("bigint").alias("observed_rows"))
 
 
 def q_star_schema(spark: SparkSession, sf: str) -> DataFrame:
@@ -334,7 +372,8 @@ def q_star_schema(spark: SparkSession, sf: str) -> DataFrame:
     tables = [(f"stage_{k}", read_csv(spark, p, multi_line=True) if k in _CSV_STAGED else read_table(spark, p),
                observed[k]) for k, p in staged.items()]
     tables += [(f"final_{k}", read_table(spark, p), None) for k, p in final.items()]
-    return reduce(DataFrame.unionByName, [_column_sums(df, name, seen) for name, df, seen in tables])
+    return reduce(DataFrame.unionByName, [_column_sums(df, name, seen, name in ("stage_arrivals", "final_fact"))
+                                          for name, df, seen in tables])
 
 
 QUERIES: dict[str, Query] = {

@@ -1,5 +1,6 @@
 """One-pass dedupe, kept rejects, footer profile, run-time pruning, surrogate keys, hot join keys."""
 
+import datetime as dt
 import os
 
 import pytest
@@ -12,7 +13,7 @@ from arrivals_star.operators.joins import heavy_hitters, join_ignore_case, join_
 from arrivals_star.operators.keys import assign_keys
 from arrivals_star.operators.profile import FOOTER_SETTINGS, footer_counts, footer_profile, missing_profile
 from arrivals_star.plans import demo, jobs
-from arrivals_star.plans.registry import QUERIES
+from arrivals_star.plans.registry import QUERIES, _column_sums, _thousandths
 from arrivals_star.sources import read_table
 from arrivals_star.sources.sinks import write_parquet
 
@@ -233,6 +234,35 @@ def test_skewed_join_result_can_be_written(spark, tmp_path):
     assert all(r.country.upper() == r.Country_1 == f"NATION_{r.Code}" for r in out.collect())
 
 
+def test_column_sums_by_value_equal_those_by_row(spark):
+    values = [0.0, -0.0, 0.0005, -0.0005, 0.0025, 0.49999999999999994e-3, -2.4e-3, 1.5, 1.5, 1e16, -1e30, float("nan"),
+              float("inf"), None]
+    df = spark.createDataFrame([(i % 5, v, None, "xyz"[i % 3], dt.date(1995, 1, 1 + i % 4), float(i)) for i, v in enumerate(values * 3)],
+                               "code int, count double, i94bir double, gender string, day date, cicid double")
+    by_row, by_value = (_column_sums(df, "t", 1, b) for b in (False, True))
+    assert rows(by_value) == rows(by_row) and by_value.count() == 6
+    none = _column_sums(df.limit(0), "t", 0, True)
+    assert rows(none) == rows(_column_sums(df.limit(0), "t", 0)) and {r.row_count for r in none.collect()} == {0}
+    # as round() makes whole numbers of them
+    x = df.select(_thousandths(F.col("count")).alias("a"), F.round(F.col("count") * 1000).try_cast("bigint").alias("b"))
+    assert x.where("NOT a <=> b").count() == 0
+    # the days are hashed once each: hashes stand above the count of their values
+    plan = by_value._jdf.queryExecution().optimizedPlan().toString()
+    assert all("md5" not in line for line in plan.splitlines() if "Aggregate [day" in line) and "Aggregate [day" in plan
+
+
+def test_raw_arrivals_join_the_small_tables_first(spark, tmp_path):
+    for name, columns in {
+            "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+                        "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+            "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz, o_orderpriority string",
+            "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string"}.items():
+        spark.createDataFrame([], columns).write.parquet(f"{tmp_path}/{name}.parquet")
+    plan = demo.raw_arrivals(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    top = next(line for line in plan.splitlines() if "Join Inner" in line)
+    assert "l_orderkey" in top  # the line items, with all their columns, are shuffled once
+
+
 def test_registered_reports_are_not_empty(spark):
     for name in ("fact_rejects", "rejected_values", "arrivals_by_day", "surrogate_keys", "ci_join_skewed"):
         assert QUERIES[name](spark, SF).count() > 0
